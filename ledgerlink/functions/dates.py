@@ -16,7 +16,7 @@ def _as_col(x) -> Column:
 
 def parse_date(col, fmt: str = "dd/MM/yyyy") -> Column:
     """text in ``fmt`` to a date; dates and timestamps pass through."""
-    return F.try_to_date(_as_col(col).cast("string"), F.lit(fmt))
+    return F.try_to_date(_as_col(col).cast("string"), fmt)
 
 
 def month_start(col) -> Column:

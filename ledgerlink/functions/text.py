@@ -103,12 +103,16 @@ def word_count(col) -> Column:
 
 
 def wrap_words(col, n: int, sep: str = "<br>") -> Column:
-    """break a text into lines of ``n`` words joined by ``sep``."""
-    w = words(col)
-    nlines = F.ceil(F.size(w) / F.lit(n)).cast("int")
-    idx = F.sequence(F.lit(0), nlines - 1)
-    lines = F.transform(idx, lambda i: F.array_join(F.slice(w, i * n + 1, F.lit(n)), " "))
-    return F.when(F.size(w) == 0, F.lit("")).otherwise(F.array_join(lines, sep))
+    """break a text into lines of ``n`` words joined by ``sep``.
+
+    Linear in the text: whitespace runs become one blank, then every ``n``-th
+    blank becomes ``sep`` in a single left-to-right regex pass."""
+    ws = whitespace_class()
+    t = F.regexp_replace(_as_col(col), f"^{ws}+|{ws}+$", "")
+    t = F.regexp_replace(t, ws + "+", " ")
+    if n <= 1:
+        return F.regexp_replace(t, " ", sep)
+    return F.regexp_replace(t, f"((?:[^ ]+ ){{{n - 1}}}[^ ]+) ", "$1" + sep)
 
 
 def share_label(label, share) -> Column:
@@ -144,13 +148,18 @@ def _nfkd_ascii_tables():
 
 
 def normalize_text(col) -> Column:
-    """F8: fold to ASCII by NFKD, drop the rest, collapse whitespace, trim."""
+    """F8: fold to ASCII by NFKD, drop the rest, collapse whitespace, trim.
+
+    Characters whose ASCII image is one character go through one ``translate``;
+    the few hundred with longer images (ligatures, fractions, ...) are looked up
+    per code point in a literal map, only on rows that contain one of them.
+    """
     sfrom, sto, multi = _nfkd_ascii_tables()
     x = _as_col(col)
     if multi:
-        expanded = x
-        for ch, rep in multi:
-            expanded = F.replace(expanded, F.lit(ch), F.lit(rep))
+        m = F.create_map(*[F.lit(v) for kv in multi for v in kv])
+        chars = F.regexp_extract_all(x, F.lit("(?s)."), 0)
+        expanded = F.array_join(F.transform(chars, lambda ch: F.coalesce(F.try_element_at(m, ch), ch)), "")
         x = F.when(x.rlike(_char_class(ord(ch) for ch, _ in multi)), expanded).otherwise(x)
     x = F.translate(x, sfrom, sto)
     x = F.regexp_replace(x, r"[^\x00-\x7F]+", "")

@@ -172,7 +172,7 @@ def dense_row_id(df: DataFrame, order_cols: list[str], name: str = "row_id") ->
 
 def content_key(cols: list, name: str = "sk") -> Column:
     """Stable content key: first 15 hex digits of the MD5 of the columns."""
-    digest = F.md5(F.concat_ws("\u0001", *[F.coalesce(c(x).cast("string"), F.lit("\u0000"))
+    digest = F.md5(F.concat_ws("\u0001", *[F.coalesce(c(x).cast("string"), F.lit("\u0002"))
                                            for x in cols]))
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long").alias(name)
 

@@ -16,6 +16,7 @@ catalogue       one row per (p_type, p_brand) with a leaf code such as EC17x
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,9 +40,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def with_sql(*parts: str) -> str:
-    """Compose ``WITH a AS (...), b AS (...) <body>``; the last part is the body."""
+    """Compose ``WITH a AS (...), b AS (...) <body>``; the last part is the body.
+
+    The body may itself start with further ``name AS (...)`` definitions before
+    its final ``SELECT`` line."""
     *ctes, body = parts
-    return ("WITH " + ",\n".join(ctes) + "\n" + body) if ctes else body
+    ctes = [x.strip() for x in ctes]
+    b = body.strip()
+    if not re.match(r"(?i)select\b", b):
+        m = list(re.finditer(r"\)\s*\n\s*SELECT\b", b))[-1]
+        ctes.append(b[:m.start() + 1])
+        b = b[m.start() + 1:].strip()
+    return ("WITH " + ",\n".join(ctes) + "\n" + b) if ctes else b
 
 
 # ------------------------------------------------------------------- codes

@@ -1 +1,286 @@
-"""placeholder"""
+"""Registered queries: similarity search, matching, rating, embedding.
+
+Vectors are the whole ``embeddings`` table (every vector against every other
+one, itself excluded); text matching runs on all purchase lines against the
+whole money catalogue.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ledgerlink.functions import text as TX
+from ledgerlink.functions import vectors as V
+from ledgerlink.functions.cols import round_half_away
+from ledgerlink.operators import embed as EM
+from ledgerlink.operators import matching as MT
+from ledgerlink.operators import relational as RL
+from ledgerlink.operators import similarity as SIM
+from ledgerlink.plans import bindings as B
+from ledgerlink.plans.registry import register
+
+S = B.SPEC
+TOP_N = S.top_n
+
+
+def R(col, d):
+    return round_half_away(F.col(col) if isinstance(col, str) else col, d)
+
+
+def _emb(spark, sf):
+    return B.table(spark, sf, "embeddings")
+
+
+SQL_E = "e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
+SQL_MEANS = """u AS (SELECT label, unnest(v) AS x, unnest(generate_series(1, len(v))) AS pos FROM e),
+mv AS (SELECT label, list(mx ORDER BY pos) AS mean
+       FROM (SELECT label, pos, avg(x) AS mx FROM u GROUP BY label, pos) GROUP BY label)"""
+SQL_TOPK = f"""pairs AS (
+  SELECT a.vec_id AS q_id, b.vec_id AS t_id, list_cosine_similarity(a.v, b.v) AS sim
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY round(sim, 9) DESC, t_id) AS rank FROM pairs),
+topk AS (SELECT q_id, CAST(rank AS BIGINT) AS rank, t_id, sim FROM ranked WHERE rank <= {TOP_N})"""
+SQL_TOPK_OUT = "SELECT q_id, rank, t_id, round(sim, 6) AS similarity FROM topk"
+
+
+def _topk(spark, sf, mode):
+    e = _emb(spark, sf)
+    return SIM.topk_cosine(e, e, TOP_N, "vec_id", "embedding", "vec_id", "embedding",
+                           exclude_self=True, mode=mode)
+
+
+def _topk_out(df):
+    return df.select("q_id", "rank", "t_id", R("similarity", 6).alias("similarity"))
+
+
+@register("cosine_topk", B.with_sql(SQL_E, SQL_TOPK, SQL_TOPK_OUT))
+def cosine_topk(spark, sf):
+    """J9, default form: catalogue matrix broadcast after a size check."""
+    return _topk_out(_topk(spark, sf, "auto"))
+
+
+@register("cosine_topk_blocked", B.with_sql(SQL_E, SQL_TOPK, SQL_TOPK_OUT))
+def cosine_topk_blocked(spark, sf):
+    """J9, block x block form for catalogues too large to broadcast; small
+    blocks here so that several blocks per side are exercised."""
+    e = _emb(spark, sf)
+    top = SIM.topk_cosine(e, e, TOP_N, "vec_id", "embedding", "vec_id", "embedding",
+                          exclude_self=True, mode="blocked", block_rows=128)
+    return _topk_out(top)
+
+
+@register("cosine_pairs", B.with_sql(SQL_E, SQL_MEANS, """
+SELECT vec_id, label, round(list_cosine_similarity(v, mean), 6) AS similarity FROM e JOIN mv USING (label)"""))
+def cosine_pairs(spark, sf):
+    """F16 on every vector: cosine with the mean vector of its label."""
+    x = SIM.cosine_to_group_mean(_emb(spark, sf), "vec_id", "embedding", "label")
+    return x.select("vec_id", "label", R("similarity", 6).alias("similarity"))
+
+
+@register("group_centroids", """
+SELECT label, round(avg(embedding[1]), 9) AS cx, round(avg(embedding[2]), 9) AS cy,
+       CAST(count(*) AS BIGINT) AS size, CAST(2 * count(*) AS BIGINT) AS label_size
+FROM embeddings GROUP BY label""")
+def group_centroids(spark, sf):
+    """One aggregation (no join of two aggregates)."""
+    e = _emb(spark, sf)
+    return e.groupBy("label").agg(
+        R(F.avg(F.element_at("embedding", 1).cast("double")), 9).alias("cx"),
+        R(F.avg(F.element_at("embedding", 2).cast("double")), 9).alias("cy"),
+        F.count(F.lit(1)).alias("size"), (F.count(F.lit(1)) * 2).alias("label_size"))
+
+
+@register("knn_search", B.with_sql(SQL_E, """
+gm AS (SELECT list(mx ORDER BY pos) AS q FROM (
+         SELECT pos, avg(x) AS mx FROM (SELECT unnest(v) AS x, unnest(generate_series(1, len(v))) AS pos FROM e)
+         GROUP BY pos))
+SELECT t_id, rank, round(sim, 6) AS similarity FROM (
+  SELECT vec_id AS t_id, list_cosine_similarity(v, q) AS sim,
+         CAST(row_number() OVER (ORDER BY round(list_cosine_similarity(v, q), 9) DESC, vec_id) AS BIGINT) AS rank
+  FROM e, gm) WHERE rank <= 10"""))
+def knn_search(spark, sf):
+    """The 10 vectors nearest to the table's mean vector."""
+    e = _emb(spark, sf)
+    q = SIM.mean_vector(e, "embedding")          # one dimension-sized row
+    top = SIM.knn_search(e, q, 10, "vec_id", "embedding")
+    from pyspark.sql import Window
+    w = Window.orderBy(F.desc(R("similarity", 9)), "t_id")   # over the 10 rows only
+    return top.select("t_id", F.row_number().over(w).cast("long").alias("rank"),
+                      R("similarity", 6).alias("similarity"))
+
+
+# Every vector is a request against the catalogue named by its label
+def _requests(e):
+    return e.select(F.col("vec_id").alias("request_id"), "embedding",
+                    F.concat(F.lit("cat_"), F.col("label").cast("string")).alias("database_name"),
+                    (F.lit(1) + F.col("label") % 3).cast("long").alias("top_n"),
+                    F.when(F.col("label") == 9, F.lit(None)).otherwise(F.col("label") * 2.5).alias("amount"))
+
+
+def _search_catalogue(e):
+    v1 = F.element_at("embedding", 1).cast("double")
+    return e.select(F.col("vec_id").alias("code"), "embedding",
+                    F.concat(F.lit("cat_"), F.col("label").cast("string")).alias("category"),
+                    (v1 * v1).alias("factor"), F.lit("kg CO2e").alias("factor_unit"),
+                    F.lit("unit").alias("functional_unit"))
+
+
+SEARCH_MAX_N = 3
+
+
+@register("search_requests", B.with_sql(SQL_E, f"""
+req AS (SELECT vec_id AS request_id, v, 'cat_' || CAST(label AS VARCHAR) AS database_name,
+               CAST(1 + label % 3 AS BIGINT) AS top_n,
+               CASE WHEN label = 9 THEN NULL ELSE label * 2.5 END AS amount FROM e),
+cat AS (SELECT vec_id AS code, v, 'cat_' || CAST(label AS VARCHAR) AS category,
+               v[1] * v[1] AS factor FROM e),
+p AS (SELECT r.request_id, r.top_n, r.amount, c.code, c.category, c.factor,
+             list_cosine_similarity(r.v, c.v) AS sim
+      FROM req r JOIN cat c ON c.category = r.database_name AND c.code <> r.request_id),
+rk AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY round(sim, 9) DESC, code) AS rank FROM p)
+SELECT request_id, CAST(rank AS BIGINT) AS rank, code AS matched_code, category AS matched_category,
+       round_even(sim * 100, 0) / 100 AS similarity_score,
+       round(CASE WHEN amount IS NOT NULL AND factor IS NOT NULL THEN factor * amount END, 9) AS co2_emitted,
+       round(factor, 9) AS emission_factor, 'kg CO2e' AS emission_factor_unit, 'unit' AS functional_unit
+FROM rk WHERE rank <= top_n"""))
+def search_requests(spark, sf):
+    """A table of requests answered in one job, top-n per request,
+    each restricted to its named catalogue (grouped similarity search)."""
+    from ledgerlink.operators.money import optional_emissions
+    e = _emb(spark, sf)
+    req, cat = _requests(e), _search_catalogue(e)
+    top = SIM.topk_cosine(req, cat, SEARCH_MAX_N, "request_id", "embedding", "code", "embedding",
+                          q_group="database_name", t_group="category", exclude_self=True)
+    x = (top.join(req.select(F.col("request_id").alias("q_id"), "top_n", "amount"), "q_id")
+         .where(F.col("rank") <= F.col("top_n"))
+         .join(cat.drop("embedding").withColumnRenamed("code", "t_id"), "t_id"))
+    return x.select(F.col("q_id").alias("request_id"), "rank", F.col("t_id").alias("matched_code"),
+                    F.col("category").alias("matched_category"),
+                    (F.bround(F.col("similarity") * 100, 0) / 100).alias("similarity_score"),
+                    R(optional_emissions(F.col("factor"), F.col("amount")), 9).alias("co2_emitted"),
+                    R("factor", 9).alias("emission_factor"),
+                    F.col("factor_unit").alias("emission_factor_unit"), "functional_unit")
+
+
+@register("candidates_array", B.with_sql(SQL_E, SQL_TOPK, """
+SELECT q_id, string_agg(CAST(t_id AS VARCHAR), ',' ORDER BY rank) AS cand_ids,
+       round(max(sim), 6) AS best_score, CAST(count(*) AS BIGINT) AS n_cand FROM topk GROUP BY q_id"""))
+def candidates_array(spark, sf):
+    """Per vector, its 10 candidates as parallel lists in rank order."""
+    arr = MT.candidates_array(_topk(spark, sf, "auto"))
+    return arr.select("q_id", F.array_join(F.transform("cand_ids", lambda x: x.cast("string")), ",").alias("cand_ids"),
+                      R(F.array_max("cand_scores"), 6).alias("best_score"),
+                      F.size("cand_ids").cast("long").alias("n_cand"))
+
+
+SQL_CHOICE = """scored AS (
+  SELECT t.q_id, t.t_id, t.sim, CAST(0.8 AS DOUBLE) * t.sim +
+         CAST(0.2 AS DOUBLE) * CASE WHEN a.label = b.label THEN 1.0 ELSE 0.0 END AS score
+  FROM topk t JOIN e a ON a.vec_id = t.q_id JOIN e b ON b.vec_id = t.t_id),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY round(score, 9) DESC, t_id) AS r
+                        FROM scored) WHERE r = 1)"""
+
+
+def _choice(spark, sf):
+    e = _emb(spark, sf)
+    top = _topk(spark, sf, "auto")
+    lab = e.select("vec_id", "label")
+    scored = (top.join(lab.withColumnRenamed("vec_id", "q_id").withColumnRenamed("label", "ql"), "q_id")
+              .join(lab.withColumnRenamed("vec_id", "t_id").withColumnRenamed("label", "tl"), "t_id"))
+    same = F.when(F.col("ql") == F.col("tl"), F.lit(1.0)).otherwise(F.lit(0.0))
+    return MT.choose_match(scored, 0.8, 0.2, 0.0, overlap=same)
+
+
+@register("choose_match", B.with_sql(SQL_E, SQL_TOPK, SQL_CHOICE, """
+SELECT q_id, t_id AS chosen_id, round(sim, 6) AS similarity, round(score, 6) AS score FROM best"""))
+def choose_match(spark, sf):
+    """M6: rerank the 10 candidates (cosine + same-label bonus), keep one."""
+    b = _choice(spark, sf)
+    return b.select("q_id", F.col("t_id").alias("chosen_id"), R("similarity", 6).alias("similarity"),
+                    R("score", 6).alias("score"))
+
+
+@register("flag_mismatches", B.with_sql(SQL_E, SQL_TOPK, SQL_CHOICE, """
+SELECT e.vec_id, b.t_id AS chosen_id,
+       CAST(CASE WHEN b.sim IS NULL THEN NULL WHEN b.sim < 0 THEN 0
+                 ELSE least(floor(b.sim * 5) + 1, 5) END AS BIGINT) AS Rating,
+       coalesce(CASE WHEN b.sim IS NULL THEN NULL WHEN b.sim < 0 THEN 0
+                     ELSE least(floor(b.sim * 5) + 1, 5) END = 1, false) AS Flag
+FROM e LEFT JOIN best b ON b.q_id = e.vec_id"""))
+def flag_mismatches(spark, sf):
+    """M7: rating 1-5 of the chosen match's cosine, flag = rating 1, joined
+    back to every vector (left: rows without a match keep a null rating)."""
+    b = _choice(spark, sf).select(F.col("q_id").alias("vec_id"), F.col("t_id").alias("chosen_id"),
+                                  F.col("similarity").alias("match_similarity"))
+    rated = MT.flag_mismatches(b, "match_similarity")
+    rows = _emb(spark, sf).select("vec_id")
+    return MT.join_back(rows, rated.drop("match_similarity"), "vec_id", "left")
+
+
+# ------------------------------------------------------------ text match
+
+ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def _sql_profile(x: str) -> str:
+    t = f"lower({x})"
+    return "[" + ", ".join(f"CAST(length({t}) - length(replace({t}, '{ch}', '')) AS DOUBLE)"
+                           for ch in ALPHABET) + "]"
+
+
+def _sql_tokens(x: str) -> str:
+    return f"list_filter(regexp_split_to_array(lower({x}), '[^\\p{{L}}]+'), lambda s: length(s) >= 1)"
+
+
+SQL_MATCH = B.with_sql(B.SQL_PURCHASES, B.SQL_MONEY_CATALOGUE, f"""
+cat AS (SELECT row_number() OVER (ORDER BY cat_code) - 1 AS t_id, cat_code, cat_description,
+               {_sql_profile('cat_description')} AS v, {_sql_tokens('cat_description')} AS tok FROM catalogue),
+src AS (SELECT DISTINCT article || ' ' || lower(category) AS text FROM purchases),
+q AS (SELECT text, {_sql_profile('text')} AS v, {_sql_tokens('text')} AS tok FROM src),
+pairs AS (SELECT q.text, cat.t_id, cat.cat_code, list_cosine_similarity(q.v, cat.v) AS sim,
+                 CASE WHEN len(list_distinct(list_concat(q.tok, cat.tok))) = 0 THEN 0.0
+                      ELSE len(list_intersect(q.tok, cat.tok)) / len(list_distinct(list_concat(q.tok, cat.tok)))
+                 END AS ov
+          FROM q, cat),
+top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY round(sim, 9) DESC, t_id) AS rk
+                       FROM pairs) WHERE rk <= {TOP_N}),
+best AS (SELECT * FROM (SELECT *, CAST({S.w_cosine} AS DOUBLE) * sim + CAST({S.w_overlap} AS DOUBLE) * ov AS score,
+                               row_number() OVER (PARTITION BY text ORDER BY
+                                 round(CAST({S.w_cosine} AS DOUBLE) * sim + CAST({S.w_overlap} AS DOUBLE) * ov, 9) DESC,
+                                 t_id) AS r FROM top) WHERE r = 1)
+SELECT l_orderkey, l_linenumber, b.cat_code AS matched_code, round(b.sim, 6) AS match_similarity,
+       round(b.score, 6) AS match_score, k.ef
+FROM purchases p JOIN best b ON b.text = p.article || ' ' || lower(p.category)
+     LEFT JOIN catalogue k ON k.cat_code = b.cat_code""")
+
+
+@register("match_pipeline", SQL_MATCH)
+def match_pipeline(spark, sf):
+    """All purchase lines -> distinct article texts -> character-profile
+    vectors -> cosine top-10 over the whole catalogue -> rerank (cosine +
+    token overlap) -> join back -> attach the chosen entry's factor."""
+    from ledgerlink.plans.report import attach_factors
+    lines = B.purchases(spark, sf).select(
+        "l_orderkey", "l_linenumber", F.concat_ws(" ", "article", F.lower("category")).alias("text"))
+    cat = RL.dense_row_id(B.money_catalogue(spark, sf).select("cat_code", "cat_description", "ef"),
+                          ["cat_code"], "t_id")
+    m = MT.match_pipeline(lines, "text", cat, "t_id", "cat_description", TX.char_profile, TOP_N,
+                          S.w_cosine, S.w_overlap)
+    ids = cat.select(F.col("t_id").alias("match_id"), F.col("cat_code").alias("matched_code"))
+    m = MT.join_back(m, ids, "match_id", "left")
+    m = attach_factors(m, B.money_catalogue(spark, sf).select(F.col("cat_code").alias("matched_code"), "ef"),
+                       "matched_code")
+    return m.select("l_orderkey", "l_linenumber", "matched_code",
+                    R("match_similarity", 6).alias("match_similarity"),
+                    R("match_score", 6).alias("match_score"), "ef")
+
+
+@register("embed_distinct")
+def embed_distinct(spark, sf):
+    """M1: TF-IDF vectors of every distinct normalised document text, joined
+    back to all documents (rows-only check; see tests for properties)."""
+    d = B.table(spark, sf, "documents").select("doc_id", "text")
+    x = EM.embed_distinct(d, "text", lambda t: EM.tfidf_vectors(t, "text", 256))
+    return x.select("doc_id", F.size("embedding").cast("long").alias("dim"),
+                    R(V.norm(F.col("embedding")), 6).alias("norm"))
