@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlink.functions.cols import c, existing, numeric_fields, string_fields
-from ledgerlink.session import bounded_broadcast
+from ledgerlink.session import bounded_broadcast, ensure_checkpoint_dir
 
 
 # ----------------------------------------------------------------- dedupe / counts
@@ -131,7 +131,11 @@ def global_order_index(df: DataFrame, order_cols: list[str], value_col: str | No
             pos += k
             yield pdf
 
-    local = ranged.mapInPandas(number, out_schema)
+    # Materialised once in the shared checkpoint folder: both consumers below
+    # (partition offsets, final numbering) read the same numbering, the lineage
+    # is cut, and a lost executor cannot re-sample different range bounds.
+    ensure_checkpoint_dir(df.sparkSession)
+    local = ranged.mapInPandas(number, out_schema).checkpoint(eager=True)
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # one row per partition: bounded by the partition count, so broadcast is safe
     offsets = (local.groupBy("_pid")
@@ -177,24 +181,27 @@ def content_key(cols: list, name: str = "sk") -> Column:
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long").alias(name)
 
 
-def exact_median_by(df: DataFrame, key: str, value: str, name: str = "median") -> DataFrame:
+def exact_median_by(df: DataFrame, keys, value: str, name: str = "median") -> DataFrame:
     """Exact median per key (mean of the middle two), nulls ignored.
 
-    Rows are globally ordered by (key, value); each key's middle positions are
+    Rows are globally ordered by (keys, value); each key's middle positions are
     computed from its first position and count, and the middle rows are picked
     by an equi join on the global position, which is unique per row, so a key
     holding a third of all rows is never gathered into one task.
     """
-    base = df.select(c(key).alias("_k"), c(value).cast("double").alias("_v")).where(
-        F.col("_v").isNotNull() & F.col("_k").isNotNull())
-    g = global_order_index(base, ["_k", "_v"])
-    stats = g.groupBy("_k").agg(F.min("_gidx").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    ks = [f"_k{i}" for i in range(len(keys))]
+    base = df.select(*[c(k).alias(a) for k, a in zip(keys, ks)], c(value).cast("double").alias("_v")).where(
+        F.col("_v").isNotNull())
+    g = global_order_index(base, ks + ["_v"])
+    stats = g.groupBy(*ks).agg(F.min("_gidx").alias("_start"), F.count(F.lit(1)).alias("_n"))
     targets = stats.select(
-        "_k", F.explode(F.array(F.col("_start") + F.floor((F.col("_n") - 1) / 2),
-                                F.col("_start") + F.floor(F.col("_n") / 2))).cast("long").alias("_gidx")
+        *ks, F.explode(F.array((F.col("_start") + F.floor((F.col("_n") - 1) / 2)).cast("long"),
+                               (F.col("_start") + F.floor(F.col("_n") / 2)).cast("long"))).alias("_gidx")
     ).dropDuplicates(["_gidx"])
-    mids = g.join(targets, ["_gidx", "_k"])
-    return mids.groupBy("_k").agg(F.avg("_v").alias(name)).withColumnRenamed("_k", key)
+    mids = g.join(targets.drop(*ks), "_gidx")
+    out = mids.groupBy(*ks).agg(F.avg("_v").alias(name))
+    return out.select(*[F.col(a).alias(k) for k, a in zip(keys, ks)], name)
 
 
 # ------------------------------------------------------------------ corrections

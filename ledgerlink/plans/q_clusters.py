@@ -1 +1,113 @@
-"""placeholder"""
+"""Registered queries: k-means, representatives, titles, projection, cluster join."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ledgerlink.functions import text as TX
+from ledgerlink.functions import vectors as V
+from ledgerlink.functions.cols import round_half_away
+from ledgerlink.operators import clusters as CL
+from ledgerlink.operators.matching import join_back
+from ledgerlink.plans import bindings as B
+from ledgerlink.plans.registry import register
+
+S = B.SPEC
+
+
+def R(col, d):
+    return round_half_away(F.col(col) if isinstance(col, str) else col, d)
+
+
+def _emb(spark, sf):
+    return B.table(spark, sf, "embeddings")
+
+
+SQL_E = "e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
+SQL_LONG = """u AS (SELECT vec_id, label, unnest(v) AS x, unnest(generate_series(1, len(v))) AS pos FROM e),
+cm AS (SELECT label AS cluster, pos, avg(x) AS mx FROM u GROUP BY label, pos),
+d AS (SELECT u.vec_id, u.label, cm.cluster, sum((u.x - cm.mx) * (u.x - cm.mx)) AS sqdist
+      FROM u JOIN cm ON cm.pos = u.pos GROUP BY u.vec_id, u.label, cm.cluster)"""
+
+
+@register("kmeans_fit")
+def kmeans_fit(spark, sf):
+    """M2: k-means (k = 12) over all vectors; rows-only check, properties in tests."""
+    assigned, _ = CL.kmeans_fit(_emb(spark, sf), "vec_id", "embedding", S.n_clusters, seed=42)
+    return assigned
+
+
+@register("kmeans_step", B.with_sql(SQL_E, SQL_LONG, """
+SELECT vec_id, arg_min(cluster, (round(sqdist, 9), cluster)) AS cluster, round(min(sqdist), 6) AS sqdist
+FROM d GROUP BY vec_id"""))
+def kmeans_step(spark, sf):
+    """M2, one exact Lloyd assignment: every vector to the nearest label mean."""
+    e = _emb(spark, sf)
+    cents = CL.group_means(e, "embedding", "label")          # k rows
+    a = CL.assign_nearest(e, "vec_id", "embedding", cents)
+    return a.select("vec_id", "cluster", R("sqdist", 6).alias("sqdist"))
+
+
+@register("cluster_reps_nearest", B.with_sql(SQL_E, SQL_LONG, f"""
+SELECT label, CAST(rank AS BIGINT) AS rank, vec_id, round(sqdist, 6) AS sqdist FROM (
+  SELECT label, vec_id, sqdist, row_number() OVER (PARTITION BY label ORDER BY round(sqdist, 9), vec_id) AS rank
+  FROM d WHERE cluster = label) WHERE rank <= {S.reps_per_cluster}"""))
+def cluster_reps_nearest(spark, sf):
+    """M3(a): 10 representatives per cluster, nearest to its centroid."""
+    e = _emb(spark, sf)
+    cents = V.mean_vectors(e, "embedding", ["label"]).drop("n")
+    r = CL.nearest_representatives(e, "vec_id", "embedding", "label", cents, S.reps_per_cluster)
+    return r.select("label", "rank", "vec_id", R("sqdist", 6).alias("sqdist"))
+
+
+@register("cluster_reps_subcluster")
+def cluster_reps_subcluster(spark, sf):
+    """M3(b): per cluster the row nearest to each of 10 sub-centroids."""
+    return CL.subcluster_representatives(_emb(spark, sf), "vec_id", "embedding", "label",
+                                         k_sub=S.reps_per_cluster, iters=5)
+
+
+def _sql_tokens(x, min_len=3):
+    return f"list_filter(regexp_split_to_array(lower({x}), '[^\\p{{L}}]+'), lambda s: length(s) >= {min_len})"
+
+
+SQL_TITLES = f"""toks AS (SELECT source AS cl, unnest({_sql_tokens('text')}) AS term FROM documents),
+tf AS (SELECT cl, term, count(*) AS tf FROM toks GROUP BY cl, term),
+k AS (SELECT CAST(count(DISTINCT cl) AS DOUBLE) AS k FROM tf),
+dfq AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+sc AS (SELECT cl, tf.term, tf * ln(k / df) AS score FROM tf JOIN dfq USING (term), k),
+top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cl ORDER BY round(score, 9) DESC, term) AS r FROM sc)
+        WHERE r <= 5),
+titles AS (SELECT cl AS source,
+       string_agg(term, ' ' ORDER BY r) FILTER (WHERE r <= 3) AS cluster_title,
+       string_agg(term, ', ' ORDER BY r) AS cluster_description FROM top GROUP BY cl)"""
+
+
+@register("cluster_titles", "WITH " + SQL_TITLES + "\nSELECT * FROM titles")
+def cluster_titles(spark, sf):
+    """M4: a title and a description per document cluster (the source)."""
+    return CL.cluster_titles(B.table(spark, sf, "documents"), "source", "text")
+
+
+@register("attach_clusters", "WITH " + SQL_TITLES + r""",
+nt AS (SELECT doc_id, source, regexp_replace(regexp_replace(regexp_replace(strip_accents(text),
+         '[^\x00-\x7F]+', '', 'g'), '[\x{0009}-\x{000D}\x{001C}-\x{0020}]+', ' ', 'g'), '^ +| +$', '', 'g') AS norm
+       FROM documents),
+ct AS (SELECT norm, min(source) AS source FROM nt GROUP BY norm)
+SELECT nt.doc_id, ct.source AS cluster, t.cluster_title
+FROM nt LEFT JOIN ct ON ct.norm = nt.norm LEFT JOIN titles t ON t.source = ct.source""")
+def attach_clusters(spark, sf):
+    """Clusters are keyed by the *normalised* text on both sides (Q4):
+    one cluster per distinct normal form, then titles joined by cluster id."""
+    d = B.table(spark, sf, "documents")
+    titles = CL.cluster_titles(d, "source", "text").select(F.col("source").alias("cluster"), "cluster_title")
+    nt = d.select("doc_id", "source", TX.normalize_text("text").alias("norm"))
+    per_text = nt.groupBy("norm").agg(F.min("source").alias("cluster"))
+    x = join_back(nt.select("doc_id", "norm"), per_text, "norm", "left")
+    return join_back(x, titles, "cluster", "left").select("doc_id", "cluster", "cluster_title")
+
+
+@register("project_2d")
+def project_2d(spark, sf):
+    """PCA to two dimensions (rows-only check)."""
+    return CL.project_2d(_emb(spark, sf), "vec_id", "embedding")

@@ -60,15 +60,20 @@ def checkpoint_dir(spark: SparkSession, allow_local_default: bool = False) -> st
         if not allow_local_default:
             raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
         d = tempfile.mkdtemp(prefix="ledgerlink-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The checkpoint folder for ``DataFrame.checkpoint``: the session's
+    ``spark.checkpoint.dir``; a local temporary folder only in local mode."""
+    return checkpoint_dir(spark, allow_local_default=spark.sparkContext.master.startswith("local"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A per-call sub-folder of the shared checkpoint folder."""
-    base = checkpoint_dir(spark, allow_local_default=True)
+    base = ensure_checkpoint_dir(spark)
     base = base[len("file:"):] if base.startswith("file:") else base
     os.makedirs(base, exist_ok=True) if "://" not in base else None
     return tempfile.mkdtemp(prefix=f"{name}-", dir=base) if "://" not in base \
