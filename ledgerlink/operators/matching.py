@@ -16,19 +16,25 @@ from pyspark.sql import functions as F
 
 from ledgerlink.functions import text as TX
 from ledgerlink.functions.cols import c, round_half_away
-from ledgerlink.operators.relational import dense_row_id
 from ledgerlink.operators.similarity import RANK_DECIMALS, topk_cosine
-from ledgerlink.session import bounded_broadcast
+from ledgerlink.session import bounded_broadcast, materialize
 
 DISTINCT_BROADCAST_MAX_ROWS = 2_000_000
 
 
-def join_back(rows: DataFrame, per_text: DataFrame, key: str, how: str = "inner") -> DataFrame:
+def join_back(rows: DataFrame, per_text: DataFrame, key: str, how: str = "inner",
+              stage: str | None = None) -> DataFrame:
     """Attach per-distinct-text results to every row, taking only
-    the result's new columns (no ``_unique`` copies)."""
+    the result's new columns (no ``_unique`` copies).
+
+    With ``stage``, the per-text result is first written to the shared
+    checkpoint folder (the pipeline's stage), so the size check and the join
+    read it instead of recomputing the expensive work behind it."""
     new = [x for x in per_text.columns if x == key or x not in rows.columns]
-    side = bounded_broadcast(per_text.select(*[c(x) for x in new]), DISTINCT_BROADCAST_MAX_ROWS)
-    return rows.join(side, key, how)
+    side = per_text.select(*[c(x) for x in new])
+    if stage:
+        side = materialize(side, stage)
+    return rows.join(bounded_broadcast(side, DISTINCT_BROADCAST_MAX_ROWS), key, how)
 
 
 def candidates_array(topk: DataFrame, catalogue: DataFrame | None = None,
@@ -103,8 +109,9 @@ def match_pipeline(rows: DataFrame, text_col: str, catalogue: DataFrame, cat_id:
     Returns every input row with ``match_id``, ``match_similarity``, ``match_score``.
     """
     uniq = rows.select(c(text_col).alias("_text")).where(F.col("_text").isNotNull()).distinct()
-    # dense ids 0..n-1 in text order: collision-free, unlike a 64-bit hash
-    uniq = dense_row_id(uniq, ["_text"], "_qid")
+    # unique ids (collision-free, unlike a 64-bit hash), fixed by writing the
+    # distinct texts once to the shared checkpoint folder
+    uniq = materialize(uniq.withColumn("_qid", F.monotonically_increasing_id()), "distinct-texts")
     qv = uniq.select("_qid", embed(F.col("_text")).alias("_vec"))
     cv = catalogue.select(c(cat_id).alias("_tid"), embed(c(cat_text)).alias("_vec"))
     top = topk_cosine(qv, cv, top_n, "_qid", "_vec", "_tid", "_vec", mode=mode)
@@ -119,4 +126,4 @@ def match_pipeline(rows: DataFrame, text_col: str, catalogue: DataFrame, cat_id:
                                       F.col("similarity").alias("match_similarity"),
                                       F.col("score").alias("match_score")), "_qid", "left")
                 .select(F.col("_text").alias(text_col), "match_id", "match_similarity", "match_score"))
-    return join_back(rows, per_text, text_col, "left")
+    return join_back(rows, per_text, text_col, "left", stage="matches-per-text")

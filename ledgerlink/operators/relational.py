@@ -3,21 +3,18 @@
 Ordering-dependent operators (fixed batches, token-budget batches, dense row
 ids, exact medians) are built on ``global_order_index``: range-partition on the
 order key, number rows inside each partition, then add the row count (and
-value sum) of all earlier partitions. That gives the exact global position and
+value sum) of all earlier partitions (all JVM-side). That gives the exact global position and
 running sum without the single-partition exchange a global window needs.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlink.functions.cols import c, existing, numeric_fields, string_fields
-from ledgerlink.session import bounded_broadcast, ensure_checkpoint_dir
+from ledgerlink.session import bounded_broadcast, materialize
 
 
 # ----------------------------------------------------------------- dedupe / counts
@@ -102,40 +99,27 @@ def global_order_index(df: DataFrame, order_cols: list[str], value_col: str | No
     """Add ``_gidx`` (0-based position in ``order_cols`` order) and, with
     ``value_col``, ``_gcum`` (inclusive running sum of it).
 
-    Pass a narrow DataFrame (keys and values only): rows travel through one
-    Arrow batch pass. The order columns must identify rows for a deterministic
-    result.
+    1. range-partition and sort on the order key (sampled bounds, no single
+       partition); ``monotonically_increasing_id`` then holds (partition id,
+       position inside the partition);
+    2. the narrow numbered rows are written once to the shared checkpoint
+       folder (lineage cut; a lost executor cannot re-sample other bounds);
+    3. per-partition counts and sums (one row per partition, broadcast) give
+       each partition's offset.
+    Pass a narrow DataFrame (keys and values); order columns must identify rows.
     """
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *[c(o) for o in order_cols]).sortWithinPartitions(
-        *[c(o) for o in order_cols])
-    out_schema = T.StructType(ranged.schema.fields + [
-        T.StructField("_pid", T.LongType()), T.StructField("_lidx", T.LongType()),
-        T.StructField("_lcum", T.DoubleType())])
-
-    def number(batches):
-        pid = TaskContext.get().partitionId()
-        pos, run = 0, 0.0
-        for pdf in batches:
-            k = len(pdf)
-            pdf = pdf.copy()
-            pdf["_pid"] = np.int64(pid)
-            pdf["_lidx"] = np.arange(pos, pos + k, dtype=np.int64)
-            if value_col is not None:
-                v = pd.to_numeric(pdf[value_col]).fillna(0).to_numpy(dtype=np.float64)
-                cs = np.cumsum(v) + run
-                run = float(cs[-1]) if k else run
-                pdf["_lcum"] = cs
-            else:
-                pdf["_lcum"] = 0.0
-            pos += k
-            yield pdf
-
-    # Materialised once in the shared checkpoint folder: both consumers below
-    # (partition offsets, final numbering) read the same numbering, the lineage
-    # is cut, and a lost executor cannot re-sample different range bounds.
-    ensure_checkpoint_dir(df.sparkSession)
-    local = ranged.mapInPandas(number, out_schema).checkpoint(eager=True)
+    ordered = [c(o) for o in order_cols]
+    mid = F.monotonically_increasing_id()
+    local = (df.repartitionByRange(n, *ordered).sortWithinPartitions(*ordered)
+             .withColumn("_mid", mid)
+             .withColumn("_pid", F.shiftright(F.col("_mid"), 33))
+             .withColumn("_lidx", F.col("_mid") - F.shiftleft(F.col("_pid"), 33))
+             .drop("_mid"))
+    local = materialize(local, "order-index")
+    if value_col is not None:
+        wl = Window.partitionBy("_pid").orderBy("_lidx").rowsBetween(Window.unboundedPreceding, 0)
+        local = local.withColumn("_lcum", F.sum(c(value_col).cast("double")).over(wl))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # one row per partition: bounded by the partition count, so broadcast is safe
     offsets = (local.groupBy("_pid")
@@ -147,8 +131,8 @@ def global_order_index(df: DataFrame, order_cols: list[str], value_col: str | No
     out = local.join(F.broadcast(offsets), "_pid")
     out = out.withColumn("_gidx", F.col("_off") + F.col("_lidx"))
     if value_col is not None:
-        out = out.withColumn("_gcum", F.col("_soff") + F.col("_lcum"))
-    return out.drop("_pid", "_lidx", "_lcum", "_off", "_soff")
+        out = out.withColumn("_gcum", F.col("_soff") + F.col("_lcum")).drop("_lcum")
+    return out.drop("_pid", "_lidx", "_off", "_soff")
 
 
 def fixed_batches(df: DataFrame, order_cols: list[str], batch_rows: int) -> DataFrame:

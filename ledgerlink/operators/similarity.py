@@ -104,25 +104,34 @@ def _prep(df: DataFrame, id_col: str, vec_col: str, grp: str | None) -> DataFram
     return df.select(*cols)
 
 
-def catalogue_bytes(catalogue: DataFrame, vec_col: str, max_rows: int) -> tuple[int, int] | None:
-    """(rows, dim) if the catalogue has at most ``max_rows`` rows, else None.
-    A bounded action: never counts past the bound."""
-    probe = catalogue.select(F.size(c(vec_col)).alias("d")).limit(max_rows + 1)
-    stats = probe.agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("d")).first()
-    if stats["n"] > max_rows:
+def vector_dim(df: DataFrame, vec_col: str) -> int:
+    """Dimension of the vectors (from one row: a bounded action)."""
+    r = df.select(F.size(c(vec_col)).alias("d")).where(F.col("d") >= 0).first()
+    return int(r["d"]) if r else 0
+
+
+def collect_catalogue(catalogue: DataFrame, t_id: str, t_vec: str, t_group: str | None,
+                      max_bytes: int):
+    """The catalogue as numpy arrays if its matrix fits ``max_bytes``, else None.
+    Collects at most ``max_bytes / (8 x dim) + 1`` rows (never the whole table)."""
+    dim = max(vector_dim(catalogue, t_vec), 1)
+    bound = max_bytes // (8 * dim)
+    cat = _prep(catalogue, t_id, t_vec, t_group).limit(bound + 1).toPandas()
+    if len(cat) > bound:
         return None
-    return int(stats["n"]), int(stats["d"] or 0)
+    return (cat["_id"].to_numpy(dtype=np.int64), _stack(cat["_v"], dim), cat["_g"].to_numpy())
 
 
 def topk_broadcast(queries: DataFrame, catalogue: DataFrame, k: int, q_id: str, q_vec: str,
                    t_id: str, t_vec: str, q_group: str | None = None, t_group: str | None = None,
-                   exclude_self: bool = False) -> DataFrame:
-    """Broadcast form. The caller has checked the catalogue size."""
+                   exclude_self: bool = False, collected=None) -> DataFrame:
+    """Broadcast form; ``collected`` is the checked catalogue (see
+    ``collect_catalogue``)."""
     spark = queries.sparkSession
-    cat = _prep(catalogue, t_id, t_vec, t_group).toPandas()   # bounded by the size check
-    t_ids = cat["_id"].to_numpy(dtype=np.int64)
-    t_mat = _stack(cat["_v"])
-    t_grp = cat["_g"].to_numpy() if q_group else None
+    if collected is None:
+        collected = collect_catalogue(catalogue, t_id, t_vec, t_group, 1 << 62)
+    t_ids, t_mat, t_grp_all = collected
+    t_grp = t_grp_all if q_group else None
     bc = spark.sparkContext.broadcast((t_ids, t_mat, t_grp))
     use_group = q_group is not None
 
@@ -191,10 +200,9 @@ def topk_cosine(queries: DataFrame, catalogue: DataFrame, k: int, q_id: str, q_v
     if mode == "blocked":
         return topk_blocked(*args, block_rows=block_rows)
     if mode in ("auto", "broadcast"):
-        # rows bound from the byte budget at an assumed minimum of 8 dimensions
-        bound = catalogue_bytes(catalogue, t_vec, max_broadcast_bytes // 64)
-        if bound is not None and bound[0] * max(bound[1], 1) * 8 <= max_broadcast_bytes:
-            return topk_broadcast(*args)
+        collected = collect_catalogue(catalogue, t_id, t_vec, t_group, max_broadcast_bytes)
+        if collected is not None:
+            return topk_broadcast(*args, collected=collected)
         if mode == "broadcast":
             raise ValueError("catalogue exceeds the broadcast budget")
     return topk_blocked(*args, block_rows=block_rows)

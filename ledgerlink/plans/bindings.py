@@ -35,8 +35,16 @@ CHF_FIRST_MONTH = dt.date(1996, 1, 1)
 INDEX_ORIGIN = dt.date(1995, 1, 1)
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table (read-only input), read once per session: opening a Parquet
+    source lists files and reads footers eagerly, so the DataFrame is reused."""
+    key = (id(spark._jsparkSession), sf_dir, name)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _TABLES[key]
 
 
 def with_sql(*parts: str) -> str:

@@ -215,7 +215,7 @@ def flag_mismatches(spark, sf):
                                   F.col("similarity").alias("match_similarity"))
     rated = MT.flag_mismatches(b, "match_similarity")
     rows = _emb(spark, sf).select("vec_id")
-    return MT.join_back(rows, rated.drop("match_similarity"), "vec_id", "left")
+    return MT.join_back(rows, rated.drop("match_similarity"), "vec_id", "left", stage="ratings")
 
 
 # ------------------------------------------------------------ text match

@@ -80,12 +80,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         else f"{base.rstrip('/')}/{name}-{os.getpid()}-{id(spark)}"
 
 
+_BOUND_CHECKS: dict[tuple, int] = {}
+
+
+def bounded_rows(df: DataFrame, max_rows: int) -> int:
+    """min(row count, max_rows + 1), by a bounded action that never counts past
+    the bound; memoised per session by the plan's semantic hash, so the same
+    small table is measured once per job, not once per use."""
+    key = (id(df.sparkSession._jsparkSession), df.semanticHash(), max_rows)
+    if key not in _BOUND_CHECKS:
+        _BOUND_CHECKS[key] = df.limit(max_rows + 1).count()
+    return _BOUND_CHECKS[key]
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows.
 
-    The check is a bounded action (``limit(max_rows + 1).count()``); beyond the
-    bound the plain DataFrame is returned and Spark plans a shuffle join (AQE may
-    still convert it at runtime from measured sizes).
+    Beyond the bound the plain DataFrame is returned and Spark plans a shuffle
+    join (AQE may still convert it at runtime from measured sizes).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if bounded_rows(df, max_rows) <= max_rows else df
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read
+    it back: a lineage cut that survives executor loss (one job, unlike an
+    eager reliable ``checkpoint``, which computes its input twice)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
