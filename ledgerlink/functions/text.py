@@ -98,8 +98,18 @@ def words(col) -> Column:
     return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, ws + "+"))
 
 
+@functools.lru_cache(maxsize=None)
+def _whitespace_chars() -> str:
+    return "".join(chr(cp) for cp in range(0x10000) if chr(cp).isspace())
+
+
 def word_count(col) -> Column:
-    return F.size(words(col)).cast("long")
+    """Number of whitespace-separated words: every whitespace character becomes
+    a blank (``translate``), then a split on one blank (no regex engine) and
+    the empty pieces removed."""
+    ws = _whitespace_chars()
+    blanks = F.translate(_as_col(col), ws, " " * len(ws))
+    return F.size(F.array_remove(F.split(blanks, " "), "")).cast("long")
 
 
 def wrap_words(col, n: int, sep: str = "<br>") -> Column:
@@ -150,19 +160,19 @@ def _nfkd_ascii_tables():
 def normalize_text(col) -> Column:
     """F8: fold to ASCII by NFKD, drop the rest, collapse whitespace, trim.
 
-    Characters whose ASCII image is one character go through one ``translate``;
-    the few hundred with longer images (ligatures, fractions, ...) are looked up
-    per code point in a literal map, only on rows that contain one of them.
+    One ``translate`` maps every character whose ASCII image is one character.
+    Rows that still hold non-ASCII characters (a one-range test) are cut into
+    ASCII runs and single other characters; only the latter are looked up in a
+    literal map of the few hundred multi-character images (ligatures,
+    fractions, ...), anything else is dropped.
     """
     sfrom, sto, multi = _nfkd_ascii_tables()
-    x = _as_col(col)
-    if multi:
-        m = F.create_map(*[F.lit(v) for kv in multi for v in kv])
-        chars = F.regexp_extract_all(x, F.lit("(?s)."), 0)
-        expanded = F.array_join(F.transform(chars, lambda ch: F.coalesce(F.try_element_at(m, ch), ch)), "")
-        x = F.when(x.rlike(_char_class(ord(ch) for ch, _ in multi)), expanded).otherwise(x)
-    x = F.translate(x, sfrom, sto)
-    x = F.regexp_replace(x, r"[^\x00-\x7F]+", "")
+    x = F.translate(_as_col(col), sfrom, sto)
+    m = F.create_map(*[F.lit(v) for kv in multi for v in kv])
+    parts = F.regexp_extract_all(x, F.lit(r"[^\x00-\x7F]|[\x00-\x7F]+"), 0)
+    expanded = F.array_join(F.transform(parts, lambda t: F.when(F.ascii(t) < 128, t).otherwise(
+        F.coalesce(F.try_element_at(m, t), F.lit("")))), "")
+    x = F.when(x.rlike(r"[^\x00-\x7F]"), expanded).otherwise(x)
     x = F.regexp_replace(x, ascii_whitespace_class() + "+", " ")
     return F.regexp_replace(x, "^ +| +$", "")
 
@@ -173,6 +183,13 @@ def tokens(col, min_len: int = 1) -> Column:
     return F.filter(t, lambda s: F.length(s) >= min_len)
 
 
+def token_rows(df, col, min_len: int = 1, name: str = "term", keep: list | None = None):
+    """One row per lower-cased letter run of length >= ``min_len`` (exploded
+    and filtered as rows, which stays in generated code)."""
+    x = df.select(*(keep or []), F.explode(F.split(F.lower(_as_col(col)), r"[^\p{L}]+")).alias(name))
+    return x.where(F.length(name) >= min_len)
+
+
 def char_profile(col, alphabet: str = "abcdefghijklmnopqrstuvwxyz0123456789") -> Column:
     """Character-count vector over ``alphabet`` of the lower-cased text.
 

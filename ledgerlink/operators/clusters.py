@@ -114,7 +114,8 @@ def cluster_titles(df: DataFrame, cluster_col: str, text_col: str, n_title: int
                    n_desc: int = 5, min_len: int = 3) -> DataFrame:
     """M4: title (top ``n_title`` terms) and description (top ``n_desc``) per
     cluster; term score = tf(cluster, term) x ln(K / df(term)), ties by term."""
-    toks = df.select(c(cluster_col).alias("_cl"), F.explode(TX.tokens(c(text_col), min_len)).alias("term"))
+    toks = TX.token_rows(df.select(c(cluster_col).alias("_cl"), c(text_col).alias("_t")), "_t", min_len,
+                         keep=["_cl"])
     tf = toks.groupBy("_cl", "term").agg(F.count(F.lit(1)).alias("tf"))
     k = tf.select(F.countDistinct("_cl").cast("double")).scalar()     # scalar subquery, no action
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ledgerlink.functions import text as TX
 from ledgerlink.functions.cols import c
+from ledgerlink.session import materialize
 
 
 def distinct_texts(df: DataFrame, text_col: str, normalise: bool = True) -> DataFrame:
@@ -96,6 +97,9 @@ def embed_distinct(df: DataFrame, text_col: str, embed: Callable[[DataFrame], Da
     every row (left join: rows with a null text keep a null vector)."""
     key = "_norm_text"
     rows = df.withColumn(key, TX.normalize_text(c(text_col)) if normalise else c(text_col))
+    # one normalising pass, written as a stage: the distinct texts, the model
+    # fit and the join-back all read it
+    rows = materialize(rows, "normalised-rows")
     uniq = rows.select(F.col(key).alias("text")).where(F.col("text").isNotNull()).distinct()
     vecs = embed(uniq).withColumnRenamed("text", key)
     return rows.join(vecs, key, "left")

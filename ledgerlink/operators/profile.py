@@ -16,8 +16,11 @@ from pyspark.sql import functions as F
 from ledgerlink.functions import text as TX
 from ledgerlink.functions.cols import c
 
-# date formats recognised by the profiler (strict patterns, not free casts)
-DATE_FORMATS = ["yyyy-MM-dd", "dd/MM/yyyy"]
+# date formats recognised by the profiler (strict patterns, not free casts),
+# each with the shape a value must have before it is handed to the parser
+DATE_FORMATS = {"yyyy-MM-dd": r"^\d{4}-\d{2}-\d{2}$", "dd/MM/yyyy": r"^\d{2}/\d{2}/\d{4}$"}
+# plain decimal numbers (optionally signed, with exponent)
+NUMBER_SHAPE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 ROLES = ["date_column", "amount_column", "unit_column", "description_column", "contextual_column"]
 
@@ -30,12 +33,17 @@ def profile_columns(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
         F.struct(F.lit(n).alias("column"), c(n).cast("string").alias("value")) for n in cols])).alias("kv")
     ).select("kv.column", "kv.value")
     nn = F.col("value").isNotNull()
+    v = F.col("value")
+    # cheap shape tests first: the parsers only see plausible values (a failed
+    # parse is far more expensive than a regex test)
+    is_date = F.coalesce(*[F.when(v.rlike(shape), F.try_to_date(v, fmt))
+                           for fmt, shape in DATE_FORMATS.items()]).isNotNull()
+    is_number = F.when(v.rlike(NUMBER_SHAPE), v.try_cast("double")).isNotNull()
     g = long.groupBy("column").agg(
         F.count("value").alias("n_nonnull"),
         F.countDistinct("value").alias("n_distinct"),
-        F.sum(F.when(nn & F.coalesce(*[F.try_to_date("value", f) for f in DATE_FORMATS]).isNotNull(), 1)
-              .otherwise(0)).alias("_nd"),
-        F.sum(F.when(nn & F.col("value").try_cast("double").isNotNull(), 1).otherwise(0)).alias("_nx"),
+        F.sum(F.when(nn & is_date, 1).otherwise(0)).alias("_nd"),
+        F.sum(F.when(nn & is_number, 1).otherwise(0)).alias("_nx"),
         F.avg(F.length("value")).alias("avg_len"),
         F.avg(TX.word_count(F.col("value"))).alias("avg_words"))
     share = lambda x: F.when(F.col("n_nonnull") > 0, F.col(x) / F.col("n_nonnull")).otherwise(F.lit(0.0))

@@ -104,8 +104,8 @@ def global_order_index(df: DataFrame, order_cols: list[str], value_col: str | No
        position inside the partition);
     2. the narrow numbered rows are written once to the shared checkpoint
        folder (lineage cut; a lost executor cannot re-sample other bounds);
-    3. per-partition counts and sums (one row per partition, broadcast) give
-       each partition's offset.
+    3. per-partition counts and sums (one row per partition, collected) give
+       each partition's offset, applied as a literal map lookup.
     Pass a narrow DataFrame (keys and values); order columns must identify rows.
     """
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -120,15 +120,24 @@ def global_order_index(df: DataFrame, order_cols: list[str], value_col: str | No
     if value_col is not None:
         wl = Window.partitionBy("_pid").orderBy("_lidx").rowsBetween(Window.unboundedPreceding, 0)
         local = local.withColumn("_lcum", F.sum(c(value_col).cast("double")).over(wl))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per partition: bounded by the partition count, so broadcast is safe
-    offsets = (local.groupBy("_pid")
-               .agg(F.count(F.lit(1)).alias("_pn"),
-                    (F.sum(c(value_col)).cast("double") if value_col else F.lit(0.0)).alias("_ps"))
-               .select("_pid",
-                       F.coalesce(F.sum("_pn").over(w), F.lit(0)).cast("long").alias("_off"),
-                       F.coalesce(F.sum("_ps").over(w), F.lit(0.0)).alias("_soff")))
-    out = local.join(F.broadcast(offsets), "_pid")
+    # one row per partition (bounded by the partition count), read from the
+    # written stage; offsets are prefix sums over partition ids, injected as a
+    # literal map: no single-partition exchange anywhere in the plan
+    stats = (local.groupBy("_pid")
+             .agg(F.count(F.lit(1)).alias("_pn"),
+                  (F.sum(c(value_col)).cast("double") if value_col else F.lit(0.0)).alias("_ps"))
+             .collect())
+    off, soff, run_n, run_s = {}, {}, 0, 0.0
+    for r in sorted(stats, key=lambda r: r["_pid"]):
+        off[r["_pid"]], soff[r["_pid"]] = run_n, run_s
+        run_n += r["_pn"]
+        run_s += float(r["_ps"] or 0.0)
+    def lookup(d, typ):
+        if not d:
+            return F.lit(0).cast(typ)
+        m = F.create_map(*[x for k, v in d.items() for x in (F.lit(int(k)), F.lit(v).cast(typ))])
+        return F.element_at(m, F.col("_pid"))
+    out = local.withColumn("_off", lookup(off, "long")).withColumn("_soff", lookup(soff, "double"))
     out = out.withColumn("_gidx", F.col("_off") + F.col("_lidx"))
     if value_col is not None:
         out = out.withColumn("_gcum", F.col("_soff") + F.col("_lcum")).drop("_lcum")

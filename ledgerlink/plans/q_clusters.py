@@ -11,6 +11,7 @@ from ledgerlink.operators import clusters as CL
 from ledgerlink.operators.matching import join_back
 from ledgerlink.plans import bindings as B
 from ledgerlink.plans.registry import register
+from ledgerlink.session import materialize
 
 S = B.SPEC
 
@@ -101,10 +102,12 @@ def attach_clusters(spark, sf):
     one cluster per distinct normal form, then titles joined by cluster id."""
     d = B.table(spark, sf, "documents")
     titles = CL.cluster_titles(d, "source", "text").select(F.col("source").alias("cluster"), "cluster_title")
-    nt = d.select("doc_id", "source", TX.normalize_text("text").alias("norm"))
+    # one normalising pass over the documents, written as a stage
+    nt = materialize(d.select("doc_id", "source", TX.normalize_text("text").alias("norm")), "normalised-docs")
     per_text = nt.groupBy("norm").agg(F.min("source").alias("cluster"))
-    x = join_back(nt.select("doc_id", "norm"), per_text, "norm", "left")
-    return join_back(x, titles, "cluster", "left").select("doc_id", "cluster", "cluster_title")
+    x = join_back(nt.select("doc_id", "norm"), per_text, "norm", "left", stage="clusters-per-text")
+    return join_back(x, titles, "cluster", "left", stage="cluster-titles").select(
+        "doc_id", "cluster", "cluster_title")
 
 
 @register("project_2d")

@@ -240,8 +240,8 @@ lng AS (SELECT unnest(['order_date', 'total_amount', 'currency', 'article', 'ent
                unnest([order_date, total_amount, currency, article, entity, segment, order_no]) AS value FROM pin),
 prof AS (
   SELECT "column", CAST(count(value) AS BIGINT) AS n_nonnull, CAST(count(DISTINCT value) AS BIGINT) AS n_distinct,
-         sum(CASE WHEN coalesce(try_strptime(value, '%Y-%m-%d'), try_strptime(value, '%d/%m/%Y')) IS NOT NULL THEN 1 ELSE 0 END) / count(value) AS date_share,
-         sum(CASE WHEN try_cast(value AS DOUBLE) IS NOT NULL THEN 1 ELSE 0 END) / count(value) AS number_share,
+         sum(CASE WHEN (regexp_matches(value, '^\d{{4}}-\d{{2}}-\d{{2}}$') AND try_strptime(value, '%Y-%m-%d') IS NOT NULL) OR (regexp_matches(value, '^\d{{2}}/\d{{2}}/\d{{4}}$') AND try_strptime(value, '%d/%m/%Y') IS NOT NULL) THEN 1 ELSE 0 END) / count(value) AS date_share,
+         sum(CASE WHEN regexp_matches(value, '^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$') AND try_cast(value AS DOUBLE) IS NOT NULL THEN 1 ELSE 0 END) / count(value) AS number_share,
          avg(length(value)) AS avg_len,
          avg(CASE WHEN regexp_replace(value, '^{WS}+|{WS}+$', '', 'g') = '' THEN 0
                   ELSE len(regexp_split_to_array(regexp_replace(value, '^{WS}+|{WS}+$', '', 'g'), '{WS}+')) END) AS avg_words
