@@ -177,6 +177,16 @@ def normalize_text(col) -> Column:
     return F.regexp_replace(x, "^ +| +$", "")
 
 
+def cut_text(col, n: int = 400) -> Column:
+    """the first ``n`` characters."""
+    return F.substring(_as_col(col), 1, n)
+
+
+def newline_to_blank(col) -> Column:
+    """newline -> one blank (literal replace)."""
+    return F.replace(_as_col(col), F.lit("\n"), F.lit(" "))
+
+
 def tokens(col, min_len: int = 1) -> Column:
     """Lower-cased letter runs of a text (for overlap and term statistics)."""
     t = F.split(F.lower(_as_col(col)), r"[^\p{L}]+")

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlink.functions.cols import c
+from ledgerlink.functions.cols import c, float_fields
 from ledgerlink.operators.relational import exact_median_by
 from ledgerlink.session import bounded_broadcast
 
@@ -30,10 +30,12 @@ def prefixes(codes: DataFrame, code_col: str, min_len: int = 1) -> DataFrame:
     return x.select(F.col("_code").substr(F.lit(1), F.col("_l")).alias("prefix")).distinct()
 
 
-def prefix_median_impute(codes: DataFrame, code_col: str, value_cols: list[str],
+def prefix_median_impute(codes: DataFrame, code_col: str, value_cols: list[str] | None = None,
                          max_len: int = 5) -> DataFrame:
     """Fill null ``value_cols`` of codes shorter than ``max_len`` with the median
-    of the non-null values of their longer descendants."""
+    of the non-null values of their longer descendants. Without ``value_cols``
+    every floating-point column is imputed (P18)."""
+    value_cols = value_cols or float_fields(codes)
     ex = codes.where(F.length(c(code_col)) > 1).select(
         c(code_col).alias("_code"), *[c(v) for v in value_cols],
         F.explode(F.sequence(F.lit(1), F.length(c(code_col)) - 1)).alias("_l"))

@@ -85,8 +85,10 @@ def choose_match(scored: DataFrame, w_cosine: float, w_overlap: float, w_breadth
 
 
 def rating(score: Column, buckets: int = 5) -> Column:
-    """M7: 1-5 rating of a match score in [0, 1]; a score of 1.0 is 5, not 6."""
-    return F.least(F.width_bucket(score, F.lit(0.0), F.lit(1.0), F.lit(buckets)), F.lit(buckets))
+    """M7: 1-5 rating of a match score in [0, 1]; a score of 1.0 is 5, not 6;
+    no score, no rating (``least`` alone would skip the null)."""
+    r = F.least(F.width_bucket(score, F.lit(0.0), F.lit(1.0), F.lit(buckets)), F.lit(buckets))
+    return F.when(score.isNotNull(), r)
 
 
 def flag_mismatches(choices: DataFrame, score_col: str = "score", flag_at: int = 1) -> DataFrame:

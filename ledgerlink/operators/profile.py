@@ -82,3 +82,20 @@ def infer_roles(profile: DataFrame, exclude: list[str] | None = None) -> DataFra
     picked = picked.unionByName(ctx.select(F.lit("contextual_column").alias("role"), "column"))
     roles = spark.createDataFrame([(r,) for r in ROLES], "role string")
     return roles.join(picked, "role", "left")
+
+
+def roles_complete(roles: DataFrame) -> DataFrame:
+    """One row, ``complete`` = every role has a column (``every``)."""
+    return roles.agg(F.every(F.col("column").isNotNull()).alias("complete"),
+                     F.sum(F.when(F.col("column").isNull(), 1).otherwise(0)).cast("long").alias("n_missing"))
+
+
+def fill_roles(configured: dict, roles: DataFrame) -> dict:
+    """P20: roles left empty in the job settings take the inferred column.
+    ``roles`` has one row per role (five rows), so collecting it is bounded."""
+    inferred = {r["role"]: r["column"] for r in roles.collect()}
+    out = dict(configured)
+    for role, col in inferred.items():
+        if not out.get(role):
+            out[role] = col
+    return out

@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 
 from ledgerlink.functions import vectors as V
 from ledgerlink.functions.cols import c, round_half_away
+from ledgerlink.session import bounded_broadcast
 
 RANK_DECIMALS = 9
 OUT_SCHEMA = "q_id long, rank long, t_id long, similarity double"
@@ -156,15 +157,22 @@ def topk_blocked(queries: DataFrame, catalogue: DataFrame, k: int, q_id: str, q_
     # per-group block counts: one row per group, from a partial aggregation
     qn = q.groupBy("_g").agg(F.count(F.lit(1)).alias("_nq"))
     tn = t.groupBy("_g").agg(F.count(F.lit(1)).alias("_nt"))
-    blocks = (qn.join(tn, "_g")
-              .select("_g", F.greatest(F.lit(1), F.ceil(F.col("_nq") / block_rows)).cast("int").alias("_bq"),
-                      F.greatest(F.lit(1), F.ceil(F.col("_nt") / block_rows)).cast("int").alias("_bt")))
-    qb = (q.join(blocks, "_g")
-          .withColumn("_qb", F.pmod(F.xxhash64("_id"), F.col("_bq")).cast("int"))
+    nblk = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / block_rows)).cast("int")
+    blocks = qn.join(tn, "_g").select("_g", nblk("_nq").alias("_bq"), nblk("_nt").alias("_bt"))
+    if q_group is None:
+        # one group: two numbers, applied as literals (no join at all)
+        row = blocks.first()
+        if row is None:
+            return queries.sparkSession.createDataFrame([], OUT_SCHEMA)
+        qj = q.withColumn("_bq", F.lit(row["_bq"])).withColumn("_bt", F.lit(row["_bt"]))
+        tj = t.withColumn("_bq", F.lit(row["_bq"])).withColumn("_bt", F.lit(row["_bt"]))
+    else:
+        small = bounded_broadcast(blocks, 1_000_000)      # one row per group
+        qj, tj = q.join(small, "_g"), t.join(small, "_g")
+    qb = (qj.withColumn("_qb", F.pmod(F.xxhash64("_id"), F.col("_bq")).cast("int"))
           .withColumn("_tb", F.explode(F.sequence(F.lit(0), F.col("_bt") - 1)))
           .select("_g", "_qb", "_tb", "_id", "_v"))
-    tb = (t.join(blocks, "_g")
-          .withColumn("_tb", F.pmod(F.xxhash64("_id"), F.col("_bt")).cast("int"))
+    tb = (tj.withColumn("_tb", F.pmod(F.xxhash64("_id"), F.col("_bt")).cast("int"))
           .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.col("_bq") - 1)))
           .select("_g", "_qb", "_tb", "_id", "_v"))
 

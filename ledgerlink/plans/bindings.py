@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlink.functions.dates import month_start
+from ledgerlink.session import session_key
 from ledgerlink.spec import JobSpec
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -41,7 +42,7 @@ _TABLES: dict[tuple, DataFrame] = {}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table (read-only input), read once per session: opening a Parquet
     source lists files and reads footers eagerly, so the DataFrame is reused."""
-    key = (id(spark._jsparkSession), sf_dir, name)
+    key = (session_key(spark), sf_dir, name)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return _TABLES[key]

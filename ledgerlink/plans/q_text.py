@@ -172,7 +172,7 @@ SQL_ANSWERS = """ans AS (
 
 
 @register("parse_json_answers", B.with_sql(SQL_ANSWERS, """
-SELECT event_id, e.key AS row_key, e.value."ID" AS chosen_id, e.value."Chosen option" AS chosen_option,
+SELECT event_id, e.key AS row_key, CAST(e.value."ID" AS VARCHAR) AS chosen_id, e.value."Chosen option" AS chosen_option,
        m IS NULL AS malformed
 FROM (SELECT event_id, try(json_transform(answer,
         '"MAP(VARCHAR, STRUCT(\\"ID\\" BIGINT, \\"Chosen option\\" VARCHAR))"')) AS m FROM ans)
@@ -188,7 +188,7 @@ def parse_json_answers(spark, sf):
         F.lit(', "Chosen option": "'), F.col("event_type"), F.lit('"}}')))
     x = ev.select("event_id", JS.parse_json(answer, JS.CHOICE_SCHEMA).alias("m"))
     x = x.select("event_id", F.col("m").isNull().alias("malformed"), F.explode_outer("m").alias("row_key", "v"))
-    return x.select("event_id", "row_key", F.col("v.ID").alias("chosen_id"),
+    return x.select("event_id", "row_key", F.col("v.ID").cast("string").alias("chosen_id"),
                     F.col("v.`Chosen option`").alias("chosen_option"), "malformed")
 
 
@@ -240,8 +240,8 @@ lng AS (SELECT unnest(['order_date', 'total_amount', 'currency', 'article', 'ent
                unnest([order_date, total_amount, currency, article, entity, segment, order_no]) AS value FROM pin),
 prof AS (
   SELECT "column", CAST(count(value) AS BIGINT) AS n_nonnull, CAST(count(DISTINCT value) AS BIGINT) AS n_distinct,
-         sum(CASE WHEN (regexp_matches(value, '^\d{{4}}-\d{{2}}-\d{{2}}$') AND try_strptime(value, '%Y-%m-%d') IS NOT NULL) OR (regexp_matches(value, '^\d{{2}}/\d{{2}}/\d{{4}}$') AND try_strptime(value, '%d/%m/%Y') IS NOT NULL) THEN 1 ELSE 0 END) / count(value) AS date_share,
-         sum(CASE WHEN regexp_matches(value, '^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$') AND try_cast(value AS DOUBLE) IS NOT NULL THEN 1 ELSE 0 END) / count(value) AS number_share,
+         sum(CASE WHEN (regexp_matches(value, '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') AND try_strptime(value, '%Y-%m-%d') IS NOT NULL) OR (regexp_matches(value, '^\\d{{2}}/\\d{{2}}/\\d{{4}}$') AND try_strptime(value, '%d/%m/%Y') IS NOT NULL) THEN 1 ELSE 0 END) / count(value) AS date_share,
+         sum(CASE WHEN regexp_matches(value, '^[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?$') AND try_cast(value AS DOUBLE) IS NOT NULL THEN 1 ELSE 0 END) / count(value) AS number_share,
          avg(length(value)) AS avg_len,
          avg(CASE WHEN regexp_replace(value, '^{WS}+|{WS}+$', '', 'g') = '' THEN 0
                   ELSE len(regexp_split_to_array(regexp_replace(value, '^{WS}+|{WS}+$', '', 'g'), '{WS}+')) END) AS avg_words

@@ -83,11 +83,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 _BOUND_CHECKS: dict[tuple, int] = {}
 
 
+def session_key(spark: SparkSession) -> tuple:
+    """Identity of a live session (application id + JVM session object)."""
+    return (spark.sparkContext.applicationId, id(spark._jsparkSession))
+
+
 def bounded_rows(df: DataFrame, max_rows: int) -> int:
     """min(row count, max_rows + 1), by a bounded action that never counts past
     the bound; memoised per session by the plan's semantic hash, so the same
     small table is measured once per job, not once per use."""
-    key = (id(df.sparkSession._jsparkSession), df.semanticHash(), max_rows)
+    key = (session_key(df.sparkSession), df.semanticHash(), max_rows)
     if key not in _BOUND_CHECKS:
         _BOUND_CHECKS[key] = df.limit(max_rows + 1).count()
     return _BOUND_CHECKS[key]

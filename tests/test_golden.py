@@ -166,3 +166,18 @@ def test_standardize_units_pencils(spark):
     rec = spark.createDataFrame([("pencils", "g", 3.0)], "Description string, unit string, value double")
     r = CT.standardize_units(rec, CT.unit_table(spark)).first()
     assert (r["unit"], r["value"], r["Geographical_scope"]) == ("kg", 0.003, "Global")
+
+
+def test_roles_helpers(spark):
+    from ledgerlink.operators import profile as PR
+    roles = spark.createDataFrame([("date_column", "d"), ("unit_column", None)], "role string, column string")
+    r = PR.roles_complete(roles).first()
+    assert (r["complete"], r["n_missing"]) == (False, 1)
+    assert PR.fill_roles({"date_column": "", "amount_column": "amt"}, roles) == \
+        {"date_column": "d", "amount_column": "amt", "unit_column": None}
+
+
+def test_cut_and_newline(spark):
+    d = one_col(spark, ["a\nb" + "x" * 500])
+    r = d.select(TX.cut_text(TX.newline_to_blank("v"), 400).alias("r")).first()["r"]
+    assert r.startswith("a b") and len(r) == 400
