@@ -40,16 +40,16 @@ def sq_distance(a, b) -> Column:
 
 
 def mean_vectors(df: DataFrame, vec: str, keys: list[str]) -> DataFrame:
-    """Element-wise mean vector per key group (``keys`` may be empty).
+    """Element-wise mean vector per key group (``keys`` may be empty), with the
+    group size ``n``.
 
-    Long form (key, position, value) with a partial aggregation, so a hot group
-    is combined map-side and never collected whole into one task; the result
-    holds one row per group with the vector reassembled in position order.
+    ``Summarizer.mean`` keeps one running buffer per group and partition
+    (partial aggregation of whole vectors), so rows are neither exploded into
+    one row per dimension nor gathered per group: a group holding a third of
+    all rows costs one buffer per map task.
     """
-    long = df.select(*keys, F.posexplode(as_double_vector(vec)).alias("_pos", "_val"))
-    per_pos = long.groupBy(*keys, "_pos").agg(F.avg("_val").alias("_avg"),
-                                              F.count(F.lit(1)).alias("_n"))
-    return (per_pos.groupBy(*keys)
-            .agg(F.sort_array(F.collect_list(F.struct("_pos", "_avg"))).alias("_s"),
-                 F.max("_n").alias("n"))
-            .select(*keys, F.transform("_s", lambda s: s["_avg"]).alias(vec), "n"))
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    x = df.select(*keys, array_to_vector(as_double_vector(vec)).alias("_fv"))
+    agg = x.groupBy(*keys).agg(Summarizer.mean(F.col("_fv")).alias("_m"), F.count(F.lit(1)).alias("n"))
+    return agg.select(*keys, vector_to_array("_m").alias(vec), "n")

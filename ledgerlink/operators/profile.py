@@ -25,9 +25,12 @@ NUMBER_SHAPE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 ROLES = ["date_column", "amount_column", "unit_column", "description_column", "contextual_column"]
 
 
-def profile_columns(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+def profile_columns(df: DataFrame, cols: list[str] | None = None, approx_distinct: bool = False) -> DataFrame:
     """Per column: non-null and distinct counts, share of values castable to a
-    date and to a number, mean length and mean word count of the text form."""
+    date and to a number, mean length and mean word count of the text form.
+
+    ``approx_distinct`` swaps the exact distinct count (a shuffle of every
+    distinct (column, value) pair) for HyperLogLog++ sketches merged map-side."""
     cols = cols or df.columns
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(n).alias("column"), c(n).cast("string").alias("value")) for n in cols])).alias("kv")
@@ -41,7 +44,7 @@ def profile_columns(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     is_number = F.when(v.rlike(NUMBER_SHAPE), v.try_cast("double")).isNotNull()
     g = long.groupBy("column").agg(
         F.count("value").alias("n_nonnull"),
-        F.countDistinct("value").alias("n_distinct"),
+        (F.approx_count_distinct("value") if approx_distinct else F.countDistinct("value")).alias("n_distinct"),
         F.sum(F.when(nn & is_date, 1).otherwise(0)).alias("_nd"),
         F.sum(F.when(nn & is_number, 1).otherwise(0)).alias("_nx"),
         F.avg(F.length("value")).alias("avg_len"),

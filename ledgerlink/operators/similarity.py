@@ -148,10 +148,20 @@ def topk_broadcast(queries: DataFrame, catalogue: DataFrame, k: int, q_id: str,
     return _prep(queries, q_id, q_vec, q_group).mapInPandas(run, OUT_SCHEMA)
 
 
+BLOCK_BYTES = 64 * 1024 * 1024      # one catalogue block's matrix in a task
+
+
 def topk_blocked(queries: DataFrame, catalogue: DataFrame, k: int, q_id: str, q_vec: str,
                  t_id: str, t_vec: str, q_group: str | None = None, t_group: str | None = None,
-                 exclude_self: bool = False, block_rows: int = 4096) -> DataFrame:
-    """Block x block form (no broadcast of the catalogue)."""
+                 exclude_self: bool = False, block_rows: int | None = None) -> DataFrame:
+    """Block x block form (no broadcast of the catalogue).
+
+    Rows per block default to ``BLOCK_BYTES / (8 x dim)``: a query row is
+    replicated once per catalogue block of its group, so larger blocks mean
+    less shuffle; the bound keeps one block pair in task memory.
+    """
+    if block_rows is None:
+        block_rows = max(256, BLOCK_BYTES // (8 * max(vector_dim(catalogue, t_vec), 1)))
     q = _prep(queries, q_id, q_vec, q_group)
     t = _prep(catalogue, t_id, t_vec, t_group)
     # per-group block counts: one row per group, from a partial aggregation
@@ -197,7 +207,7 @@ def topk_blocked(queries: DataFrame, catalogue: DataFrame, k: int, q_id: str, q_
 def topk_cosine(queries: DataFrame, catalogue: DataFrame, k: int, q_id: str, q_vec: str,
                 t_id: str, t_vec: str, q_group: str | None = None, t_group: str | None = None,
                 exclude_self: bool = False, mode: str = "auto",
-                max_broadcast_bytes: int = 512 * 1024 * 1024, block_rows: int = 4096) -> DataFrame:
+                max_broadcast_bytes: int = 512 * 1024 * 1024, block_rows: int | None = None) -> DataFrame:
     """The ``k`` most similar catalogue rows of every query row.
 
     Returns ``(q_id, rank, t_id, similarity)``; ``mode`` is ``auto`` (broadcast

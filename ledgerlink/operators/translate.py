@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 
 from ledgerlink.functions.cols import c
 
-MAP_LOOKUP_MAX_ENTRIES = 50_000
+# a literal map is scanned linearly per lookup, so it only serves small
+# glossaries; larger ones go through the (broadcast) join path
+MAP_LOOKUP_MAX_ENTRIES = 256
 
 
 def _translate_with_map(col, glossary: dict[str, str]):

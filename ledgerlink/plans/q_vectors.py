@@ -18,6 +18,7 @@ from ledgerlink.operators import relational as RL
 from ledgerlink.operators import similarity as SIM
 from ledgerlink.plans import bindings as B
 from ledgerlink.plans.registry import register
+from ledgerlink.session import materialize
 
 S = B.SPEC
 TOP_N = S.top_n
@@ -261,8 +262,11 @@ def match_pipeline(spark, sf):
     vectors -> cosine top-10 over the whole catalogue -> rerank (cosine +
     token overlap) -> join back -> attach the chosen entry's factor."""
     from ledgerlink.plans.report import attach_factors
-    lines = B.purchases(spark, sf).select(
-        "l_orderkey", "l_linenumber", F.concat_ws(" ", "article", F.lower("category")).alias("text"))
+    # the lines come out of a four-way join and are read twice (distinct texts,
+    # join-back): their narrow (key, text) projection is written once as a stage
+    lines = materialize(B.purchases(spark, sf).select(
+        "l_orderkey", "l_linenumber", F.concat_ws(" ", "article", F.lower("category")).alias("text")),
+        "match-lines")
     cat = RL.dense_row_id(B.money_catalogue(spark, sf).select("cat_code", "cat_description", "ef"),
                           ["cat_code"], "t_id")
     m = MT.match_pipeline(lines, "text", cat, "t_id", "cat_description", TX.char_profile, TOP_N,
