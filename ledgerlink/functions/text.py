@@ -160,21 +160,23 @@ def _nfkd_ascii_tables():
 def normalize_text(col) -> Column:
     """F8: fold to ASCII by NFKD, drop the rest, collapse whitespace, trim.
 
-    One ``translate`` maps every character whose ASCII image is one character.
-    Rows that still hold non-ASCII characters (a one-range test) are cut into
-    ASCII runs and single other characters; only the latter are looked up in a
-    literal map of the few hundred multi-character images (ligatures,
-    fractions, ...), anything else is dropped.
+    One ``translate`` maps every character whose ASCII image is one character
+    (and ASCII whitespace to a blank). Rows that still hold non-ASCII
+    characters (a one-range test) are cut into ASCII runs and single other
+    characters; only the latter are looked up in a literal map of the few
+    hundred multi-character images (ligatures, fractions, ...), anything else
+    is dropped. Blank runs collapse and the ends are trimmed by a split on one
+    blank (no regex engine) and a join.
     """
     sfrom, sto, multi = _nfkd_ascii_tables()
-    x = F.translate(_as_col(col), sfrom, sto)
+    aws = "".join(chr(cp) for cp in range(0x80) if chr(cp).isspace() and cp != 32)
+    x = F.translate(_as_col(col), sfrom + aws, sto + " " * len(aws))
     m = F.create_map(*[F.lit(v) for kv in multi for v in kv])
     parts = F.regexp_extract_all(x, F.lit(r"[^\x00-\x7F]|[\x00-\x7F]+"), 0)
     expanded = F.array_join(F.transform(parts, lambda t: F.when(F.ascii(t) < 128, t).otherwise(
         F.coalesce(F.try_element_at(m, t), F.lit("")))), "")
     x = F.when(x.rlike(r"[^\x00-\x7F]"), expanded).otherwise(x)
-    x = F.regexp_replace(x, ascii_whitespace_class() + "+", " ")
-    return F.regexp_replace(x, "^ +| +$", "")
+    return F.array_join(F.array_remove(F.split(x, " "), ""), " ")
 
 
 def cut_text(col, n: int = 400) -> Column:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from ledgerlink.functions import text as TX
 from ledgerlink.functions import vectors as V
 from ledgerlink.functions.cols import c, round_half_away
-from ledgerlink.session import ensure_checkpoint_dir
+from ledgerlink.session import ensure_checkpoint_dir, materialize
 
 MAX_LITERAL_CENTROIDS = 4096
 
@@ -116,7 +116,9 @@ def cluster_titles(df: DataFrame, cluster_col: str, text_col: str, n_title: int
     cluster; term score = tf(cluster, term) x ln(K / df(term)), ties by term."""
     toks = TX.token_rows(df.select(c(cluster_col).alias("_cl"), c(text_col).alias("_t")), "_t", min_len,
                          keep=["_cl"])
-    tf = toks.groupBy("_cl", "term").agg(F.count(F.lit(1)).alias("tf"))
+    # term counts per cluster, written once: the cluster count, document
+    # frequencies and scores all read this stage instead of re-tokenising
+    tf = materialize(toks.groupBy("_cl", "term").agg(F.count(F.lit(1)).alias("tf")), "term-counts")
     k = tf.select(F.countDistinct("_cl").cast("double")).scalar()     # scalar subquery, no action
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     sc = tf.join(dfreq, "term").withColumn("score", F.col("tf") * F.log(k / F.col("df")))

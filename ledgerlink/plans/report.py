@@ -30,16 +30,18 @@ CATALOGUE_BROADCAST_MAX_ROWS = 2_000_000
 
 
 def attach_factors(lines: DataFrame, catalogue: DataFrame, key: str, cat_key: str | None = None,
-                   max_rows: int = CATALOGUE_BROADCAST_MAX_ROWS) -> DataFrame:
+                   max_rows: int = CATALOGUE_BROADCAST_MAX_ROWS, check_size: bool = True) -> DataFrame:
     """Left join lines to the catalogue on its id.
 
     The catalogue is made unique by id first (lowest row wins), so a repeated
-    catalogue row can never fan out the purchase lines (Q7)."""
+    catalogue row can never fan out the purchase lines (Q7). ``check_size=False``
+    leaves the strategy to the planner/AQE (for joins whose other side is
+    already small, e.g. after pre-aggregation)."""
     cat_key = cat_key or key
     others = [x for x in catalogue.columns if x != cat_key]
     uniq = (catalogue.groupBy(c(cat_key)).agg(F.min(F.struct(*[c(o) for o in others])).alias("_r"))
             .select(c(cat_key).alias(key), *[F.col("_r")[o].alias(o) for o in others]))
-    return lines.join(bounded_broadcast(uniq, max_rows), key, "left")
+    return lines.join(bounded_broadcast(uniq, max_rows) if check_size else uniq, key, "left")
 
 
 def emissions_summary(lines: DataFrame, rates: DataFrame, index: DataFrame, catalogue: DataFrame,
@@ -57,7 +59,8 @@ def emissions_summary(lines: DataFrame, rates: DataFrame, index: DataFrame, cata
                             out_col="_amount_eur", rate_col="_rate", known_max_rows=rates_rows)
     defl = money.deflate(conv, index, "_month", "_amount_eur", spec.base_year,
                          out_col="_amount_defl", known_max_rows=rates_rows)
-    fac = attach_factors(defl, catalogue, code_col)
+    # both sides are small here (codes x months x currencies vs the catalogue)
+    fac = attach_factors(defl, catalogue, code_col, check_size=False)
     emis = money.co2e(F.col("_amount_defl"), F.col("ef"))
     unc = emis * money.total_uncertainty(F.col("unc_attr"), F.col("unc_80"), spec.pct80_weight)
     out = (fac.withColumn("year", F.year("_month").cast("long"))

@@ -181,3 +181,10 @@ def test_cut_and_newline(spark):
     d = one_col(spark, ["a\nb" + "x" * 500])
     r = d.select(TX.cut_text(TX.newline_to_blank("v"), 400).alias("r")).first()["r"]
     assert r.startswith("a b") and len(r) == 400
+
+
+def test_single_quoted_titles_keep_apostrophes(spark):
+    # the reference replaced every ' by " before parsing, which breaks l'usine
+    d = one_col(spark, ["[{'id': 1, 'title': \"l'usine\", 'description': 'd'}]"])
+    r = d.select(JS.parse_json(F.col("v"), JS.TITLES_SCHEMA, single_quotes=True).alias("t")).first()["t"]
+    assert r[0]["id"] == 1 and r[0]["title"] == "l'usine"
