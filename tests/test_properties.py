@@ -130,3 +130,15 @@ def test_run_twice_is_deterministic(spark, qs):
         cols = sorted(a.columns)
         assert a[cols].sort_values(cols).reset_index(drop=True).equals(
             b[cols].sort_values(cols).reset_index(drop=True)), key
+
+
+def test_scan_formats_with_explicit_schema(spark):
+    import tempfile
+    from ledgerlink.sources import files as FS
+    part = spark.read.parquet(f"{SF_SMALL}/part.parquet").select("p_partkey", "p_name", "p_size")
+    schema = "p_partkey long, p_name string, p_size int"
+    for fmt, opts in (("json", {}), ("orc", {}), ("csv", {"header": "true"})):
+        path = tempfile.mkdtemp(prefix=f"ll-scan-{fmt}-")
+        part.write.mode("overwrite").format(fmt).options(**opts).save(path)
+        back = FS.scan(spark, path, schema, fmt, **opts)
+        assert back.exceptAll(part).count() == 0 and part.exceptAll(back).count() == 0, fmt
