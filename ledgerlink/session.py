@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,8 +77,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark)
     base = base[len("file:"):] if base.startswith("file:") else base
     os.makedirs(base, exist_ok=True) if "://" not in base else None
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base) if "://" not in base \
-        else f"{base.rstrip('/')}/{name}-{os.getpid()}-{id(spark)}"
+    if "://" not in base:
+        return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    # remote folder: a fresh, never reused name per stage
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 _BOUND_CHECKS: dict[tuple, int] = {}
