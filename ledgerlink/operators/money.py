@@ -70,10 +70,10 @@ def fx_convert(df: DataFrame, rates: DataFrame, date_col: str, cur_col: str, amo
 def index_factors(index: DataFrame, base_year: int, known_max_rows: int | None = None) -> DataFrame:
     """Per month ``index(month) / index(base-year January)``.
 
-    The base value is taken by a window over the index table itself (one row
-    per month), so no scalar is pulled to the driver."""
-    base = F.max(F.when((F.year("month") == base_year) & (F.month("month") == 1), F.col("index"))) \
-        .over(Window.partitionBy())
+    The base value is a scalar subquery over the index table (no action, no
+    value pulled to the driver)."""
+    base = index.where((F.year("month") == base_year) & (F.month("month") == 1)) \
+        .select(F.max("index")).scalar()
     f = index.select(F.col("month").alias("__ix_month"), (F.col("index") / base).alias("__ix_fac"))
     return _small(f, known_max_rows)
 

@@ -44,9 +44,10 @@ def value_counts(df: DataFrame, col: str, name: str = "count") -> DataFrame:
 
 
 def value_share(counts: DataFrame, count_col: str = "count", name: str = "share") -> DataFrame:
-    """Count / total. The window runs over the *aggregated* counts,
-    whose size is the number of distinct values, not the number of rows."""
-    return counts.withColumn(name, F.col(count_col) / F.sum(count_col).over(Window.partitionBy()))
+    """Count / total; the total is a scalar subquery over the
+    aggregated counts (partial sums, no single-partition window)."""
+    total = counts.select(F.sum(count_col)).scalar()
+    return counts.withColumn(name, F.col(count_col) / total)
 
 
 def dropna_all(df: DataFrame, cols: list[str]) -> DataFrame:
