@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerlink.functions.cols import c, existing, numeric_fields, string_fields
 from ledgerlink.session import bounded_broadcast, materialize

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlink.functions import text as TX
 from ledgerlink.operators import embed as EM
 from ledgerlink.operators import relational as RL
 from ledgerlink.plans import bindings as B

@@ -142,3 +142,22 @@ def test_scan_formats_with_explicit_schema(spark):
         part.write.mode("overwrite").format(fmt).options(**opts).save(path)
         back = FS.scan(spark, path, schema, fmt, **opts)
         assert back.exceptAll(part).count() == 0 and part.exceptAll(back).count() == 0, fmt
+
+
+def test_python_workers_need_no_package_on_path():
+    """Queries with pandas functions run from a directory where the package is
+    not importable by the workers (code travels inside the task closures)."""
+    import os
+    import subprocess
+    import sys
+    import tempfile
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (f"import sys; sys.path.insert(0, {root!r})\n"
+            "from ledgerlink.session import build_session\n"
+            "from __spark_entry__ import queries\n"
+            "s = build_session('local[2]', 2)\n"
+            f"print('ROWS', queries()['cosine_topk'](s, {SF_SMALL!r}).count())\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tempfile.mkdtemp(), env=env,
+                         capture_output=True, text=True, timeout=600)
+    assert "ROWS" in out.stdout, out.stderr[-2000:]
