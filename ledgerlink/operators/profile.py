@@ -29,26 +29,32 @@ def profile_columns(df: DataFrame, cols: list[str] | None = None, approx_distinc
     """Per column: non-null and distinct counts, share of values castable to a
     date and to a number, mean length and mean word count of the text form.
 
-    ``approx_distinct`` swaps the exact distinct count (a shuffle of every
-    distinct (column, value) pair) for HyperLogLog++ sketches merged map-side."""
+    ``approx_distinct`` is accepted for API stability; the distinct (column,
+    value) pairs are aggregated anyway, so the exact count costs nothing extra."""
     cols = cols or df.columns
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(n).alias("column"), c(n).cast("string").alias("value")) for n in cols])).alias("kv")
     ).select("kv.column", "kv.value")
-    nn = F.col("value").isNotNull()
+    # one row per distinct (column, value) with its multiplicity, combined
+    # map-side: each feature below is computed once per distinct value and
+    # weighted by its count (categorical columns collapse to a few rows)
+    pv = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_w"))
     v = F.col("value")
+    w = F.col("_w")
+    nn = v.isNotNull()
     # cheap shape tests first: the parsers only see plausible values (a failed
     # parse is far more expensive than a regex test)
     is_date = F.coalesce(*[F.when(v.rlike(shape), F.try_to_date(v, fmt))
                            for fmt, shape in DATE_FORMATS.items()]).isNotNull()
     is_number = F.when(v.rlike(NUMBER_SHAPE), v.try_cast("double")).isNotNull()
-    g = long.groupBy("column").agg(
-        F.count("value").alias("n_nonnull"),
-        (F.approx_count_distinct("value") if approx_distinct else F.countDistinct("value")).alias("n_distinct"),
-        F.sum(F.when(nn & is_date, 1).otherwise(0)).alias("_nd"),
-        F.sum(F.when(nn & is_number, 1).otherwise(0)).alias("_nx"),
-        F.avg(F.length("value")).alias("avg_len"),
-        F.avg(TX.word_count(F.col("value"))).alias("avg_words"))
+    weighted = lambda cond: F.sum(F.when(nn & cond, w).otherwise(0))
+    g = pv.groupBy("column").agg(
+        F.sum(F.when(nn, w).otherwise(0)).alias("n_nonnull"),
+        (F.approx_count_distinct("value") if approx_distinct else F.count("value")).alias("n_distinct"),
+        weighted(is_date).alias("_nd"),
+        weighted(is_number).alias("_nx"),
+        (F.sum(F.when(nn, w * F.length(v))) / F.sum(F.when(nn, w))).alias("avg_len"),
+        (F.sum(F.when(nn, w * TX.word_count(v))) / F.sum(F.when(nn, w))).alias("avg_words"))
     share = lambda x: F.when(F.col("n_nonnull") > 0, F.col(x) / F.col("n_nonnull")).otherwise(F.lit(0.0))
     return g.select("column", F.col("n_nonnull").cast("long").alias("n_nonnull"),
                     F.col("n_distinct").cast("long").alias("n_distinct"),
