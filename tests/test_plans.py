@@ -40,3 +40,20 @@ def test_filter_and_projection_reach_the_scan(spark, qs):
 def test_blocked_topk_uses_group_limit(spark, qs):
     p = _plan(spark, qs, "cosine_topk_blocked")
     assert "WindowGroupLimit" in p or "Window" in p
+
+
+def test_bucketed_fact_tables_join_without_shuffle(spark):
+    from ledgerlink.sources.files import write_bucketed
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select("l_orderkey", "l_extendedprice")
+    od = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey", "o_custkey")
+    import tempfile
+    a = write_bucketed(li, "ll_lineitem_b", "l_orderkey", 8, path=tempfile.mkdtemp(prefix="ll-bucket-"))
+    b = write_bucketed(od, "ll_orders_b", "o_orderkey", 8, path=tempfile.mkdtemp(prefix="ll-bucket-"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = a.join(b, a.l_orderkey == b.o_orderkey)
+        p = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in p and "Exchange" not in p
+        assert j.count() == li.join(od, li.l_orderkey == od.o_orderkey).count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
