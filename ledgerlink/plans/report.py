@@ -78,7 +78,16 @@ def emissions_lines(lines: DataFrame, rates: DataFrame, index: DataFrame, catalo
                     spec: JobSpec, code_col: str, date_col: str, cur_col: str, amount_col: str,
                     rates_rows: int | None = None) -> DataFrame:
     """Line-level result table (D1-D7): amounts in the target and second
-    currency, deflated amount, factor columns, emissions and uncertainty."""
+    currency, deflated amount, factor columns, emissions and uncertainty.
+
+    With ``spec.basis == 'physical'`` (Q20) the amount is a physical quantity:
+    no currency conversion or deflation, emissions = amount x factor (D4)."""
+    if spec.basis == "physical":
+        x = attach_factors(lines, catalogue, code_col)
+        x = x.withColumn("co2e", money.co2e(c(amount_col), F.col("ef")))
+        x = x.withColumn("total_uncertainty_factor",
+                         money.total_uncertainty(F.col("unc_attr"), F.col("unc_80"), spec.pct80_weight))
+        return x.withColumn("uncertainty_carbon_emissions", F.col("co2e") * F.col("total_uncertainty_factor"))
     t = spec.target_currency
     x = money.fx_convert(lines, rates, date_col, cur_col, amount_col, t,
                          out_col="amount_eur", rate_col="rate_eur", known_max_rows=rates_rows)

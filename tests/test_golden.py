@@ -188,3 +188,14 @@ def test_single_quoted_titles_keep_apostrophes(spark):
     d = one_col(spark, ["[{'id': 1, 'title': \"l'usine\", 'description': 'd'}]"])
     r = d.select(JS.parse_json(F.col("v"), JS.TITLES_SCHEMA, single_quotes=True).alias("t")).first()["t"]
     assert r[0]["id"] == 1 and r[0]["title"] == "l'usine"
+
+
+def test_physical_basis_skips_money(spark):
+    from ledgerlink.spec import JobSpec
+    lines = spark.createDataFrame([(1, "c1", 3.0)], "id int, code string, qty double") \
+        .withColumn("d", F.to_date(F.lit("2023-02-10"))).withColumn("cur", F.lit("USD"))
+    cat = spark.createDataFrame([("c1", 0.4, 0.5, 0.25)], "code string, ef double, unc_attr double, unc_80 double")
+    empty = spark.createDataFrame([], "month date, currency string, target string, rate double")
+    idx = spark.createDataFrame([], "month date, index double")
+    r = report.emissions_lines(lines, empty, idx, cat, JobSpec(basis="physical"), "code", "d", "cur", "qty").first()
+    assert math.isclose(r["co2e"], 1.2) and math.isclose(r["uncertainty_carbon_emissions"], 1.2 * 0.7)
