@@ -59,6 +59,20 @@ def drop_columns(df: DataFrame, names: list[str]) -> DataFrame:
     return df.drop(*existing(df, names))
 
 
+def prefix_columns(df: DataFrame, prefix: str, keep: list[str] | None = None) -> DataFrame:
+    """P5/Q14: prefix every column except ``keep`` (e.g. ``target.`` on the
+    catalogue side), so a source and a catalogue column of one name never
+    collide after a join."""
+    keep = set(keep or [])
+    return df.withColumnsRenamed({x: f"{prefix}{x}" for x in df.columns if x not in keep})
+
+
+def register_result_view(df: DataFrame, name: str) -> DataFrame:
+    """Expose a result table to SQL / BI tools as a temporary view."""
+    df.createOrReplaceTempView(name)
+    return df.sparkSession.table(name)
+
+
 def union_missing_columns(dfs: list[DataFrame]) -> DataFrame:
     """Concatenate tables with different columns; missing ones are null."""
     out = dfs[0]

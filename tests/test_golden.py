@@ -199,3 +199,13 @@ def test_physical_basis_skips_money(spark):
     idx = spark.createDataFrame([], "month date, index double")
     r = report.emissions_lines(lines, empty, idx, cat, JobSpec(basis="physical"), "code", "d", "cur", "qty").first()
     assert math.isclose(r["co2e"], 1.2) and math.isclose(r["uncertainty_carbon_emissions"], 1.2 * 0.7)
+
+
+def test_prefix_columns_and_result_view(spark):
+    cat = spark.createDataFrame([("a", 0.1, "x")], "code string, ef double, description string")
+    src = spark.createDataFrame([("a", "own")], "code string, description string")
+    t = RL.prefix_columns(cat, "target.", keep=["code"])
+    j = src.join(t, "code")
+    assert j.columns == ["code", "description", "target.ef", "target.description"]
+    v = RL.register_result_view(j, "ll_result")
+    assert spark.sql("SELECT count(*) AS n FROM ll_result").first()["n"] == 1 and v.count() == 1
