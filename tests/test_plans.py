@@ -37,9 +37,11 @@ def test_filter_and_projection_reach_the_scan(spark, qs):
     assert len(s.columns) == 5
 
 
-def test_blocked_topk_uses_group_limit(spark, qs):
-    p = _plan(spark, qs, "cosine_topk_blocked")
-    assert "WindowGroupLimit" in p or "Window" in p
+def test_top_n_windows_limit_before_the_shuffle(spark, qs):
+    # a partial WindowGroupLimit keeps n rows per group in every map task, so a
+    # group holding a third of all rows never reaches one task whole
+    for key in ("cosine_topk_blocked", "cluster_reps_nearest", "choose_match", "cluster_titles"):
+        assert "WindowGroupLimit" in _plan(spark, qs, key), key
 
 
 def test_bucketed_fact_tables_join_without_shuffle(spark):
