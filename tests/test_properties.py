@@ -161,3 +161,21 @@ def test_python_workers_need_no_package_on_path():
     out = subprocess.run([sys.executable, "-c", code], cwd=tempfile.mkdtemp(), env=env,
                          capture_output=True, text=True, timeout=600)
     assert "ROWS" in out.stdout, out.stderr[-2000:]
+
+
+def test_normalize_text_equals_python_definition(spark):
+    """F8 against the Python definition (NFKD, ASCII-ignore, collapse \\s, strip)
+    on every document plus ligatures, fractions and control whitespace."""
+    import re
+    import unicodedata
+    from ledgerlink.functions import text as TX
+
+    def py_norm(t):
+        t = unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode("utf-8", "ignore")
+        return re.sub(r"\s+", " ", re.sub(r"[^\x00-\x7F]+", " ", t)).strip()
+
+    d = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    extra = spark.createDataFrame([(-1, "x\x1cy z ½ ™ … "), (-2, "ǆ ﬃ ㎏ ①  　end")],
+                                  "doc_id long, text string")
+    pdf = d.unionByName(extra).select("text", TX.normalize_text("text").alias("n")).toPandas()
+    assert all(n == py_norm(t) for t, n in zip(pdf["text"], pdf["n"]))
