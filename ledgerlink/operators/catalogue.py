@@ -149,3 +149,18 @@ def select_catalogue(registry: DataFrame, name: str, valid: list[str]) -> DataFr
     if name not in valid:
         raise ValueError(f"Invalid database name: {name}. Valid database names are: {', '.join(valid)}")
     return registry.where(F.col("catalogue") == name)
+
+
+def split_requests(requests: DataFrame, name_col: str, registry: DataFrame,
+                   registry_col: str = "catalogue") -> tuple[DataFrame, DataFrame]:
+    """J14/S3 in batch form: (requests naming a known catalogue, the others
+    with an ``error`` text listing the valid names). A bad request no longer
+    fails the batch; the list of names is one aggregated row (bounded by the
+    number of catalogues), attached without a join via a scalar subquery."""
+    names = registry.select(F.col(registry_col).alias("_n")).distinct()
+    valid = requests.join(names, requests[name_col] == names["_n"], "left_semi")
+    invalid = requests.join(names, requests[name_col] == names["_n"], "left_anti")
+    listing = names.select(F.array_join(F.sort_array(F.collect_list("_n")), ", ")).scalar()
+    err = F.concat(F.lit("Invalid database name: "), c(name_col),
+                   F.lit(". Valid database names are: "), listing)
+    return valid, invalid.withColumn("error", err)

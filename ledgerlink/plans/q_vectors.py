@@ -143,25 +143,32 @@ rk AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY round(sim,
 SELECT request_id, CAST(rank AS BIGINT) AS rank, code AS matched_code, category AS matched_category,
        round_even(sim * 100, 0) / 100 AS similarity_score,
        round(CASE WHEN amount IS NOT NULL AND factor IS NOT NULL THEN factor * amount END, 9) AS co2_emitted,
-       round(factor, 9) AS emission_factor, 'kg CO2e' AS emission_factor_unit, 'unit' AS functional_unit
+       round(factor, 9) AS emission_factor, 'kg CO2e' AS emission_factor_unit, 'unit' AS functional_unit,
+       NULL::VARCHAR AS error
 FROM rk WHERE rank <= top_n"""))
 def search_requests(spark, sf):
     """A table of requests answered in one job, top-n per request,
     each restricted to its named catalogue (grouped similarity search)."""
+    from ledgerlink.operators.catalogue import split_requests
     from ledgerlink.operators.money import optional_emissions
     e = _emb(spark, sf)
     req, cat = _requests(e), _search_catalogue(e)
+    # requests naming an unknown catalogue come back as error rows (S3)
+    req, rejected = split_requests(req, "database_name", cat, "category")
     top = SIM.topk_cosine(req, cat, SEARCH_MAX_N, "request_id", "embedding", "code", "embedding",
                           q_group="database_name", t_group="category", exclude_self=True)
     x = (top.join(req.select(F.col("request_id").alias("q_id"), "top_n", "amount"), "q_id")
          .where(F.col("rank") <= F.col("top_n"))
          .join(cat.drop("embedding").withColumnRenamed("code", "t_id"), "t_id"))
-    return x.select(F.col("q_id").alias("request_id"), "rank", F.col("t_id").alias("matched_code"),
+    x = x.select(F.col("q_id").alias("request_id"), "rank", F.col("t_id").alias("matched_code"),
                     F.col("category").alias("matched_category"),
                     (F.bround(F.col("similarity") * 100, 0) / 100).alias("similarity_score"),
                     R(optional_emissions(F.col("factor"), F.col("amount")), 9).alias("co2_emitted"),
                     R("factor", 9).alias("emission_factor"),
-                    F.col("factor_unit").alias("emission_factor_unit"), "functional_unit")
+                    F.col("factor_unit").alias("emission_factor_unit"), "functional_unit",
+                    F.lit(None).cast("string").alias("error"))
+    errors = rejected.select("request_id", "error")
+    return x.unionByName(errors, allowMissingColumns=True)
 
 
 @register("candidates_array", B.with_sql(SQL_E, SQL_TOPK, """

@@ -209,3 +209,11 @@ def test_prefix_columns_and_result_view(spark):
     assert j.columns == ["code", "description", "target.ef", "target.description"]
     v = RL.register_result_view(j, "ll_result")
     assert spark.sql("SELECT count(*) AS n FROM ll_result").first()["n"] == 1 and v.count() == 1
+
+
+def test_unknown_catalogue_requests_get_error_rows(spark):
+    reg = spark.createDataFrame([("agri", "x"), ("labo", "y")], "catalogue string, category string")
+    req = spark.createDataFrame([(1, "labo"), (2, "nope")], "request_id int, database_name string")
+    ok, bad = CT.split_requests(req, "database_name", reg)
+    assert [r["request_id"] for r in ok.collect()] == [1]
+    assert bad.first()["error"] == "Invalid database name: nope. Valid database names are: agri, labo"
