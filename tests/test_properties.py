@@ -179,3 +179,23 @@ def test_normalize_text_equals_python_definition(spark):
                                   "doc_id long, text string")
     pdf = d.unionByName(extra).select("text", TX.normalize_text("text").alias("n")).toPandas()
     assert all(n == py_norm(t) for t, n in zip(pdf["text"], pdf["n"]))
+
+
+def test_user_function_hooks(spark):
+    """User embedders / translators run over Arrow batches of distinct texts."""
+    import tempfile
+    from ledgerlink.operators import embed as EM
+    from ledgerlink.operators import translate as TR
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    texts = EM.distinct_texts(docs, "text")
+    vecs = EM.user_vectors(texts, lambda s: [[float(len(t)), float(t.count(" "))] for t in s]).toPandas()
+    assert len(vecs) == texts.count() and all(len(v) == 2 for v in vecs["embedding"])
+    out = TR.user_translate(docs, "text", lambda s: s.str.upper()).toPandas()
+    assert len(out) == docs.count()
+    assert (out["text"] == out["text original"].str.upper()).all()
+    # A second merge finds every text in the cache
+    path = tempfile.mkdtemp(prefix="ll-cache-")
+    allv, new = EM.merge_with_cache(texts, path, "m1", EM.char_profile_vectors)
+    EM.write_cache(new, path, "m1")
+    again, new2 = EM.merge_with_cache(texts, path, "m1", EM.char_profile_vectors)
+    assert new2.count() == 0 and again.where("from_cache").count() == texts.count()
