@@ -7,7 +7,8 @@ catalogue are small static tables broadcast to every micro-batch. Each
 micro-batch is appended to a Parquet stage through ``foreachBatch`` (the batch
 id makes a retried micro-batch idempotent), and ``trigger(availableNow=True)``
 processes what is there and stops, so the same code serves scheduled
-incremental runs. ``monthly_emissions`` is the windowed, watermarked variant.
+incremental runs. ``monthly_emissions`` is the windowed, watermarked variant
+(30-day windows).
 """
 
 from __future__ import annotations
@@ -42,8 +43,10 @@ def enrich_stream(spark: SparkSession, source_dir: str, schema: T.StructType | s
 
 
 def monthly_emissions(enriched_stream: DataFrame, time_col: str, watermark: str = "31 days") -> DataFrame:
-    """Emissions per calendar month of the purchase date; late lines are
-    accepted up to ``watermark`` after the newest seen date."""
+    """Emissions per 30-day event-time window of the purchase date (event-time
+    windows have fixed durations); late lines are accepted up to
+    ``watermark`` after the newest date seen, then the window's state is
+    dropped."""
     return (enriched_stream.withWatermark(time_col, watermark)
             .groupBy(F.window(time_col, "30 days").alias("w"))
             .agg(F.sum("co2e").alias("co2e"), F.count(F.lit(1)).alias("n_lines")))
