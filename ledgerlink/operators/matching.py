@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -129,3 +130,26 @@ def match_pipeline(rows: DataFrame, text_col: str, catalogue: DataFrame, cat_id:
                                       F.col("score").alias("match_score")), "_qid", "left")
                 .select(F.col("_text").alias(text_col), "match_id", "match_similarity", "match_score"))
     return join_back(rows, per_text, text_col, "left", stage="matches-per-text")
+
+
+def user_choose(candidates: DataFrame, fn: Callable[[pd.DataFrame], pd.Series]) -> DataFrame:
+    """M6 hook: a user chooser (a local model, rules, ...) applied to Arrow
+    batches of ``candidates_array`` rows (``q_id``, ``cand_ids``, optional
+    ``cand_texts``/``cand_scores``). ``fn`` returns one chosen id per row.
+
+    An answer that is not among the row's candidates, or a batch whose call
+    raises, leaves those rows unmatched (null) instead of failing the job,
+    as failed batches are skipped in the reference.
+    """
+    def run(batches):
+        for pdf in batches:
+            try:
+                chosen = pd.Series(fn(pdf), index=pdf.index)
+            except Exception:
+                chosen = pd.Series([None] * len(pdf), index=pdf.index)
+            ok = [c is not None and not pd.isna(c) and int(c) in set(ids)
+                  for c, ids in zip(chosen, pdf["cand_ids"])]
+            yield pd.DataFrame({"q_id": pdf["q_id"].astype("int64"),
+                                "chosen_id": [int(c) if k else None for c, k in zip(chosen, ok)]})
+
+    return candidates.mapInPandas(run, "q_id long, chosen_id long")

@@ -199,3 +199,18 @@ def test_user_function_hooks(spark):
     EM.write_cache(new, path, "m1")
     again, new2 = EM.merge_with_cache(texts, path, "m1", EM.char_profile_vectors)
     assert new2.count() == 0 and again.where("from_cache").count() == texts.count()
+
+
+def test_user_chooser_hook(spark):
+    from ledgerlink.operators import matching as MT
+    e = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
+    top = SIM.topk_cosine(e, e, 3, "vec_id", "embedding", "vec_id", "embedding", exclude_self=True)
+    cands = MT.candidates_array(top)
+    last = MT.user_choose(cands, lambda pdf: pdf["cand_ids"].map(lambda ids: ids[-1])).toPandas()
+    assert last["chosen_id"].notna().all() and len(last) == e.count()
+    wrong = MT.user_choose(cands, lambda pdf: pd.Series([-5] * len(pdf))).toPandas()
+    assert wrong["chosen_id"].isna().all()
+
+    def boom(pdf):
+        raise RuntimeError("service down")
+    assert MT.user_choose(cands, boom).toPandas()["chosen_id"].isna().all()
