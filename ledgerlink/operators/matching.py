@@ -111,24 +111,21 @@ def match_pipeline(rows: DataFrame, text_col: str, catalogue: DataFrame, cat_id:
     ``text.char_profile``; see ``embed.py`` for model-backed embedders).
     Returns every input row with ``match_id``, ``match_similarity``, ``match_score``.
     """
+    # the distinct text is its own (collision-free) query id
     uniq = rows.select(c(text_col).alias("_text")).where(F.col("_text").isNotNull()).distinct()
-    # unique ids (collision-free, unlike a 64-bit hash), fixed by writing the
-    # distinct texts once to the shared checkpoint folder
-    uniq = materialize(uniq.withColumn("_qid", F.monotonically_increasing_id()), "distinct-texts")
-    qv = uniq.select("_qid", embed(F.col("_text")).alias("_vec"))
+    qv = uniq.select(F.col("_text").alias("_qid"), embed(F.col("_text")).alias("_vec"))
     cv = catalogue.select(c(cat_id).alias("_tid"), embed(c(cat_text)).alias("_vec"))
     top = topk_cosine(qv, cv, top_n, "_qid", "_vec", "_tid", "_vec", mode=mode)
     # features for the choice: token overlap with the catalogue text, breadth
     feats = catalogue.select(c(cat_id).alias("t_id"), TX.tokens(c(cat_text)).alias("_ttok"),
                              (c(breadth_col).cast("double") if breadth_col else F.lit(0.0)).alias("_br"))
-    qt = uniq.select(F.col("_qid").alias("q_id"), TX.tokens(F.col("_text")).alias("_qtok"))
+    qt = uniq.select(F.col("_text").alias("q_id"), TX.tokens(F.col("_text")).alias("_qtok"))
     scored = top.join(qt, "q_id").join(feats, "t_id")
     best = choose_match(scored, w_cosine, w_overlap, w_breadth, min_score,
                         overlap=jaccard(F.col("_qtok"), F.col("_ttok")), breadth=F.col("_br"))
-    per_text = (uniq.join(best.select(F.col("q_id").alias("_qid"), F.col("t_id").alias("match_id"),
-                                      F.col("similarity").alias("match_similarity"),
-                                      F.col("score").alias("match_score")), "_qid", "left")
-                .select(F.col("_text").alias(text_col), "match_id", "match_similarity", "match_score"))
+    per_text = best.select(F.col("q_id").alias(text_col), F.col("t_id").alias("match_id"),
+                           F.col("similarity").alias("match_similarity"),
+                           F.col("score").alias("match_score"))
     return join_back(rows, per_text, text_col, "left", stage="matches-per-text")
 
 

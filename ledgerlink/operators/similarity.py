@@ -21,6 +21,7 @@ blocked form     For a catalogue too large to broadcast. Per group (optional
 
 Ranking: similarity rounded to 9 decimals, descending, then catalogue id
 ascending (the reference has no tie-break; Q6). Zero-norm vectors score 0.
+Ids are integers or natural text keys (e.g. the text itself, a catalogue code).
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlink.functions import vectors as V
 from ledgerlink.functions.cols import c, round_half_away
@@ -36,6 +38,8 @@ from ledgerlink.session import bounded_broadcast
 
 RANK_DECIMALS = 9
 OUT_SCHEMA = "q_id long, rank long, t_id long, similarity double"
+# ids may be integers or text (natural keys); an empty slot sorts after any id
+_TEXT_SENTINEL = "\U0010ffff" * 4
 
 
 # ------------------------------------------------------------------ numpy kernel
@@ -65,11 +69,20 @@ def _merge_topk(best_s, best_i, s, ids, k):
     return np.take_along_axis(all_s, order, axis=1), np.take_along_axis(all_i, order, axis=1)
 
 
+def _id_array(col: pd.Series) -> np.ndarray:
+    if pd.api.types.is_integer_dtype(col.dtype):
+        return col.to_numpy(dtype=np.int64)
+    return col.astype(object).to_numpy()
+
+
 def topk_block(q_ids, q_mat, q_grp, t_ids, t_mat, t_grp, k, exclude_self, chunk=8192):
     """Top-k of every query row against a catalogue block (numpy)."""
     n = len(q_ids)
     best_s = np.full((n, k), -np.inf)
-    best_i = np.full((n, k), np.iinfo(np.int64).max, dtype=np.int64)
+    if t_ids.dtype == object:
+        best_i = np.full((n, k), _TEXT_SENTINEL, dtype=object)
+    else:
+        best_i = np.full((n, k), np.iinfo(np.int64).max, dtype=np.int64)
     if n == 0 or len(t_ids) == 0:
         return best_s, best_i
     qu = _unit_rows(q_mat)
@@ -86,18 +99,26 @@ def topk_block(q_ids, q_mat, q_grp, t_ids, t_mat, t_grp, k, exclude_self, chunk=
 
 
 def _emit(q_ids, best_s, best_i) -> pd.DataFrame:
-    n, k = best_s.shape
     ok = np.isfinite(best_s)
     rows, ranks = np.nonzero(ok)
-    return pd.DataFrame({"q_id": q_ids[rows].astype(np.int64), "rank": (ranks + 1).astype(np.int64),
-                         "t_id": best_i[rows, ranks].astype(np.int64),
-                         "similarity": best_s[rows, ranks]})
+    return pd.DataFrame({"q_id": q_ids[rows], "rank": (ranks + 1).astype(np.int64),
+                         "t_id": best_i[rows, ranks], "similarity": best_s[rows, ranks]})
 
 
 # ------------------------------------------------------------------ Spark forms
 
+def _id_type(df: DataFrame, id_col: str) -> str:
+    """``long`` for integer ids, ``string`` for any other natural key."""
+    t = df.schema[id_col].dataType
+    return "long" if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)) else "string"
+
+
+def _out_schema(q_type: str, t_type: str) -> str:
+    return f"q_id {q_type}, rank long, t_id {t_type}, similarity double"
+
+
 def _prep(df: DataFrame, id_col: str, vec_col: str, grp: str | None) -> DataFrame:
-    cols = [c(id_col).cast("long").alias("_id"), V.as_double_vector(vec_col).alias("_v")]
+    cols = [c(id_col).cast(_id_type(df, id_col)).alias("_id"), V.as_double_vector(vec_col).alias("_v")]
     cols.append((c(grp).cast("string") if grp else F.lit("")).alias("_g"))
     return df.select(*cols)
 
@@ -117,7 +138,7 @@ def collect_catalogue(catalogue: DataFrame, t_id: str, t_vec: str, t_group: str
     cat = _prep(catalogue, t_id, t_vec, t_group).limit(bound + 1).toPandas()
     if len(cat) > bound:
         return None
-    return (cat["_id"].to_numpy(dtype=np.int64), _stack(cat["_v"], dim), cat["_g"].to_numpy())
+    return (_id_array(cat["_id"]), _stack(cat["_v"], dim), cat["_g"].to_numpy())
 
 
 def topk_broadcast(queries: DataFrame, catalogue: DataFrame, k: int, q_id: str, q_vec: str,
@@ -136,13 +157,14 @@ def topk_broadcast(queries: DataFrame, catalogue: DataFrame, k: int, q_id: str,
     def run(batches):
         ti, tm, tg = bc.value
         for pdf in batches:
-            qi = pdf["_id"].to_numpy(dtype=np.int64)
+            qi = _id_array(pdf["_id"])
             qm = _stack(pdf["_v"], tm.shape[1] if tm.ndim == 2 else None)
             qg = pdf["_g"].to_numpy() if use_group else None
             bs, bi = topk_block(qi, qm, qg, ti, tm, tg, k, exclude_self)
             yield _emit(qi, bs, bi)
 
-    return _prep(queries, q_id, q_vec, q_group).mapInPandas(run, OUT_SCHEMA)
+    schema = _out_schema(_id_type(queries, q_id), _id_type(catalogue, t_id))
+    return _prep(queries, q_id, q_vec, q_group).mapInPandas(run, schema)
 
 
 BLOCK_BYTES = 64 * 1024 * 1024      # one catalogue block's matrix in a task
@@ -161,6 +183,7 @@ def topk_blocked(queries: DataFrame, catalogue: DataFrame, k: int, q_id: str, q_
         block_rows = max(256, BLOCK_BYTES // (8 * max(vector_dim(catalogue, t_vec), 1)))
     q = _prep(queries, q_id, q_vec, q_group)
     t = _prep(catalogue, t_id, t_vec, t_group)
+    schema = _out_schema(_id_type(queries, q_id), _id_type(catalogue, t_id))
     # per-group block counts: one row per group, from a partial aggregation
     qn = q.groupBy("_g").agg(F.count(F.lit(1)).alias("_nq"))
     tn = t.groupBy("_g").agg(F.count(F.lit(1)).alias("_nt"))
@@ -170,7 +193,7 @@ def topk_blocked(queries: DataFrame, catalogue: DataFrame, k: int, q_id: str, q_
         # one group: two numbers, applied as literals (no join at all)
         row = blocks.first()
         if row is None:
-            return queries.sparkSession.createDataFrame([], OUT_SCHEMA)
+            return queries.sparkSession.createDataFrame([], schema)
         qj = q.withColumn("_bq", F.lit(row["_bq"])).withColumn("_bt", F.lit(row["_bt"]))
         tj = t.withColumn("_bq", F.lit(row["_bq"])).withColumn("_bt", F.lit(row["_bt"]))
     else:
@@ -184,17 +207,17 @@ def topk_blocked(queries: DataFrame, catalogue: DataFrame, k: int, q_id: str, q_
           .select("_g", "_qb", "_tb", "_id", "_v"))
 
     def run(_key, qp: pd.DataFrame, tp: pd.DataFrame) -> pd.DataFrame:
-        qi = qp["_id"].to_numpy(dtype=np.int64)
-        ti = tp["_id"].to_numpy(dtype=np.int64)
+        qi = _id_array(qp["_id"])
+        ti = _id_array(tp["_id"])
         if len(qi) == 0 or len(ti) == 0:
-            return pd.DataFrame({"q_id": [], "rank": [], "t_id": [], "similarity": []}).astype(
-                {"q_id": "int64", "rank": "int64", "t_id": "int64", "similarity": "float64"})
+            return pd.DataFrame({"q_id": qi[:0], "rank": np.zeros(0, np.int64), "t_id": ti[:0],
+                                 "similarity": np.zeros(0)})
         bs, bi = topk_block(qi, _stack(qp["_v"]), None, ti, _stack(tp["_v"]), None, k, exclude_self)
         return _emit(qi, bs, bi)
 
     partial = (qb.groupBy("_g", "_qb", "_tb")
                .cogroup(tb.groupBy("_g", "_qb", "_tb"))
-               .applyInPandas(run, OUT_SCHEMA))
+               .applyInPandas(run, schema))
     w = Window.partitionBy("q_id").orderBy(
         F.desc(round_half_away(F.col("similarity"), RANK_DECIMALS)), F.asc("t_id"))
     return (partial.withColumn("rank", F.row_number().over(w).cast("long"))

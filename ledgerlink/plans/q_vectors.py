@@ -274,14 +274,12 @@ def match_pipeline(spark, sf):
     lines = materialize(B.purchases(spark, sf).select(
         "l_orderkey", "l_linenumber", F.concat_ws(" ", "article", F.lower("category")).alias("text")),
         "match-lines")
-    cat = RL.dense_row_id(B.money_catalogue(spark, sf).select("cat_code", "cat_description", "ef"),
-                          ["cat_code"], "t_id")
-    m = MT.match_pipeline(lines, "text", cat, "t_id", "cat_description", TX.char_profile, TOP_N,
+    # catalogue entries are identified by their code (ties: lower code first)
+    cat = B.money_catalogue(spark, sf).select("cat_code", "cat_description", "ef")
+    m = MT.match_pipeline(lines, "text", cat, "cat_code", "cat_description", TX.char_profile, TOP_N,
                           S.w_cosine, S.w_overlap)
-    ids = cat.select(F.col("t_id").alias("match_id"), F.col("cat_code").alias("matched_code"))
-    m = MT.join_back(m, ids, "match_id", "left")
-    m = attach_factors(m, B.money_catalogue(spark, sf).select(F.col("cat_code").alias("matched_code"), "ef"),
-                       "matched_code")
+    m = m.withColumnRenamed("match_id", "matched_code")
+    m = attach_factors(m, cat.select(F.col("cat_code").alias("matched_code"), "ef"), "matched_code")
     return m.select("l_orderkey", "l_linenumber", "matched_code",
                     R("match_similarity", 6).alias("match_similarity"),
                     R("match_score", 6).alias("match_score"), "ef")
