@@ -89,14 +89,24 @@ def emissions_lines(lines: DataFrame, rates: DataFrame, index: DataFrame, catalo
                          money.total_uncertainty(F.col("unc_attr"), F.col("unc_80"), spec.pct80_weight))
         return x.withColumn("uncertainty_carbon_emissions", F.col("co2e") * F.col("total_uncertainty_factor"))
     t = spec.target_currency
-    x = money.fx_convert(lines, rates, date_col, cur_col, amount_col, t,
-                         out_col="amount_eur", rate_col="rate_eur", known_max_rows=rates_rows)
-    x = money.fx_convert(x.drop("fx_quarantined"), rates, date_col, cur_col, amount_col,
-                         spec.second_currency, out_col="amount_usd", rate_col="rate_usd",
-                         known_max_rows=rates_rows).drop("fx_quarantined")
+    if rates is None:
+        # Q12: no rate table configured: amounts are taken as already converted
+        x = (lines.withColumn("rate_eur", F.lit(1.0)).withColumn("amount_eur", c(amount_col))
+             .withColumn("rate_usd", F.lit(None).cast("double"))
+             .withColumn("amount_usd", F.lit(None).cast("double")))
+    else:
+        x = money.fx_convert(lines, rates, date_col, cur_col, amount_col, t,
+                             out_col="amount_eur", rate_col="rate_eur", known_max_rows=rates_rows)
+        x = money.fx_convert(x.drop("fx_quarantined"), rates, date_col, cur_col, amount_col,
+                             spec.second_currency, out_col="amount_usd", rate_col="rate_usd",
+                             known_max_rows=rates_rows).drop("fx_quarantined")
     x = x.withColumn("fx_quarantined", F.col("rate_eur").isNull())
-    x = money.deflate(x, index, date_col, "amount_eur", spec.base_year,
-                      out_col="amount_deflated", known_max_rows=rates_rows)
+    if index is None:
+        # Q12: no price index configured: amounts are not deflated
+        x = x.withColumn("amount_deflated", F.col("amount_eur"))
+    else:
+        x = money.deflate(x, index, date_col, "amount_eur", spec.base_year,
+                          out_col="amount_deflated", known_max_rows=rates_rows)
     x = attach_factors(x, catalogue, code_col)
     x = x.withColumn("co2e", money.co2e(F.col("amount_deflated"), F.col("ef")))
     x = x.withColumn("total_uncertainty_factor",

@@ -217,3 +217,12 @@ def test_unknown_catalogue_requests_get_error_rows(spark):
     ok, bad = CT.split_requests(req, "database_name", reg)
     assert [r["request_id"] for r in ok.collect()] == [1]
     assert bad.first()["error"] == "Invalid database name: nope. Valid database names are: agri, labo"
+
+
+def test_no_rates_or_index_passes_amounts_through(spark):
+    from ledgerlink.spec import JobSpec
+    lines = spark.createDataFrame([(1, "c1", 250.0)], "id int, code string, amt double") \
+        .withColumn("d", F.to_date(F.lit("2023-02-10"))).withColumn("cur", F.lit("EUR"))
+    cat = spark.createDataFrame([("c1", 0.4, 0.5, 0.25)], "code string, ef double, unc_attr double, unc_80 double")
+    r = report.emissions_lines(lines, None, None, cat, JobSpec(), "code", "d", "cur", "amt").first()
+    assert (r["amount_eur"], r["amount_deflated"]) == (250.0, 250.0) and math.isclose(r["co2e"], 100.0)
