@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -73,14 +72,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A per-call sub-folder of the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    base = base[len("file:"):] if base.startswith("file:") else base
-    os.makedirs(base, exist_ok=True) if "://" not in base else None
-    if "://" not in base:
-        return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
-    # remote folder: a fresh, never reused name per stage
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh, never reused sub-folder name of the shared checkpoint folder.
+    Spark's writers create it, on whatever file system the folder names."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote, through Hadoop's file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 _BOUND_CHECKS: dict[tuple, int] = {}
