@@ -8,7 +8,7 @@ import types
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlink.session import delete_path, materialize, scratch_path  # noqa: F401  (re-exported)
+from ledgerlink.session import bounded_broadcast, delete_path, materialize, scratch_path  # noqa: F401  (re-exported)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,28 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
+class Stages:
+    """Stored intermediate tables of one operator; those not kept are deleted
+    when the operator has what it needs."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Stages:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        for path in self.paths:
+            delete_path(self.spark, path)
+
+    def write(self, df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        if not keep:
+            self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
