@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from ledgerlink.llm import main_text, multi_index, near_dup
 from ledgerlink.llm.token_file import op1_token_files
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op5_nearest_vectors": multi_index.op5_nearest_vectors,
+    "op8_main_text": main_text.op8_main_text,
+    "op10_near_duplicates": near_dup.op10_near_duplicates,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_near_duplicates": near_dup.ORACLE,
+}
