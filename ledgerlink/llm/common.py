@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import sys
 import types
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +51,13 @@ class Stages:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
+def broadcast_below(df: DataFrame, row_bytes: Column, max_bytes: int) -> DataFrame:
+    """``df`` with a broadcast hint if its rows, measured by ``row_bytes``, take at
+    most ``max_bytes``; the same rows come out of either join."""
+    size = df.agg(F.sum(row_bytes.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -64,3 +73,29 @@ def ascii_lower(text: Column) -> Column:
 def doc_hash_mod(doc_id: Column, m: int) -> Column:
     """crc32(doc_id as text) mod m; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % m
+
+
+def pieces(texts: list, most_chars: int = 8_000_000) -> Iterator[tuple[int, int]]:
+    """Ranges of whole texts of about ``most_chars`` characters."""
+    at = 0
+    while at < len(texts):
+        stop, chars = at, 0
+        while stop < len(texts) and (stop == at or chars + len(texts[stop] or "") <= most_chars):
+            chars += len(texts[stop] or "")
+            stop += 1
+        yield at, stop
+        at = stop
+
+
+def runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[tuple[tuple, pd.DataFrame]]:
+    """(key, rows) of consecutive rows with equal keys, across batches."""
+    key, held = None, []
+    for pdf in batches:
+        for new, rows in pdf.groupby(keys, sort=False, dropna=False):
+            if new != key:
+                if held:
+                    yield key, pd.concat(held, ignore_index=True) if len(held) > 1 else held[0].reset_index(drop=True)
+                key, held = new, []
+            held.append(rows)
+    if held:
+        yield key, pd.concat(held, ignore_index=True) if len(held) > 1 else held[0].reset_index(drop=True)

@@ -20,10 +20,12 @@ link is confirmed on the full sets.
    and keeps pairs with enough of them. Sizes that cannot reach the similarity
    are skipped.
 4. First each piece reports only a maximum spanning forest of its candidates, by
-   collisions. Its edges are confirmed and contracted. Then pieces report every
-   candidate pair that still lies between two components, those are confirmed
-   too, and the components are final: no link between different texts is lost,
-   and a large group of near copies is never expanded into all its pairs.
+   collisions. Its edges are confirmed and contracted. Then each piece names the
+   classes that still have a candidate in another component (a pair counts in the
+   piece of its first common token only), gets their full sets, compares all of
+   them, and reports a spanning forest of the links. So every candidate pair is
+   judged on the full sets, no link between different texts is lost, and neither
+   candidates nor links of a large group are ever written out pair by pair.
 
 Defined cases: null, empty and white-space texts have size 0 and are their own
 component. Repeated rows and repeated doc_ids are rows like others; each gets
@@ -41,12 +43,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlink.llm.common import Stages, bounded_broadcast, table
+from ledgerlink.llm.common import Stages, bounded_broadcast, pieces, table
 
 WIDTH = 5
 COORDS = 48
 MATCHES = 24
 BLOCK = 1024
+#: Shingles of a block of classes, at most (or one class).
+BLOCK_SHINGLES = 2_000_000
 FOREST_TOKENS = 4
 #: Rows of two keys, at 24 bytes: at most about 50 MB are broadcast; beyond that the join shuffles.
 BROADCAST_ROWS = 2_000_000
@@ -102,18 +106,6 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def pieces(texts: list, most_chars: int = 8_000_000) -> Iterator[tuple[int, int]]:
-    """Ranges of whole texts of about ``most_chars`` characters."""
-    at = 0
-    while at < len(texts):
-        stop, chars = at, 0
-        while stop < len(texts) and (stop == at or chars + len(texts[stop] or "") <= most_chars):
-            chars += len(texts[stop] or "")
-            stop += 1
-        yield at, stop
-        at = stop
-
-
 def _set_key(s: np.ndarray) -> bytes:
     from xxhash import xxh3_128_digest
     return xxh3_128_digest(s.tobytes())
@@ -160,13 +152,16 @@ def active_classes(classes: DataFrame) -> DataFrame:
 
 
 def work_pieces(active: DataFrame, toks: Column, extra: list[str]) -> DataFrame:
-    """Rows dealt to (token, lo, hi) pieces: all pairs of blocks of each list."""
-    rows = active.select("set_key", "n", "sig", *extra, F.explode(toks).alias("token"))
-    size = active.select(F.explode(toks).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("g")).filter("g > 1")
-    rows = rows.join(size, "token").withColumn("nb", F.ceil(F.col("g") / BLOCK).cast("int"))
+    """Rows dealt to (token, lo, hi) pieces: all pairs of blocks of each list.
+    ``early`` has a bit for each coordinate that the class posts before this one."""
+    rows = active.select("set_key", "n", "sig", *extra, "toks", F.posexplode(toks).alias("at", "token"))
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(t, 32).cast("int"))
+    rows = rows.withColumn("early", F.aggregate(F.slice("toks", 1, F.col("at")), F.lit(0).cast("long"), lambda s, t: s + bit(t))).drop("toks", "at")
+    size = active.select("n", F.explode(toks).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("g"), F.sum("n").alias("gn")).filter("g > 1")
+    rows = rows.join(size, "token").withColumn("nb", F.ceil(F.greatest(F.col("g") / BLOCK, F.col("gn") / BLOCK_SHINGLES)).cast("int"))
     rows = rows.withColumn("blk", F.pmod(F.xxhash64("set_key"), F.col("nb")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    rows = rows.select("token", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"), "blk", "set_key", "n", "sig", *extra)
+    rows = rows.select("token", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"), "blk", "set_key", "n", "sig", "early", *extra)
     return rows.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi", "set_key")
 
 
@@ -195,64 +190,124 @@ def _forest(score: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def candidate_pairs(work: DataFrame, forest: bool) -> DataFrame:
-    """Pairs of set keys found in the pieces: a spanning forest of each, or all
-    pairs that lie between two components (column ``comp``)."""
-
-    def solve(lo: int, hi: int, d: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        if not forest and (d["comp"] == d["comp"][0]).all():
-            return d["set_key"][:0], d["set_key"][:0]
-        i = np.arange(len(d["n"])) if lo == hi else np.flatnonzero(d["blk"] == lo)
-        j = i if lo == hi else np.flatnonzero(d["blk"] == hi)
-        score = collisions(d["sig"][i], d["sig"][j]).astype(np.int64)
-        small, large = np.minimum.outer(d["n"][i], d["n"][j]), np.maximum.outer(d["n"][i], d["n"][j])
-        ok = (score >= MATCHES) & (100 * small >= 75 * large)
-        if lo == hi:
-            np.fill_diagonal(ok, False)
-        if not forest:
-            ok &= d["comp"][i][:, None] != d["comp"][j][None, :]
-            a, b = np.nonzero(np.triu(ok) if lo == hi else ok)
-            return d["set_key"][i[a]], d["set_key"][j[b]]
-        if not ok.any():
-            return d["set_key"][:0], d["set_key"][:0]
-        score[~ok] = 0
-        if lo != hi:
-            both = np.zeros((len(i) + len(j),) * 2, dtype=np.int64)
-            both[:len(i), len(i):], both[len(i):, :len(i)] = score, score.T
-            score, i = both, np.concatenate((i, j))
-        edges = np.array(_forest(score), dtype=np.int64).reshape(-1, 2)
-        return d["set_key"][i[edges[:, 0]]], d["set_key"][i[edges[:, 1]]]
-
-    names = ["blk", "set_key", "n", "sig"] + ([] if forest else ["comp"])
+def _pieces_of(batches: Iterator[pd.DataFrame], names: list[str]) -> Iterator[tuple[tuple, dict[str, np.ndarray]]]:
+    """((token, lo, hi), columns) of each piece with two rows or more."""
+    held: list[dict] = []
+    key = None
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[dict] = []
-        key = None
+    def joined() -> dict:
+        return held[0] if len(held) == 1 else {c: np.concatenate([h[c] for h in held]) for c in names}
 
-        def close() -> Iterator[pd.DataFrame]:
-            if key is not None and sum(len(h["n"]) for h in held) > 1:
-                a, b = solve(key[1], key[2], {c: np.concatenate([h[c] for h in held]) for c in names})
-                if len(a):
-                    yield pd.DataFrame({"a": np.where(a < b, a, b), "b": np.where(a < b, b, a)})
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        d = {c: pdf[c].to_numpy() for c in names}
+        if "sig" in d:
+            d["sig"] = np.frombuffer(b"".join(pdf["sig"]), dtype=np.uint32).reshape(-1, COORDS)
+        at = pdf[["token", "lo", "hi"]].to_numpy()
+        cuts = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]).any(1), True])
+        for s, e in zip(cuts[:-1], cuts[1:]):
+            new = tuple(at[s].tolist())
+            if new != key:
+                if sum(len(h["set_key"]) for h in held) > 1:
+                    yield key, joined()
+                held, key = [], new
+            held.append({c: v[s:e] for c, v in d.items()})
+    if sum(len(h["set_key"]) for h in held) > 1:
+        yield key, joined()
+
+
+def _candidates(lo: int, hi: int, d: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(rows i, rows j, collisions of i x j, whether the pair is a candidate)."""
+    i = np.arange(len(d["n"])) if lo == hi else np.flatnonzero(d["blk"] == lo)
+    j = i if lo == hi else np.flatnonzero(d["blk"] == hi)
+    score = collisions(d["sig"][i], d["sig"][j]).astype(np.int64)
+    small, large = np.minimum.outer(d["n"][i], d["n"][j]), np.maximum.outer(d["n"][i], d["n"][j])
+    ok = (score >= MATCHES) & (100 * small >= 75 * large)
+    if lo == hi:
+        np.fill_diagonal(ok, False)
+    return i, j, score, ok
+
+
+def forest_pairs(work: DataFrame) -> DataFrame:
+    """Pairs of set keys: a maximum spanning forest of each piece's candidates."""
 
-        for pdf in batches:
-            if not len(pdf):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for (_, lo, hi), d in _pieces_of(batches, ["blk", "set_key", "n", "sig"]):
+            i, j, score, ok = _candidates(lo, hi, d)
+            if not ok.any():
                 continue
-            d = {c: pdf[c].to_numpy() for c in names}
-            d["sig"] = np.frombuffer(b"".join(pdf["sig"]), dtype=np.uint32).reshape(-1, COORDS)
-            at = pdf[["token", "lo", "hi"]].to_numpy()
-            cuts = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]).any(1), True])
-            for s, e in zip(cuts[:-1], cuts[1:]):
-                new = tuple(at[s].tolist())
-                if new != key:
-                    yield from close()
-                    held, key = [], new
-                held.append({c: v[s:e] for c, v in d.items()})
-        yield from close()
+            score[~ok] = 0
+            if lo != hi:
+                both = np.zeros((len(i) + len(j),) * 2, dtype=np.int64)
+                both[:len(i), len(i):], both[len(i):, :len(i)] = score, score.T
+                score, i = both, np.concatenate((i, j))
+            edges = np.array(_forest(score), dtype=np.int64).reshape(-1, 2)
+            a, b = d["set_key"][i[edges[:, 0]]], d["set_key"][i[edges[:, 1]]]
+            yield pd.DataFrame({"a": np.where(a < b, a, b), "b": np.where(a < b, b, a)})
 
     return work.mapInPandas(run, "a binary, b binary").distinct()
 
 
+def open_classes(work: DataFrame) -> DataFrame:
+    """(token, lo, hi, set_key, comp) of the classes that have, in this piece, a
+    candidate in another component with which they share no earlier token."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for (token, lo, hi), d in _pieces_of(batches, ["blk", "set_key", "n", "sig", "early", "comp"]):
+            if (d["comp"] == d["comp"][0]).all():
+                continue
+            i, j, _, ok = _candidates(lo, hi, d)
+            ok &= d["comp"][i][:, None] != d["comp"][j][None, :]
+            for c in range(COORDS) if ok.any() else ():
+                posted = (d["early"] >> c & 1).astype(bool)
+                if posted[i].any() and posted[j].any():
+                    ok &= ~((posted[i][:, None] & posted[j][None, :]) & (d["sig"][i, c][:, None] == d["sig"][j, c][None, :]))
+            if ok.any():
+                rows = np.union1d(i[ok.any(1)], j[ok.any(0)])
+                yield pd.DataFrame({"token": token, "lo": lo, "hi": hi, "set_key": d["set_key"][rows], "comp": d["comp"][rows]})
+
+    return work.mapInPandas(run, "token long, lo int, hi int, set_key binary, comp binary")
+
+
+def common_shingles(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of the sets."""
+    values = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    first = np.r_[True, values[1:] != values[:-1]]
+    column = np.cumsum(first) - 1
+    shared = np.bincount(column)[column] > 1
+    column, owner = column[shared], owner[shared]
+    column = np.cumsum(np.r_[True, column[1:] != column[:-1]]) - 1 if len(column) else column
+    out = np.zeros((len(sets), len(sets)), dtype=np.int64)
+    width = 2048
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        a, b = np.searchsorted(column, [at, at + width])
+        x = np.zeros((len(sets), width), dtype=np.float32)
+        x[owner[a:b], column[a:b] - at] = 1
+        out += (x @ x.T).astype(np.int64)
+    return out
+
+
+def links_between(opened: DataFrame, sets: DataFrame) -> DataFrame:
+    """Spanning forests of the exact links among the opened classes of each piece."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _, d in _pieces_of(batches, ["set_key", "comp", "shingles"]):
+            full = [np.frombuffer(b, np.uint64) for b in d["shingles"]]
+            n = np.array([len(x) for x in full])
+            both = common_shingles(full)
+            linked = (100 * both >= 75 * (n[:, None] + n[None, :] - both)) & (d["comp"][:, None] != d["comp"][None, :])
+            edges = np.array(_forest(linked.astype(np.int64)), dtype=np.int64).reshape(-1, 2)
+            if len(edges):
+                yield pd.DataFrame({"a": d["set_key"][edges[:, 0]], "b": d["set_key"][edges[:, 1]]})
+
+    rows = opened.join(sets, "set_key").repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi", "set_key")
+    return rows.mapInPandas(run, "a binary, b binary").distinct()
+
+
 def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs that are linked, judged on the full sets."""
 
@@ -326,11 +381,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         sets = stages.write(full_sets(docs, active.select("doc_id", "set_key")), "sets")
 
         few = F.slice("toks", 1, FOREST_TOKENS)
-        links = stages.write(confirm(candidate_pairs(work_pieces(active, few, []), True), sets), "links")
+        links = stages.write(confirm(forest_pairs(work_pieces(active, few, [])), sets), "links")
         comp = components(links, stages)
         named = active.join(comp, "set_key", "left").withColumn("comp", F.coalesce("comp", "set_key"))
-        across = confirm(candidate_pairs(work_pieces(named, F.col("toks"), ["comp"]), False), sets)
-        across = stages.write(across, "links")
+        opened = open_classes(work_pieces(named, F.col("toks"), ["comp"]))
+        across = stages.write(links_between(opened, sets), "links")
         if not across.isEmpty():
             comp = components(comp.select(F.col("set_key").alias("a"), F.col("comp").alias("b")).unionAll(across), stages)
 
