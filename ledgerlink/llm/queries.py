@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
-from ledgerlink.llm import main_text, multi_index, near_dup
+from ledgerlink.llm import decontaminate, katz, main_text, mixing, multi_index, near_dup, personal_data, secret_scan, toxicity
 from ledgerlink.llm.token_file import op1_token_files
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_mixing": mixing.op2_mixing,
+    "op3_decontaminate": decontaminate.op3_decontaminate,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_nearest_vectors": multi_index.op5_nearest_vectors,
+    "op6_personal_data": personal_data.op6_personal_data,
+    "op7_secrets": secret_scan.op7_secrets,
     "op8_main_text": main_text.op8_main_text,
+    "op9_katz": katz.op9_katz,
     "op10_near_duplicates": near_dup.op10_near_duplicates,
 }
 
 ORACLES: dict[str, str] = {
+    "op3_decontaminate": decontaminate.ORACLE,
     "op10_near_duplicates": near_dup.ORACLE,
 }
