@@ -52,7 +52,7 @@ from ledgerlink.llm.common import Stages, doc_hash_mod, pieces, runs, shuffle_pa
 
 FOLDS, HELD = 7, 2
 GT = 5
-CHUNK_TOKENS = 4_000_000
+CHUNK_TOKENS = 1_500_000
 BUCKET_ENTRIES = 3_000_000
 HOT = 0.25
 START, UNKNOWN = np.uint32(0xFFFFFFFF), np.uint32(0xFFFFFFFE)
@@ -228,9 +228,10 @@ def send_bigrams(joined: DataFrame, uni_shared, offsets_shared, buckets: int, ho
                                     "base": [pack(np.concatenate([lens.astype(np.float64), add(known.astype(np.float64)), base, plain]))],
                                     "keys": [None], "n_occ": [None], "docs": [None], "tf": [None]})
                 use = ~alone
-                key = (context[use].astype(np.uint64) << np.uint64(32)) | word[use]
+                key, d = (context[use].astype(np.uint64) << np.uint64(32)) | word[use], doc[use]
+                del context, c_context, alone, count, known, doc, word, use
                 order = np.argsort(key, kind="stable")                          # equal keys stay in order of document
-                key, d = key[order], doc[use][order]
+                key, d = key[order], d[order]
                 if not len(key):
                     continue
                 new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (d[1:] != d[:-1])])
