@@ -16,7 +16,10 @@ def _as_col(x) -> Column:
 
 def parse_date(col, fmt: str = "dd/MM/yyyy") -> Column:
     """text in ``fmt`` to a date; dates and timestamps pass through."""
-    return F.try_to_date(_as_col(col).cast("string"), fmt)
+    x = _as_col(col)
+    # the type is known when the plan is analysed: only one branch remains
+    return F.when(F.typeof(x).isin("date", "timestamp", "timestamp_ntz"), x.cast("string").substr(1, 10).try_cast("date")) \
+            .otherwise(F.try_to_date(x.cast("string"), fmt))
 
 
 def month_start(col) -> Column:
@@ -27,9 +30,3 @@ def month_start(col) -> Column:
 def month_text(col) -> Column:
     """``yyyy-MM``."""
     return F.date_format(_as_col(col), "yyyy-MM")
-
-
-def months_between_starts(a, b) -> Column:
-    """Whole months from month ``b`` to month ``a`` (both month starts)."""
-    a, b = _as_col(a), _as_col(b)
-    return ((F.year(a) - F.year(b)) * 12 + F.month(a) - F.month(b)).cast("long")

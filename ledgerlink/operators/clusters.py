@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 from ledgerlink.functions import text as TX
 from ledgerlink.functions import vectors as V
 from ledgerlink.functions.cols import c, round_half_away
-from ledgerlink.session import ensure_checkpoint_dir, materialize
+from ledgerlink.session import bounded_broadcast, materialize
 
 MAX_LITERAL_CENTROIDS = 4096
+CENTROID_ROWS = 100_000
 
 
 def kmeans_fit(df: DataFrame, id_col: str, vec_col: str, k: int, seed: int = 42,
@@ -68,7 +69,7 @@ def nearest_representatives(df: DataFrame, id_col: str, vec_col: str, cluster_co
                             centroids: DataFrame, n: int) -> DataFrame:
     """M3(a): the ``n`` rows closest to their cluster's centroid.
     ``centroids`` is (cluster, vector), one row per cluster (broadcast)."""
-    cent = F.broadcast(centroids.select(c(cluster_col), V.as_double_vector(vec_col).alias("_cv")))
+    cent = bounded_broadcast(centroids.select(c(cluster_col), V.as_double_vector(vec_col).alias("_cv")), CENTROID_ROWS)
     x = df.select(c(id_col), c(cluster_col), V.as_double_vector(vec_col).alias("_v")).join(cent, cluster_col)
     x = x.withColumn("sqdist", V.sq_distance(F.col("_v"), F.col("_cv")))
     w = Window.partitionBy(cluster_col).orderBy(round_half_away(F.col("sqdist"), 9), c(id_col))
@@ -81,7 +82,6 @@ def subcluster_representatives(df: DataFrame, id_col: str, vec_col: str, cluster
     """M3(b): per cluster, the row nearest to each of ``k_sub`` sub-centroids
     (all rows when the cluster has at most ``k_sub``). Returns
     (cluster, sub, id, sqdist)."""
-    ensure_checkpoint_dir(df.sparkSession)
     base = df.select(c(id_col).alias("_id"), c(cluster_col).alias("_cl"),
                      V.as_double_vector(vec_col).alias("_v"))
     # deterministic start: the k_sub rows of smallest hash in each cluster
@@ -91,10 +91,10 @@ def subcluster_representatives(df: DataFrame, id_col: str, vec_col: str, cluster
 
     def as_table(cdf: DataFrame) -> DataFrame:
         t = cdf.groupBy("_cl").agg(F.collect_list(F.struct("_sub", F.col("_v").alias("c"))).alias("_cs"))
-        return t.checkpoint(eager=True)          # small: clusters x k_sub vectors
+        return materialize(t, "sub-centroids")   # clusters x k_sub vectors
 
     def assign(tbl: DataFrame) -> DataFrame:
-        x = base.join(F.broadcast(tbl), "_cl")
+        x = base.join(bounded_broadcast(tbl, CENTROID_ROWS), "_cl")
         best = F.array_min(F.transform("_cs", lambda s: F.struct(V.sq_distance(F.col("_v"), s["c"]).alias("d"),
                                                                  s["_sub"].alias("sub"))))
         return x.select("_id", "_cl", "_v", best["sub"].alias("_sub"), best["d"].alias("_d"))
@@ -104,8 +104,14 @@ def subcluster_representatives(df: DataFrame, id_col: str, vec_col: str, cluster
         a = assign(tbl)
         means = V.mean_vectors(a, "_v", ["_cl", "_sub"]).drop("n")
         tbl = as_table(means)
-    a = assign(tbl)
+    # a cluster of at most k_sub rows is represented by all of them, equal vectors included
+    size = base.groupBy("_cl").agg(F.count(F.lit(1)).alias("_n"))
+    few = size.where(F.col("_n") <= k_sub).select("_cl")
+    a = assign(tbl).join(few, "_cl", "left_anti")
     reps = a.groupBy("_cl", "_sub").agg(F.min(F.struct("_d", "_id")).alias("_m"))
+    whole = (base.join(few, "_cl").withColumn("_sub", F.row_number().over(w0) - 1)
+             .select("_cl", "_sub", F.struct(F.lit(0.0).alias("_d"), "_id").alias("_m")))
+    reps = reps.unionByName(whole)
     return reps.select(F.col("_cl").alias(cluster_col), F.col("_sub").cast("long").alias("sub"),
                        F.col("_m._id").alias(id_col), F.col("_m._d").alias("sqdist"))
 

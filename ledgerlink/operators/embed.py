@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ledgerlink.functions import text as TX
 from ledgerlink.functions.cols import c
-from ledgerlink.session import materialize
+from ledgerlink.session import materialize, path_exists
 
 
 def distinct_texts(df: DataFrame, text_col: str, normalise: bool = True) -> DataFrame:
@@ -72,11 +72,10 @@ def merge_with_cache(texts: DataFrame, cache_path: str | None, model: str,
     """
     spark = texts.sparkSession
     cached = None
-    if cache_path:
-        try:
-            cached = spark.read.parquet(cache_path).where(F.col("model") == model).select("text", "embedding")
-        except Exception:  # no cache yet
-            cached = None
+    if cache_path and path_exists(spark, cache_path):
+        # an append that ran twice leaves equal rows: one per text counts
+        cached = (spark.read.parquet(cache_path).where(F.col("model") == model)
+                  .groupBy("text").agg(F.min("embedding").alias("embedding")))
     if cached is None:
         new = embed(texts)
         return new.withColumn("from_cache", F.lit(False)), new

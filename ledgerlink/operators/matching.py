@@ -86,9 +86,9 @@ def choose_match(scored: DataFrame, w_cosine: float, w_overlap: float, w_breadth
 
 
 def rating(score: Column, buckets: int = 5) -> Column:
-    """M7: 1-5 rating of a match score in [0, 1]; a score of 1.0 is 5, not 6;
-    no score, no rating (``least`` alone would skip the null)."""
-    r = F.least(F.width_bucket(score, F.lit(0.0), F.lit(1.0), F.lit(buckets)), F.lit(buckets))
+    """M7: 1-5 rating of a match score; a score of 1.0 is 5, not 6, and one below
+    0 is 1; no score, no rating (``least`` alone would skip the null)."""
+    r = F.greatest(F.lit(1), F.least(F.width_bucket(score, F.lit(0.0), F.lit(1.0), F.lit(buckets)), F.lit(buckets)))
     return F.when(score.isNotNull(), r)
 
 
@@ -104,7 +104,7 @@ def match_pipeline(rows: DataFrame, text_col: str, catalogue: DataFrame, cat_id:
                    cat_text: str, embed: Callable[[Column], Column], top_n: int,
                    w_cosine: float, w_overlap: float, w_breadth: float = 0.0,
                    breadth_col: str | None = None, min_score: float | None = None,
-                   mode: str = "auto") -> DataFrame:
+                   mode: str = "blocked") -> DataFrame:
     """Distinct texts -> vectors -> top-N -> choice -> join back.
 
     ``embed`` maps a text column to an ``array<double>`` column (JVM-side, e.g.
@@ -134,19 +134,25 @@ def user_choose(candidates: DataFrame, fn: Callable[[pd.DataFrame], pd.Series])
     batches of ``candidates_array`` rows (``q_id``, ``cand_ids``, optional
     ``cand_texts``/``cand_scores``). ``fn`` returns one chosen id per row.
 
-    An answer that is not among the row's candidates, or a batch whose call
-    raises, leaves those rows unmatched (null) instead of failing the job,
-    as failed batches are skipped in the reference.
+    Ids keep their type. An answer that is not among the row's candidates leaves
+    the row unmatched (null). A batch whose call raises is tried again in halves,
+    so only the rows that fail by themselves stay unmatched.
     """
+    def ask(pdf: pd.DataFrame) -> list:
+        try:
+            return list(fn(pdf))
+        except Exception:
+            if len(pdf) < 2:
+                return [None] * len(pdf)
+            half = len(pdf) // 2
+            return ask(pdf.iloc[:half]) + ask(pdf.iloc[half:])
+
     def run(batches):
         for pdf in batches:
-            try:
-                chosen = pd.Series(fn(pdf), index=pdf.index)
-            except Exception:
-                chosen = pd.Series([None] * len(pdf), index=pdf.index)
-            ok = [c is not None and not pd.isna(c) and int(c) in set(ids)
-                  for c, ids in zip(chosen, pdf["cand_ids"])]
-            yield pd.DataFrame({"q_id": pdf["q_id"].astype("int64"),
-                                "chosen_id": [int(c) if k else None for c, k in zip(chosen, ok)]})
-
-    return candidates.mapInPandas(run, "q_id long, chosen_id long")
+            chosen = [next((i for i in ids if a is not None and str(i) == str(a)), None)
+                      for a, ids in zip(ask(pdf), pdf["cand_ids"])]
+            yield pd.DataFrame({"q_id": pdf["q_id"], "chosen_id": pd.Series(chosen, index=pdf.index, dtype=object)})
+
+    q_type = candidates.schema["q_id"].dataType.simpleString()
+    c_type = candidates.schema["cand_ids"].dataType.elementType.simpleString()
+    return candidates.mapInPandas(run, f"q_id {q_type}, chosen_id {c_type}")

@@ -74,7 +74,8 @@ def index_factors(index: DataFrame, base_year: int, known_max_rows: int | None =
     value pulled to the driver)."""
     base = index.where((F.year("month") == base_year) & (F.month("month") == 1)) \
         .select(F.max("index")).scalar()
-    f = index.select(F.col("month").alias("__ix_month"), (F.col("index") / base).alias("__ix_fac"))
+    # one row per month, whatever the table repeats
+    f = index.groupBy(F.col("month").alias("__ix_month")).agg((F.min("index") / base).alias("__ix_fac"))
     return _small(f, known_max_rows)
 
 
@@ -85,11 +86,13 @@ def price_index_range(index: DataFrame, a: Column, b: Column) -> DataFrame:
 
 def deflate(df: DataFrame, index: DataFrame, date_col: str, amount_col: str, base_year: int,
             out_col: str | None = None, known_max_rows: int | None = None) -> DataFrame:
-    """``amount / (index(month) / index(base-year January))``."""
+    """``amount / (index(month) / index(base-year January))``. A line whose
+    month has no index keeps a null amount and ``deflate_quarantined = true``."""
     out_col = out_col or f"{amount_col} corrected inflation in {base_year}"
     fac = index_factors(index, base_year, known_max_rows)
     x = df.withColumn("__ix_month", month_start(date_col)).join(fac, "__ix_month", "left")
-    return x.withColumn(out_col, c(amount_col) / F.col("__ix_fac")).drop("__ix_month", "__ix_fac")
+    return (x.withColumn(out_col, c(amount_col) / F.col("__ix_fac"))
+            .withColumn("deflate_quarantined", F.col("__ix_fac").isNull()).drop("__ix_month", "__ix_fac"))
 
 
 def co2e(amount: Column, factor: Column) -> Column:

@@ -119,7 +119,7 @@ def global_order_index(df: DataFrame, order_cols: list[str], value_col: str | No
     2. the narrow numbered rows are written once to the shared checkpoint
        folder (lineage cut; a lost executor cannot re-sample other bounds);
     3. per-partition counts and sums (one row per partition, collected) give
-       each partition's offset, applied as a literal map lookup.
+       each partition's offset, applied as an access to a literal array.
     Pass a narrow DataFrame (keys and values); order columns must identify rows.
     """
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -136,7 +136,7 @@ def global_order_index(df: DataFrame, order_cols: list[str], value_col: str | No
         local = local.withColumn("_lcum", F.sum(c(value_col).cast("double")).over(wl))
     # one row per partition (bounded by the partition count), read from the
     # written stage; offsets are prefix sums over partition ids, injected as a
-    # literal map: no single-partition exchange anywhere in the plan
+    # literal array: no single-partition exchange anywhere in the plan
     stats = (local.groupBy("_pid")
              .agg(F.count(F.lit(1)).alias("_pn"),
                   (F.sum(c(value_col)).cast("double") if value_col else F.lit(0.0)).alias("_ps"))
@@ -146,11 +146,11 @@ def global_order_index(df: DataFrame, order_cols: list[str], value_col: str | No
         off[r["_pid"]], soff[r["_pid"]] = run_n, run_s
         run_n += r["_pn"]
         run_s += float(r["_ps"] or 0.0)
+
     def lookup(d, typ):
-        if not d:
-            return F.lit(0).cast(typ)
-        m = F.create_map(*[x for k, v in d.items() for x in (F.lit(int(k)), F.lit(v).cast(typ))])
-        return F.element_at(m, F.col("_pid"))
+        # an array indexed by partition: one access a row, however many partitions
+        values = ",".join(f"CAST({d.get(i, 0)!r} AS {typ})" for i in range(max(d, default=0) + 1))
+        return F.get(F.expr(f"array({values})"), F.col("_pid").cast("int"))
     out = local.withColumn("_off", lookup(off, "long")).withColumn("_soff", lookup(soff, "double"))
     out = out.withColumn("_gidx", F.col("_off") + F.col("_lidx"))
     if value_col is not None:
@@ -182,10 +182,9 @@ def dense_row_id(df: DataFrame, order_cols: list[str], name: str = "row_id") ->
 
 
 def content_key(cols: list, name: str = "sk") -> Column:
-    """Stable content key: first 15 hex digits of the MD5 of the columns."""
-    digest = F.md5(F.concat_ws("\u0001", *[F.coalesce(c(x).cast("string"), F.lit("\u0002"))
-                                           for x in cols]))
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long").alias(name)
+    """Stable content key: all 128 bits of the MD5 of the columns, in hex."""
+    return F.md5(F.concat_ws("\u0001", *[F.coalesce(c(x).cast("string"), F.lit("\u0002"))
+                                         for x in cols])).alias(name)
 
 
 def exact_median_by(df: DataFrame, keys, value: str, name: str = "median") -> DataFrame:
@@ -200,7 +199,8 @@ def exact_median_by(df: DataFrame, keys, value: str, name: str = "median") -> Da
     ks = [f"_k{i}" for i in range(len(keys))]
     base = df.select(*[c(k).alias(a) for k, a in zip(keys, ks)], c(value).cast("double").alias("_v")).where(
         F.col("_v").isNotNull())
-    g = global_order_index(base, ks + ["_v"])
+    # the last sort column differs in every row, so equal values split between partitions
+    g = global_order_index(base.withColumn("_u", F.monotonically_increasing_id()), ks + ["_v", "_u"])
     stats = g.groupBy(*ks).agg(F.min("_gidx").alias("_start"), F.count(F.lit(1)).alias("_n"))
     targets = stats.select(
         *ks, F.explode(F.array((F.col("_start") + F.floor((F.col("_n") - 1) / 2)).cast("long"),
@@ -218,13 +218,14 @@ def apply_corrections(src: DataFrame, corrections: DataFrame, key: str,
     """Left join on ``key``; every column the correction table shares
     with the source is replaced where the correction is non-null.
 
-    Corrections are made unique by key first (the lowest whole row wins), unknown
-    columns are ignored, and null keys never match.
+    Corrections are made unique by key first (in each column the lowest correction
+    that is not null), unknown columns are ignored, and null keys never match.
     """
     shared = [x for x in corrections.columns if x != key and x in src.columns]
     corr = corrections.select(c(key), *[c(x) for x in shared]).where(c(key).isNotNull())
-    corr = corr.groupBy(c(key)).agg(F.min(F.struct(*[c(x) for x in shared])).alias("_r")).select(
-        c(key), *[F.col("_r")[x].alias(f"{x}__corr") for x in shared])
+    if not shared:
+        return src
+    corr = corr.groupBy(c(key)).agg(*[F.min(c(x)).alias(f"{x}__corr") for x in shared])
     corr = bounded_broadcast(corr, broadcast_max_rows)
     joined = src.join(corr, on=key, how="left")
     return joined.select(*[

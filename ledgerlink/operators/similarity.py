@@ -2,13 +2,7 @@
 
 No form here materialises the query x catalogue pairs as rows.
 
-broadcast form   The catalogue matrix is broadcast once (only after its size is
-                 checked against ``max_broadcast_bytes``); every query partition
-                 streams Arrow batches through ``mapInPandas``, multiplies a
-                 batch by catalogue chunks with numpy and keeps a running top-N.
-                 Memory per task: batch x chunk scores + N per query.
-
-blocked form     For a catalogue too large to broadcast. Per group (optional
+blocked form     The default. Per group (optional
                  equality constraint), queries are hashed into ``bq`` blocks and
                  catalogue rows into ``bt`` blocks, with ``bq``/``bt`` derived
                  from the group's row counts so that a group holding a third of
@@ -16,8 +10,16 @@ blocked form     For a catalogue too large to broadcast. Per group (optional
                  query row is replicated to the ``bt`` catalogue blocks of its
                  group and each catalogue row to the ``bq`` query blocks; a
                  ``cogroup`` on (group, query block, catalogue block) computes a
-                 partial top-N per query, and a final per-query ``row_number``
-                 (with a partial ``WindowGroupLimit``) keeps the N best.
+                 partial top-N per query, and a final ``row_number`` per group
+                 and query (with a partial ``WindowGroupLimit``) keeps the N best.
+
+broadcast form   On request, for a small catalogue: its matrix is broadcast after
+                 its size is checked against ``max_broadcast_bytes``, and every
+                 query partition streams past it. Same rows as the blocked form.
+
+In a task, ``SLICE`` queries at a time meet ``CHUNK`` catalogue rows, so the
+working memory does not depend on the size of the blocks. A null group matches
+nothing. A query id that occurs in several groups gets its N best in each.
 
 Ranking: similarity rounded to 9 decimals, descending, then catalogue id
 ascending (the reference has no tie-break; Q6). Zero-norm vectors score 0.
@@ -37,6 +39,7 @@ from ledgerlink.functions.cols import c, round_half_away
 from ledgerlink.session import bounded_broadcast
 
 RANK_DECIMALS = 9
+SLICE, CHUNK = 512, 4096
 OUT_SCHEMA = "q_id long, rank long, t_id long, similarity double"
 # ids may be integers or text (natural keys); an empty slot sorts after any id
 _TEXT_SENTINEL = "\U0010ffff" * 4
@@ -56,14 +59,33 @@ def _stack(col: pd.Series, dim: int | None = None) -> np.ndarray:
     return np.vstack([np.asarray(v, dtype=np.float64) for v in col.to_numpy()])
 
 
-def _merge_topk(best_s, best_i, s, ids, k):
-    """Merge a (n x m) score block into the running (n x k) best lists.
+def _rank_key(s: np.ndarray) -> np.ndarray:
+    """Scores rounded half away from zero, as ``round_half_away`` does."""
+    scale = 10.0 ** RANK_DECIMALS
+    return np.sign(s) * np.floor(np.abs(s) * scale + 0.5) / scale
+
+
+def _k_best(s: np.ndarray, k: int) -> np.ndarray:
+    """Columns (n x k) of the k best of each row; of equal ones the first."""
+    m = s.shape[1]
+    if m <= k:
+        return np.broadcast_to(np.arange(m), s.shape)
+    key = _rank_key(s)
+    limit = np.partition(key, m - k, axis=1)[:, m - k, None]
+    above, equal = key > limit, key == limit
+    need = k - above.sum(axis=1, keepdims=True)
+    keep = above | (equal & (np.cumsum(equal, axis=1, dtype=np.int32) <= need))
+    return np.nonzero(keep)[1].reshape(len(s), k)
+
 
-    Order: rounded score desc, then id asc. ``best_s`` holds raw scores and
-    -inf for empty slots."""
-    all_s = np.concatenate([best_s, s], axis=1)
-    all_i = np.concatenate([best_i, np.broadcast_to(ids, s.shape)], axis=1)
-    key = np.round(all_s, RANK_DECIMALS)
+def _merge_topk(best_s, best_i, s, ids, k):
+    """Merge a (n x m) score block, ids ascending, into the running (n x k) best
+    lists. Order: rounded score desc, then id asc. ``best_s`` holds raw scores
+    and -inf for empty slots."""
+    cols = _k_best(s, k)
+    all_s = np.concatenate([best_s, np.take_along_axis(s, cols, axis=1)], axis=1)
+    all_i = np.concatenate([best_i, ids[cols]], axis=1)
+    key = _rank_key(all_s)
     # lexsort: last key is primary -> sort by (-key, id)
     order = np.lexsort((all_i, -key), axis=1)[:, :k]
     return np.take_along_axis(all_s, order, axis=1), np.take_along_axis(all_i, order, axis=1)
@@ -75,8 +97,17 @@ def _id_array(col: pd.Series) -> np.ndarray:
     return col.astype(object).to_numpy()
 
 
-def topk_block(q_ids, q_mat, q_grp, t_ids, t_mat, t_grp, k, exclude_self, chunk=8192):
-    """Top-k of every query row against a catalogue block (numpy)."""
+def topk_block(q_ids, q_mat, q_grp, t_ids, t_mat, t_grp, k, exclude_self, chunk=CHUNK):
+    """Top-k of every query row against a catalogue block (numpy), ``SLICE``
+    queries at a time."""
+    order = np.argsort(t_ids, kind="stable")
+    t_ids, t_mat, t_grp = t_ids[order], t_mat[order], t_grp[order] if t_grp is not None else None
+    parts = [_topk_slice(q_ids[a:a + SLICE], q_mat[a:a + SLICE], q_grp[a:a + SLICE] if q_grp is not None else None,
+                         t_ids, t_mat, t_grp, k, exclude_self, chunk) for a in range(0, max(1, len(q_ids)), SLICE)]
+    return np.concatenate([s for s, _ in parts]), np.concatenate([i for _, i in parts])
+
+
+def _topk_slice(q_ids, q_mat, q_grp, t_ids, t_mat, t_grp, k, exclude_self, chunk):
     n = len(q_ids)
     best_s = np.full((n, k), -np.inf)
     if t_ids.dtype == object:
@@ -120,7 +151,7 @@ def _out_schema(q_type: str, t_type: str) -> str:
 def _prep(df: DataFrame, id_col: str, vec_col: str, grp: str | None) -> DataFrame:
     cols = [c(id_col).cast(_id_type(df, id_col)).alias("_id"), V.as_double_vector(vec_col).alias("_v")]
     cols.append((c(grp).cast("string") if grp else F.lit("")).alias("_g"))
-    return df.select(*cols)
+    return df.select(*cols).where(F.col("_g").isNotNull())
 
 
 def vector_dim(df: DataFrame, vec_col: str) -> int:
@@ -129,6 +160,10 @@ def vector_dim(df: DataFrame, vec_col: str) -> int:
     return int(r["d"]) if r else 0
 
 
+BLOCK_BYTES = 64 * 1024 * 1024      # one block's matrix in a task
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
 def collect_catalogue(catalogue: DataFrame, t_id: str, t_vec: str, t_group: str | None,
                       max_bytes: int):
     """The catalogue as numpy arrays if its matrix fits ``max_bytes``, else None.
@@ -148,7 +183,9 @@ def topk_broadcast(queries: DataFrame, catalogue: DataFrame, k: int, q_id: str,
     ``collect_catalogue``)."""
     spark = queries.sparkSession
     if collected is None:
-        collected = collect_catalogue(catalogue, t_id, t_vec, t_group, 1 << 62)
+        collected = collect_catalogue(catalogue, t_id, t_vec, t_group, MAX_BROADCAST_BYTES)
+    if collected is None:
+        raise ValueError("catalogue exceeds the broadcast budget")
     t_ids, t_mat, t_grp_all = collected
     t_grp = t_grp_all if q_group else None
     bc = spark.sparkContext.broadcast((t_ids, t_mat, t_grp))
@@ -167,7 +204,6 @@ def topk_broadcast(queries: DataFrame, catalogue: DataFrame, k: int, q_id: str,
     return _prep(queries, q_id, q_vec, q_group).mapInPandas(run, schema)
 
 
-BLOCK_BYTES = 64 * 1024 * 1024      # one catalogue block's matrix in a task
 
 
 def topk_blocked(queries: DataFrame, catalogue: DataFrame, k: int, q_id: str, q_vec: str,
@@ -210,39 +246,38 @@ def topk_blocked(queries: DataFrame, catalogue: DataFrame, k: int, q_id: str, q_
         qi = _id_array(qp["_id"])
         ti = _id_array(tp["_id"])
         if len(qi) == 0 or len(ti) == 0:
-            return pd.DataFrame({"q_id": qi[:0], "rank": np.zeros(0, np.int64), "t_id": ti[:0],
-                                 "similarity": np.zeros(0)})
-        bs, bi = topk_block(qi, _stack(qp["_v"]), None, ti, _stack(tp["_v"]), None, k, exclude_self)
-        return _emit(qi, bs, bi)
+            out = pd.DataFrame({"q_id": qi[:0], "rank": np.zeros(0, np.int64), "t_id": ti[:0],
+                                "similarity": np.zeros(0)})
+        else:
+            bs, bi = topk_block(qi, _stack(qp["_v"]), None, ti, _stack(tp["_v"]), None, k, exclude_self)
+            out = _emit(qi, bs, bi)
+        return out.assign(_g=_key[0])
 
     partial = (qb.groupBy("_g", "_qb", "_tb")
                .cogroup(tb.groupBy("_g", "_qb", "_tb"))
-               .applyInPandas(run, schema))
-    w = Window.partitionBy("q_id").orderBy(
+               .applyInPandas(run, schema + ", _g string"))
+    w = Window.partitionBy("_g", "q_id").orderBy(
         F.desc(round_half_away(F.col("similarity"), RANK_DECIMALS)), F.asc("t_id"))
     return (partial.withColumn("rank", F.row_number().over(w).cast("long"))
-            .where(F.col("rank") <= k))
+            .where(F.col("rank") <= k).drop("_g"))
 
 
 def topk_cosine(queries: DataFrame, catalogue: DataFrame, k: int, q_id: str, q_vec: str,
                 t_id: str, t_vec: str, q_group: str | None = None, t_group: str | None = None,
-                exclude_self: bool = False, mode: str = "auto",
-                max_broadcast_bytes: int = 512 * 1024 * 1024, block_rows: int | None = None) -> DataFrame:
+                exclude_self: bool = False, mode: str = "blocked",
+                max_broadcast_bytes: int = MAX_BROADCAST_BYTES, block_rows: int | None = None) -> DataFrame:
     """The ``k`` most similar catalogue rows of every query row.
 
-    Returns ``(q_id, rank, t_id, similarity)``; ``mode`` is ``auto`` (broadcast
-    when the catalogue matrix fits ``max_broadcast_bytes``, blocked otherwise),
-    ``broadcast`` or ``blocked``.
+    Returns ``(q_id, rank, t_id, similarity)``. ``mode`` is ``blocked`` (also
+    under its old name ``auto``) or, on request, ``broadcast``, which raises for a
+    catalogue matrix above ``max_broadcast_bytes``. Both give the same rows.
     """
     args = (queries, catalogue, k, q_id, q_vec, t_id, t_vec, q_group, t_group, exclude_self)
-    if mode == "blocked":
-        return topk_blocked(*args, block_rows=block_rows)
-    if mode in ("auto", "broadcast"):
+    if mode == "broadcast":
         collected = collect_catalogue(catalogue, t_id, t_vec, t_group, max_broadcast_bytes)
-        if collected is not None:
-            return topk_broadcast(*args, collected=collected)
-        if mode == "broadcast":
+        if collected is None:
             raise ValueError("catalogue exceeds the broadcast budget")
+        return topk_broadcast(*args, collected=collected)
     return topk_blocked(*args, block_rows=block_rows)
 
 

@@ -51,16 +51,19 @@ def translate_columns(df: DataFrame, cols: list[str], glossary: DataFrame,
                       max_map_entries: int = MAP_LOOKUP_MAX_ENTRIES) -> DataFrame:
     """Translate ``cols`` token by token; the source text moves to
     ``"<col> original"``."""
+    # one translation per source (the lowest target), so that both forms give the same text
+    glossary = glossary.where(F.col("source").isNotNull()).groupBy("source").agg(F.min("target").alias("target"))
     small = glossary.limit(max_map_entries + 1).collect() if max_map_entries else []
     use_map = 0 < len(small) <= max_map_entries
     gmap = {r["source"]: r["target"] for r in sorted(small, key=lambda r: r["source"])} if use_map else None
     out = df
+    if use_map:                                  # a row expression: nothing to join back
+        for col in cols:
+            out = out.withColumnRenamed(col, f"{col} original").withColumn(col, _translate_with_map(c(f"{col} original"), gmap))
+        return out
     for col in cols:
         uniq = df.select(c(col).alias("_text")).where(F.col("_text").isNotNull()).distinct()
-        if use_map:
-            tr = uniq.select("_text", _translate_with_map(F.col("_text"), gmap).alias("_translated"))
-        else:
-            tr = _translate_with_join(uniq, glossary)
+        tr = _translate_with_join(uniq, glossary)
         out = (out.withColumnRenamed(col, f"{col} original")
                .join(tr.withColumnRenamed("_text", f"{col} original"), f"{col} original", "left")
                .withColumnRenamed("_translated", col))

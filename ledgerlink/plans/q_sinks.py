@@ -60,22 +60,22 @@ def typed_export(spark, sf):
     x = p.select("l_orderkey", "l_linenumber", "ship_date",
                  F.when(F.col("l_linenumber") == 3, F.lit(float("nan"))).otherwise(F.col("quantity")).alias("quantity"),
                  (F.col("currency") == "EUR").alias("in_target_currency"), "article")
-    FS.export_typed(x, path)
+    FS.export_typed(x.limit(1), path)
     FS.export_typed(x, path)          # create-or-replace: a second export overwrites
     return spark.read.parquet(path)
 
 
-BATCH_ROWS = 64
+BATCH_ROWS = B.SPEC.batch_rows
 
 
 @register("batch_partitioned_sink", f"""
 SELECT doc_id, CAST(floor((row_number() OVER (ORDER BY doc_id) - 1) / {BATCH_ROWS}) AS BIGINT) AS batch_id
 FROM documents""")
 def batch_partitioned_sink(spark, sf):
-    """One folder per batch number (batches of 64 documents), read back."""
+    """One folder per batch number (``spec.batch_rows`` documents each), read back."""
     path = scratch_path(spark, "batches")
     b = RL.fixed_batches(B.table(spark, sf, "documents").select("doc_id"), ["doc_id"], BATCH_ROWS)
-    FS.write_table(b.select("doc_id", "batch_id"), path, partition_by=["batch_id"])
+    FS.write_table(b.select("doc_id", "batch_id").repartition("batch_id"), path, partition_by=["batch_id"])
     back = spark.read.parquet(path)
     return back.select("doc_id", F.col("batch_id").cast("long").alias("batch_id"))
 

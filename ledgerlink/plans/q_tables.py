@@ -105,8 +105,7 @@ def head_n(spark, sf):
 
 @register("surrogate_key", """
 SELECT p_partkey, p_name,
-       ('0x' || substr(md5(concat_ws(chr(1), coalesce(p_name, chr(2)), coalesce(p_type, chr(2)),
-                                     coalesce(p_brand, chr(2)))), 1, 15))::BIGINT AS sk,
+       md5(concat_ws(chr(1), coalesce(p_name, chr(2)), coalesce(p_type, chr(2)), coalesce(p_brand, chr(2)))) AS sk,
        row_number() OVER (ORDER BY p_name, p_partkey) - 1 AS row_id FROM part""")
 def surrogate_key(spark, sf):
     p = _part(spark, sf).select("p_partkey", "p_name", "p_type", "p_brand")
@@ -152,13 +151,15 @@ def fixed_batches(spark, sf):
     return RL.fixed_batches(d, ["doc_id"], FIXED_BATCH)
 
 
-# corrections keyed by the article text; one unknown column is ignored (Q9)
+# corrections keyed by the article text; one unknown column is ignored (Q9), and
+# every key is repeated with a row that corrects only the type
 def corrections(spark, sf):
     p = _part(spark, sf)
-    return p.groupBy("p_name").agg(
+    once = p.groupBy("p_name").agg(
         F.max("p_type").alias("p_type"),
         F.when(F.col("p_name").contains("ring"), F.lit(None)).otherwise(F.min("p_brand")).alias("p_brand"),
         F.lit("x").alias("not_in_source"))
+    return once.unionByName(once.withColumn("p_type", F.concat("p_type", F.lit(" (2)"))).withColumn("p_brand", F.lit(None).cast("string")))
 
 
 @register("apply_corrections", """

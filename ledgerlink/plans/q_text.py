@@ -209,16 +209,16 @@ SQL_GLOSSARY = "gl(source, target) AS (VALUES " + ", ".join(
     f"('{k}', '{v}')" for k, v in sorted(GLOSSARY.items())) + ")"
 
 
-@register("translate_glossary", B.with_sql(SQL_GLOSSARY, """u AS (SELECT DISTINCT text FROM documents WHERE lang = 'fr'),
+@register("translate_glossary", B.with_sql(SQL_GLOSSARY, """u AS (SELECT DISTINCT text FROM documents),
 tok AS (SELECT text, unnest(string_split(text, ' ')) AS w, unnest(generate_series(1, len(string_split(text, ' ')))) AS pos FROM u),
 tr AS (SELECT text, string_agg(coalesce(g.target, w), ' ' ORDER BY pos) AS translated
        FROM tok LEFT JOIN gl g ON g.source = lower(w) GROUP BY text)""", """
 SELECT d.doc_id, tr.translated AS text, d.text AS "text original"
-FROM documents d JOIN tr ON tr.text = d.text WHERE d.lang = 'fr'"""))
+FROM documents d LEFT JOIN tr ON tr.text = d.text"""))
 def translate_glossary(spark, sf):
-    """M8: French documents translated word by word, once per distinct text,
-    joined back; the source text is kept as ``text original``."""
-    d = _docs(spark, sf).where(F.col("lang") == "fr").select("doc_id", "text")
+    """M8: all documents translated word by word; the source text is kept as
+    ``text original``."""
+    d = _docs(spark, sf).select("doc_id", "text")
     out = TR.translate_columns(d, ["text"], glossary_table(spark))
     return out.select("doc_id", "text", "text original")
 

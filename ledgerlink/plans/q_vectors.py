@@ -80,16 +80,17 @@ def cosine_pairs(spark, sf):
 
 
 @register("group_centroids", """
-SELECT label, round(avg(embedding[1]), 9) AS cx, round(avg(embedding[2]), 9) AS cy,
-       CAST(count(*) AS BIGINT) AS size, CAST(2 * count(*) AS BIGINT) AS label_size
-FROM embeddings GROUP BY label""")
+WITH x AS (SELECT label, vec_id, unnest(embedding) AS v, unnest(range(1, len(embedding) + 1)) AS d FROM embeddings),
+m AS (SELECT label, d, round(avg(CAST(v AS DOUBLE)), 6) AS a FROM x GROUP BY label, d),
+n AS (SELECT label, CAST(count(*) AS BIGINT) AS size FROM embeddings GROUP BY label)
+SELECT n.label, CAST(d AS INTEGER) AS dim, a AS mean, size, 2 * size AS label_size FROM m JOIN n USING (label)""")
 def group_centroids(spark, sf):
-    """One aggregation (no join of two aggregates)."""
-    e = _emb(spark, sf)
-    return e.groupBy("label").agg(
-        R(F.avg(F.element_at("embedding", 1).cast("double")), 9).alias("cx"),
-        R(F.avg(F.element_at("embedding", 2).cast("double")), 9).alias("cy"),
-        F.count(F.lit(1)).alias("size"), (F.count(F.lit(1)) * 2).alias("label_size"))
+    """The mean of every dimension and the size of each group, from one
+    aggregation over whole vectors (no join of two aggregates)."""
+    m = V.mean_vectors(_emb(spark, sf), "embedding", ["label"])
+    return m.select("label", "n", F.posexplode("embedding").alias("_d", "_m")).select(
+        "label", (F.col("_d") + 1).alias("dim"), R("_m", 6).alias("mean"),
+        F.col("n").cast("long").alias("size"), (F.col("n") * 2).cast("long").alias("label_size"))
 
 
 @register("knn_search", B.with_sql(SQL_E, """
@@ -115,7 +116,7 @@ def knn_search(spark, sf):
 def _requests(e):
     return e.select(F.col("vec_id").alias("request_id"), "embedding",
                     F.concat(F.lit("cat_"), F.col("label").cast("string")).alias("database_name"),
-                    (F.lit(1) + F.col("label") % 3).cast("long").alias("top_n"),
+                    (F.lit(1) + F.col("label")).cast("long").alias("top_n"),
                     F.when(F.col("label") == 9, F.lit(None)).otherwise(F.col("label") * 2.5).alias("amount"))
 
 
@@ -127,12 +128,9 @@ def _search_catalogue(e):
                     F.lit("unit").alias("functional_unit"))
 
 
-SEARCH_MAX_N = 3
-
-
 @register("search_requests", B.with_sql(SQL_E, f"""
 req AS (SELECT vec_id AS request_id, v, 'cat_' || CAST(label AS VARCHAR) AS database_name,
-               CAST(1 + label % 3 AS BIGINT) AS top_n,
+               CAST(1 + label AS BIGINT) AS top_n,
                CASE WHEN label = 9 THEN NULL ELSE label * 2.5 END AS amount FROM e),
 cat AS (SELECT vec_id AS code, v, 'cat_' || CAST(label AS VARCHAR) AS category,
                v[1] * v[1] AS factor FROM e),
@@ -155,7 +153,9 @@ def search_requests(spark, sf):
     req, cat = _requests(e), _search_catalogue(e)
     # requests naming an unknown catalogue come back as error rows (S3)
     req, rejected = split_requests(req, "database_name", cat, "category")
-    top = SIM.topk_cosine(req, cat, SEARCH_MAX_N, "request_id", "embedding", "code", "embedding",
+    # the kernel's k is the largest number of answers that any request asks for
+    most = req.agg(F.max("top_n")).first()[0] or 0
+    top = SIM.topk_cosine(req, cat, int(most), "request_id", "embedding", "code", "embedding",
                           q_group="database_name", t_group="category", exclude_self=True)
     x = (top.join(req.select(F.col("request_id").alias("q_id"), "top_n", "amount"), "q_id")
          .where(F.col("rank") <= F.col("top_n"))
@@ -211,9 +211,9 @@ def choose_match(spark, sf):
 
 @register("flag_mismatches", B.with_sql(SQL_E, SQL_TOPK, SQL_CHOICE, """
 SELECT e.vec_id, b.t_id AS chosen_id,
-       CAST(CASE WHEN b.sim IS NULL THEN NULL WHEN b.sim < 0 THEN 0
+       CAST(CASE WHEN b.sim IS NULL THEN NULL WHEN b.sim < 0 THEN 1
                  ELSE least(floor(b.sim * 5) + 1, 5) END AS BIGINT) AS Rating,
-       coalesce(CASE WHEN b.sim IS NULL THEN NULL WHEN b.sim < 0 THEN 0
+       coalesce(CASE WHEN b.sim IS NULL THEN NULL WHEN b.sim < 0 THEN 1
                      ELSE least(floor(b.sim * 5) + 1, 5) END = 1, false) AS Flag
 FROM e LEFT JOIN best b ON b.q_id = e.vec_id"""))
 def flag_mismatches(spark, sf):

@@ -28,4 +28,4 @@ def register(key: str, sql: str | None = None):
 def load_all() -> None:
     """Import every module that registers queries."""
     from ledgerlink.plans import (q_money, q_tables, q_text, q_vectors,  # noqa: F401
-                                  q_catalogue, q_clusters, q_sinks)
+                                  q_catalogue, q_clusters, q_sinks, q_job)

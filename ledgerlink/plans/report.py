@@ -17,13 +17,16 @@ currencies rows whatever the number of lines.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlink.functions import text as TX
 from ledgerlink.functions.cols import c, round_half_away
 from ledgerlink.functions.dates import month_start
-from ledgerlink.operators import money
-from ledgerlink.session import bounded_broadcast
+from ledgerlink.operators import matching, money, relational
+from ledgerlink.session import bounded_broadcast, materialize
 from ledgerlink.spec import JobSpec
 
 CATALOGUE_BROADCAST_MAX_ROWS = 2_000_000
@@ -33,13 +36,13 @@ def attach_factors(lines: DataFrame, catalogue: DataFrame, key: str, cat_key: st
                    max_rows: int = CATALOGUE_BROADCAST_MAX_ROWS, check_size: bool = True) -> DataFrame:
     """Left join lines to the catalogue on its id.
 
-    The catalogue is made unique by id first (lowest row wins), so a repeated
-    catalogue row can never fan out the purchase lines (Q7). ``check_size=False``
+    The catalogue is made unique by id first (lowest row wins, nulls last), so a
+    repeated catalogue row can never fan out the purchase lines (Q7). ``check_size=False``
     leaves the strategy to the planner/AQE (for joins whose other side is
     already small, e.g. after pre-aggregation)."""
     cat_key = cat_key or key
     others = [x for x in catalogue.columns if x != cat_key]
-    uniq = (catalogue.groupBy(c(cat_key)).agg(F.min(F.struct(*[c(o) for o in others])).alias("_r"))
+    uniq = (catalogue.groupBy(c(cat_key)).agg(F.min(F.struct(*[x for o in others for x in (c(o).isNull().alias(f"_null_{o}"), c(o))])).alias("_r"))
             .select(c(cat_key).alias(key), *[F.col("_r")[o].alias(o) for o in others]))
     return lines.join(bounded_broadcast(uniq, max_rows) if check_size else uniq, key, "left")
 
@@ -49,16 +52,25 @@ def emissions_summary(lines: DataFrame, rates: DataFrame, index: DataFrame, cata
                       dims: list[str], rates_rows: int | None = None) -> DataFrame:
     """Amounts converted, deflated, multiplied by factors, summed by ``dims``.
 
-    ``dims`` may name line columns and ``year`` (of the line's month).
+    ``dims`` may name line columns and ``year`` (of the line's month). Without
+    rates (Q12) amounts count as converted, without an index as deflated, and on
+    the physical basis (Q20) the amount is a quantity: neither applies.
     """
+    physical = spec.basis == "physical"
     line_dims = [d for d in dims if d != "year"]
     pre = (lines.withColumn("_month", month_start(date_col))
            .groupBy(c(code_col), "_month", c(cur_col), *[c(d) for d in line_dims if d not in (code_col, cur_col)])
            .agg(F.sum(c(amount_col)).alias("_amount"), F.count(F.lit(1)).alias("_n")))
-    conv = money.fx_convert(pre, rates, "_month", cur_col, "_amount", spec.target_currency,
-                            out_col="_amount_eur", rate_col="_rate", known_max_rows=rates_rows)
-    defl = money.deflate(conv, index, "_month", "_amount_eur", spec.base_year,
-                         out_col="_amount_defl", known_max_rows=rates_rows)
+    if physical or rates is None:
+        conv = pre.withColumn("_amount_eur", F.col("_amount")).withColumn("fx_quarantined", F.lit(False))
+    else:
+        conv = money.fx_convert(pre, rates, "_month", cur_col, "_amount", spec.target_currency,
+                                out_col="_amount_eur", rate_col="_rate", known_max_rows=rates_rows)
+    if physical or index is None:
+        defl = conv.withColumn("_amount_defl", F.col("_amount_eur"))
+    else:
+        defl = money.deflate(conv, index, "_month", "_amount_eur", spec.base_year,
+                             out_col="_amount_defl", known_max_rows=rates_rows)
     # both sides are small here (codes x months x currencies vs the catalogue)
     fac = attach_factors(defl, catalogue, code_col, check_size=False)
     emis = money.co2e(F.col("_amount_defl"), F.col("ef"))
@@ -112,3 +124,28 @@ def emissions_lines(lines: DataFrame, rates: DataFrame, index: DataFrame, catalo
     x = x.withColumn("total_uncertainty_factor",
                      money.total_uncertainty(F.col("unc_attr"), F.col("unc_80"), spec.pct80_weight))
     return x.withColumn("uncertainty_carbon_emissions", F.col("co2e") * F.col("total_uncertainty_factor"))
+
+
+def full_job(lines: DataFrame, catalogue: DataFrame, corrections: DataFrame | None, rates: DataFrame | None, index: DataFrame | None,
+             spec: JobSpec, article: str, category: str, code: str, description: str, date_col: str, cur_col: str, amount_col: str,
+             embed: Callable[[Column], Column], rates_rows: int | None = None) -> DataFrame:
+    """M14 from raw lines: distinct rows (A1), no empty ones (P6), corrections (J1),
+    digits off the article (F4), most specific level and category as text (P9),
+    match against the prepared catalogue (M13), amounts and emissions (D1-D7),
+    rating and flag of the match (M7).
+
+    The cleaned lines and the catalogue are stored once: the match reads both
+    several times. Without a price index or rates, and on the physical basis, the
+    amounts follow ``emissions_lines``.
+    """
+    x = relational.dropna_all(relational.distinct_rows(lines), [article, category])
+    if corrections is not None:
+        x = relational.apply_corrections(x, corrections, article)
+    level = TX.hierarchical_select([c(category), TX.strip_digits(c(article))])
+    x = materialize(x.withColumn("match_text", TX.combine_columns([level, F.lower(c(category))])), "job-lines")
+    cat = catalogue.withColumn(description, TX.rstrip_unicode(c(description)))
+    cat = materialize(relational.distinct_keep_first(cat, [description], code), "job-catalogue")
+    m = matching.match_pipeline(x, "match_text", cat, code, description, embed, spec.top_n, spec.w_cosine, spec.w_overlap,
+                                spec.w_breadth, min_score=spec.min_score)
+    m = emissions_lines(m.withColumnRenamed("match_id", code), rates, index, cat, spec, code, date_col, cur_col, amount_col, rates_rows)
+    return matching.flag_mismatches(m, "match_similarity")

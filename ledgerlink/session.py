@@ -5,8 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Defaults tuned for correctness parity with the DuckDB oracle (UTC, ANSI)
 # and for runtime re-planning (AQE) on a real cluster.
@@ -84,31 +85,59 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-_BOUND_CHECKS: dict[tuple, int] = {}
-
-
 def session_key(spark: SparkSession) -> tuple:
     """Identity of a live session (application id + JVM session object)."""
     return (spark.sparkContext.applicationId, id(spark._jsparkSession))
 
 
+MAX_BROADCAST_BYTES = 256 << 20
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Measured size of a row: text and binary by their bytes, arrays and maps by
+    8 bytes an entry (text entries by their bytes), other columns 8 bytes."""
+    out = F.lit(16).cast("long")
+    for f in df.schema.fields:
+        x = F.col("`" + f.name.replace("`", "``") + "`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = F.octet_length(x)
+        elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, (T.StringType, T.BinaryType)):
+            size = F.aggregate(x, F.lit(0), lambda s, y: s + F.coalesce(F.octet_length(y), F.lit(0)) + 8)
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType)):
+            size = F.size(x) * 8
+        else:
+            size = F.lit(8)
+        out = out + F.greatest(F.coalesce(size, F.lit(0)), F.lit(0))
+    return out
+
+
+def bounded_size(df: DataFrame, max_rows: int) -> tuple[int, int]:
+    """(rows, bytes) of at most ``max_rows + 1`` rows: a bounded action, taken
+    anew each time, since a table may have grown since the last look."""
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(row_bytes(df))).first()
+    return r[0], r[1] or 0
+
+
 def bounded_rows(df: DataFrame, max_rows: int) -> int:
-    """min(row count, max_rows + 1), by a bounded action that never counts past
-    the bound; memoised per session by the plan's semantic hash, so the same
-    small table is measured once per job, not once per use."""
-    key = (session_key(df.sparkSession), df.semanticHash(), max_rows)
-    if key not in _BOUND_CHECKS:
-        _BOUND_CHECKS[key] = df.limit(max_rows + 1).count()
-    return _BOUND_CHECKS[key]
+    """min(row count, max_rows + 1)."""
+    return df.limit(max_rows + 1).count()
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows.
+def bounded_broadcast(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only if it measurably holds at most ``max_rows`` rows and
+    ``max_bytes`` bytes.
 
-    Beyond the bound the plain DataFrame is returned and Spark plans a shuffle
+    Beyond the bounds the plain DataFrame is returned and Spark plans a shuffle
     join (AQE may still convert it at runtime from measured sizes).
     """
-    return F.broadcast(df) if bounded_rows(df, max_rows) <= max_rows else df
+    rows, size = bounded_size(df, max_rows)
+    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, through Hadoop's file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

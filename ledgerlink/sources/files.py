@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlink.functions.cols import c, nan_to_null
+from ledgerlink.session import bounded_broadcast
 
 
 def scan(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
@@ -40,7 +41,7 @@ def read_csv_skip_preamble(spark: SparkSession, path: str, skip: int, sep: str =
                    F.col("_metadata.file_block_start").alias("_b"),
                    F.monotonically_increasing_id().alias("_i")))
     first = raw.where(F.col("_b") == 0).groupBy("_f").agg(F.min("_i").alias("_i0"))
-    lined = raw.join(F.broadcast(first), "_f", "left").withColumn(
+    lined = raw.join(bounded_broadcast(first, 1_000_000), "_f", "left").withColumn(
         "_line", F.when(F.col("_b") == 0, F.col("_i") - F.col("_i0")))
     header = lined.where(F.col("_line") == skip).select("value").first()
     if header is None:
@@ -48,7 +49,7 @@ def read_csv_skip_preamble(spark: SparkSession, path: str, skip: int, sep: str =
     names = [h.strip() for h in header["value"].split(sep)]
     schema = ", ".join(f"`{n}` string" for n in names)
     body = lined.where(F.col("_line").isNull() | (F.col("_line") > skip))
-    parsed = body.select(F.from_csv("value", schema, {"sep": sep}).alias("_r"))
+    parsed = body.select(F.from_csv("value", schema, {"sep": sep, "escape": '"'}).alias("_r"))
     return parsed.select(*[F.col("_r")[n].alias(n) for n in names])
 
 
@@ -57,7 +58,9 @@ def write_csv_with_preamble(df: DataFrame, path: str, preamble: list[str], sep:
     a header (the layout of exported spreadsheets)."""
     cols = df.columns
     header = sep.join(cols)
-    lines = df.select(F.concat_ws(sep, *[F.coalesce(c(x).cast("string"), F.lit("")) for x in cols]).alias("value"))
+    # quoted where a value holds the separator or a quote
+    row = F.struct(*[c(x).cast("string").alias(x) for x in cols])
+    lines = df.select(F.to_csv(row, {"sep": sep, "nullValue": "", "emptyValue": "", "escape": '"'}).alias("value"))
 
     def with_preamble(batches):
         first = True
