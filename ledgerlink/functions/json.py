@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 # Shape of a chooser answer: {"<row>": {"ID": <long>, "Chosen option": <text>}}
 CHOICE_SCHEMA = "map<string, struct<ID: bigint, `Chosen option`: string>>"
 # Shape of a rating answer: {"<row>": {"Semantic match": <int>}}
-RATING_SCHEMA = "map<string, struct<`Semantic match`: int>>"
 # Shape of cluster titles: [{"id": int, "title": text, "description": text}]
 TITLES_SCHEMA = "array<struct<id: int, title: string, description: string>>"
 

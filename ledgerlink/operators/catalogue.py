@@ -147,7 +147,7 @@ def catalogue_registry(catalogues: dict[str, tuple[DataFrame, CatalogueRoles]])
 def select_catalogue(registry: DataFrame, name: str, valid: list[str]) -> DataFrame:
     """Rows of one catalogue; an unknown name is an error listing valid ones."""
     if name not in valid:
-        raise ValueError(f"Invalid database name: {name}. Valid database names are: {', '.join(valid)}")
+        raise ValueError(f"no catalogue is called {name!r}; known ones: {', '.join(valid)}")
     return registry.where(F.col("catalogue") == name)
 
 
@@ -161,6 +161,5 @@ def split_requests(requests: DataFrame, name_col: str, registry: DataFrame,
     valid = requests.join(names, requests[name_col] == names["_n"], "left_semi")
     invalid = requests.join(names, requests[name_col] == names["_n"], "left_anti")
     listing = names.select(F.array_join(F.sort_array(F.collect_list("_n")), ", ")).scalar()
-    err = F.concat(F.lit("Invalid database name: "), c(name_col),
-                   F.lit(". Valid database names are: "), listing)
+    err = F.concat(F.lit("no catalogue is called '"), c(name_col), F.lit("'; known ones: "), listing)
     return valid, invalid.withColumn("error", err)

@@ -93,12 +93,11 @@ def write_cache(new: DataFrame, cache_path: str, model: str) -> None:
 def embed_distinct(df: DataFrame, text_col: str, embed: Callable[[DataFrame], DataFrame],
                    normalise: bool = True) -> DataFrame:
     """M1: embed each distinct (normalised) text once, join the vectors back to
-    every row (left join: rows with a null text keep a null vector)."""
-    key = "_norm_text"
-    rows = df.withColumn(key, TX.normalize_text(c(text_col)) if normalise else c(text_col))
-    # one normalising pass, written as a stage: the distinct texts, the model
-    # fit and the join-back all read it
-    rows = materialize(rows, "normalised-rows")
-    uniq = rows.select(F.col(key).alias("text")).where(F.col("text").isNotNull()).distinct()
-    vecs = embed(uniq).withColumnRenamed("text", key)
-    return rows.join(vecs, key, "left")
+    every row (left join: rows with a null text keep a null vector). Rows and
+    vectors meet on the 128-bit hash of the text, so that no text is a join key
+    and none is written again."""
+    text = TX.normalize_text(c(text_col)) if normalise else c(text_col)
+    uniq = (df.select(text.alias("text")).where(F.col("text").isNotNull())
+            .groupBy(F.md5("text").alias("_h")).agg(F.min("text").alias("text")).select("text"))
+    vecs = materialize(embed(uniq).select(F.md5("text").alias("_h"), "embedding"), "vectors")
+    return df.withColumn("_h", F.md5(text)).join(vecs, "_h", "left").drop("_h")

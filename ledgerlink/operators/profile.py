@@ -25,12 +25,9 @@ NUMBER_SHAPE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 ROLES = ["date_column", "amount_column", "unit_column", "description_column", "contextual_column"]
 
 
-def profile_columns(df: DataFrame, cols: list[str] | None = None, approx_distinct: bool = False) -> DataFrame:
+def profile_columns(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Per column: non-null and distinct counts, share of values castable to a
-    date and to a number, mean length and mean word count of the text form.
-
-    ``approx_distinct`` is accepted for API stability; the distinct (column,
-    value) pairs are aggregated anyway, so the exact count costs nothing extra."""
+    date and to a number, mean length and mean word count of the text form."""
     cols = cols or df.columns
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(n).alias("column"), c(n).cast("string").alias("value")) for n in cols])).alias("kv")
@@ -50,7 +47,7 @@ def profile_columns(df: DataFrame, cols: list[str] | None = None, approx_distinc
     weighted = lambda cond: F.sum(F.when(nn & cond, w).otherwise(0))
     g = pv.groupBy("column").agg(
         F.sum(F.when(nn, w).otherwise(0)).alias("n_nonnull"),
-        (F.approx_count_distinct("value") if approx_distinct else F.count("value")).alias("n_distinct"),
+        F.count("value").alias("n_distinct"),
         weighted(is_date).alias("_nd"),
         weighted(is_number).alias("_nx"),
         (F.sum(F.when(nn, w * F.length(v))) / F.sum(F.when(nn, w))).alias("avg_len"),
@@ -72,25 +69,20 @@ def infer_roles(profile: DataFrame, exclude: list[str] | None = None) -> DataFra
     contextual   the next text column by distinct values, other than the above
     """
     p = profile.where(~F.col("column").isin(*(exclude or [])))
-
-    def best(cond, *order):
-        w = Window.orderBy(*order, F.asc("column"))
-        return (p.where(cond).withColumn("_r", F.row_number().over(w)).where("_r = 1").select("column"))
-
-    date = best(F.col("date_share") >= 0.9, F.desc("date_share"))
-    amount = best((F.col("number_share") >= 0.9) & (F.col("date_share") < 0.9), F.desc("n_distinct"))
     text = (F.col("number_share") < 0.5) & (F.col("date_share") < 0.5)
-    unit = best(text & (F.col("avg_len") <= 4), F.asc("n_distinct"))
-    desc = best(text & (F.col("avg_words") >= 1.5), F.desc("avg_words"))
-    spark = profile.sparkSession
-    picked = (date.select(F.lit("date_column").alias("role"), "column")
-              .unionByName(amount.select(F.lit("amount_column").alias("role"), "column"))
-              .unionByName(unit.select(F.lit("unit_column").alias("role"), "column"))
-              .unionByName(desc.select(F.lit("description_column").alias("role"), "column")))
-    ctx = best(text & (F.col("avg_len") > 4) & (F.col("avg_words") < 1.5), F.desc("n_distinct"))
-    picked = picked.unionByName(ctx.select(F.lit("contextual_column").alias("role"), "column"))
-    roles = spark.createDataFrame([(r,) for r in ROLES], "role string")
-    return roles.join(picked, "role", "left")
+
+    def best(cond, order):
+        # the smallest (order, name) of the columns that qualify
+        return F.min(F.when(cond, F.struct(order.alias("o"), F.col("column").alias("column"))))["column"]
+
+    # one pass over the profile, one row
+    picked = p.agg(
+        best(F.col("date_share") >= 0.9, -F.col("date_share")).alias("date_column"),
+        best((F.col("number_share") >= 0.9) & (F.col("date_share") < 0.9), -F.col("n_distinct")).alias("amount_column"),
+        best(text & (F.col("avg_len") <= 4), F.col("n_distinct")).alias("unit_column"),
+        best(text & (F.col("avg_words") >= 1.5), -F.col("avg_words")).alias("description_column"),
+        best(text & (F.col("avg_len") > 4) & (F.col("avg_words") < 1.5), -F.col("n_distinct")).alias("contextual_column"))
+    return picked.select(F.explode(F.array(*[F.struct(F.lit(r).alias("role"), F.col(r).alias("column")) for r in ROLES])).alias("r")).select("r.*")
 
 
 def roles_complete(roles: DataFrame) -> DataFrame:

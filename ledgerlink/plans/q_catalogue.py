@@ -98,9 +98,6 @@ def standardize_units(spark, sf):
     return out.withColumn("value", R("value", 9))
 
 
-SEARCH_CATALOGUES = ["labo1point5", "agribalyse", "mobitool", "unspsc"]
-
-
 def registry(spark, sf):
     money = B.money_catalogue(spark, sf).withColumn("fu", F.lit("EUR"))
     agri = (B.table(spark, sf, "part").groupBy("p_name")

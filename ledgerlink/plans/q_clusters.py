@@ -102,8 +102,8 @@ def attach_clusters(spark, sf):
     one cluster per distinct normal form, then titles joined by cluster id."""
     d = B.table(spark, sf, "documents")
     titles = CL.cluster_titles(d, "source", "text").select(F.col("source").alias("cluster"), "cluster_title")
-    # one normalising pass over the documents, written as a stage
-    nt = materialize(d.select("doc_id", "source", TX.normalize_text("text").alias("norm")), "normalised-docs")
+    # one normalising pass over the documents; keys and hashes only are written
+    nt = materialize(d.select("doc_id", "source", F.md5(TX.normalize_text("text")).alias("norm")), "normalised-docs")
     per_text = nt.groupBy("norm").agg(F.min("source").alias("cluster"))
     x = join_back(nt.select("doc_id", "norm"), per_text, "norm", "left", stage="clusters-per-text")
     return join_back(x, titles, "cluster", "left", stage="cluster-titles").select(

@@ -98,7 +98,9 @@ def price_index_range(spark, sf):
 @register("fx_convert", _with("""
 SELECT l_orderkey, l_linenumber, round(amount_eur, 6) AS amount_eur FROM lines2"""))
 def fx_convert(spark, sf):
-    return _lines(spark, sf).select("l_orderkey", "l_linenumber", R("amount_eur", 6).alias("amount_eur"))
+    x = money.fx_convert(B.purchases(spark, sf), B.rates(spark), "ship_date", "currency", "amount", "EUR",
+                         out_col="amount_eur", rate_col="rate_eur", known_max_rows=B.rates_max_rows())
+    return x.select("l_orderkey", "l_linenumber", R("amount_eur", 6).alias("amount_eur"))
 
 
 @register("deflate", _with("""
@@ -117,8 +119,9 @@ def co2e_money(spark, sf):
 @register("fx_second_currency", _with("""
 SELECT l_orderkey, l_linenumber, currency, round(amount_usd, 6) AS amount_usd FROM lines2"""))
 def fx_second_currency(spark, sf):
-    return _lines(spark, sf).select("l_orderkey", "l_linenumber", "currency",
-                                    R("amount_usd", 6).alias("amount_usd"))
+    x = money.fx_convert(B.purchases(spark, sf), B.rates(spark), "ship_date", "currency", "amount", "USD",
+                         out_col="amount_usd", rate_col="rate_usd", known_max_rows=B.rates_max_rows())
+    return x.select("l_orderkey", "l_linenumber", "currency", R("amount_usd", 6).alias("amount_usd"))
 
 
 @register("uncertainty", _with("""

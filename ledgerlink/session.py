@@ -146,4 +146,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     eager reliable ``checkpoint``, which computes its input twice)."""
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
+    _STAGES.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     return df.sparkSession.read.parquet(path)
+
+
+_STAGES: dict[str, list[str]] = {}
+
+
+def release_stages(spark: SparkSession) -> int:
+    """Delete the stages that this application has materialised; call it when the
+    results that read them are written. Returns how many there were."""
+    paths = _STAGES.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        delete_path(spark, path)
+    return len(paths)

@@ -216,7 +216,7 @@ def test_unknown_catalogue_requests_get_error_rows(spark):
     req = spark.createDataFrame([(1, "labo"), (2, "nope")], "request_id int, database_name string")
     ok, bad = CT.split_requests(req, "database_name", reg)
     assert [r["request_id"] for r in ok.collect()] == [1]
-    assert bad.first()["error"] == "Invalid database name: nope. Valid database names are: agri, labo"
+    assert bad.first()["error"] == "no catalogue is called 'nope'; known ones: agri, labo"
 
 
 def test_no_rates_or_index_passes_amounts_through(spark):

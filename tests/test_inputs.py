@@ -168,3 +168,15 @@ def test_broadcast_is_bounded_by_bytes(spark):
 
 def test_content_key_has_all_bits(spark):
     assert len(spark.range(1).select(RL.content_key(["id"])).first()["sk"]) == 32
+
+
+def test_released_stages_leave_nothing(spark):
+    df = session.materialize(spark.range(3), "released")
+    path = df.inputFiles()[0].rsplit("/", 1)[0]
+    assert df.count() == 3 and session.path_exists(spark, path)
+    assert session.release_stages(spark) >= 1 and not session.path_exists(spark, path)
+
+
+def test_roles_scan_the_profile_once(spark, qs):
+    plan = qs["infer_roles"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") <= 5 and "BroadcastNestedLoopJoin" not in plan     # each source table once
