@@ -20,5 +20,6 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op3_decontaminate": decontaminate.ORACLE,
+    "op6_personal_data": personal_data.ORACLE,
     "op10_near_duplicates": near_dup.ORACLE,
 }
