@@ -21,5 +21,6 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op3_decontaminate": decontaminate.ORACLE,
     "op6_personal_data": personal_data.ORACLE,
+    "op7_secrets": secret_scan.ORACLE,
     "op10_near_duplicates": near_dup.ORACLE,
 }

@@ -141,3 +141,56 @@ def secrets(docs: DataFrame) -> DataFrame:
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets(table(spark, sf_dir, "documents"))
+
+
+def _oracle() -> str:
+    """The same rows in DuckDB SQL."""
+    place = "CAST(list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT)"
+    assign = ASSIGN.replace("'", "''")
+    kinds = (("assign", assign, f"length(regexp_extract(value, '{assign}', 2)) >= 8"), ("access", ACCESS, "true"), ("hex", HEX, "true"),
+             ("random", f"[A-Za-z0-9+/_=-]{{{SHORTEST},}}", "regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')"))
+    spans = " UNION ALL ".join(
+        f"SELECT row, '{k}' AS kind, {n} AS ko, value, st, st + length(value) AS en FROM (SELECT row, m[i] AS value, {place} AS st FROM ("
+        f"SELECT row, m, g, unnest(range(1, len(m) + 1)) AS i FROM (SELECT row, regexp_extract_all(text, '{p}') AS m, regexp_split_to_array(text, '{p}') AS g FROM d))) WHERE {v}"
+        for n, (k, p, v) in enumerate(kinds))
+    enc = "CASE " + " ".join(f"WHEN regexp_matches(value, '{fits}') THEN '{name}'" for name, fits, _ in ENCODINGS) + " END"
+    alphabet = "CASE " + " ".join(f"WHEN regexp_matches(value, '{fits}') THEN '{letters}'" for _, fits, letters in ENCODINGS) + " END"
+
+    def tail(z: str) -> str:
+        t = f"(1.0e0 / (1.0e0 + 0.2316419e0 * abs({z})))"
+        poly = f"{t} * (0.319381530e0 + {t} * (-0.356563782e0 + {t} * (1.781477937e0 + {t} * (-1.821255978e0 + {t} * 1.330274429e0))))"
+        up = f"exp(-({z}) * ({z}) / 2) / {math.sqrt(2 * math.pi)!r}e0 * {poly}"
+        return f"(CASE WHEN {z} >= 0 THEN {up} ELSE 1.0e0 - {up} END)"
+
+    log = lambda p: f"ln(greatest(least({p}, 1.0e0), 1e-300))"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+found AS ({spans}),
+base AS (SELECT * FROM found WHERE kind <> 'random'),
+run AS (SELECT * FROM found r WHERE kind = 'random' AND NOT EXISTS (SELECT 1 FROM base b WHERE b.row = r.row AND b.st < r.en AND r.st < b.en)),
+a1 AS (SELECT row, st, en, value, {enc} AS encoding, {alphabet} AS letters, regexp_replace(value, '=+$', '') AS body FROM run),
+a2 AS (SELECT *, CAST(length(letters) AS DOUBLE) AS a, CAST(length(body) AS DOUBLE) AS n,
+              list_transform(range(1, length(body) + 1), lambda i: instr(letters, body[i]) - 1) AS s FROM a1 WHERE encoding IS NOT NULL),
+a3 AS (SELECT *, list_sum(s) / n AS mean, list_sum(list_transform(list_distinct(s), lambda x: pow(len(list_filter(s, lambda y: y = x)), 2))) AS squares,
+              CAST(len(list_filter(s, lambda x: x * 2 >= a)) AS DOUBLE) AS high,
+              CAST(len(list_filter(range(1, len(s)), lambda i: (s[i] * 2 >= a) <> (s[i + 1] * 2 >= a))) AS DOUBLE) AS turns FROM a2),
+a4 AS (SELECT *, list_sum(list_transform(s, lambda x: (x - mean) * (x - mean))) AS spread, 2 * high * (n - high) AS prod,
+              list_sum(list_transform(range(1, len(s)), lambda i: (s[i] - mean) * (s[i + 1] - mean))) AS joint FROM a3),
+a5 AS (SELECT *, (a / n * squares - n - (a - 1)) / sqrt(2 * (a - 1) * (n - 1) / n) AS z1,
+              CASE WHEN prod > n THEN abs(turns + 1 - (prod / n + 1)) / sqrt(prod * (prod - n) / (n * n * (n - 1))) END AS z2,
+              CASE WHEN spread > 0 THEN abs(joint / spread + 1 / n) * sqrt(n) END AS z3 FROM a4),
+a6 AS (SELECT *, -({log(tail("z1"))} + {log(f"coalesce(2 * {tail('z2')}, 0.0e0)")} + {log(f"coalesce(2 * {tail('z3')}, 0.0e0)")}) AS x FROM a5),
+tested AS (SELECT row, st, en, encoding, floor(log2(n) * 2) AS size, CASE WHEN len(s) >= {SHORTEST // 2} THEN exp(-x) * (1 + x + x * x / 2) END AS p FROM a6),
+cells AS (SELECT encoding, size, CAST(least(floor(p * {CELLS}), {CELLS - 1}) AS INTEGER) AS cell, count(*) AS k FROM tested WHERE p IS NOT NULL GROUP BY ALL),
+up AS (SELECT *, sum(k) OVER (PARTITION BY encoding, size ORDER BY cell DESC) AS seen,
+              sum(CASE WHEN cell >= {CELLS // 2} THEN k ELSE 0 END) OVER (PARTITION BY encoding, size) * 2.0e0 AS rnd FROM cells),
+least_p AS (SELECT encoding, size, min(cell) / {CELLS}.0e0 AS lp FROM up WHERE seen - rnd * (1 - cell / {CELLS}.0e0) <= {FALSE_SHARE}e0 * seen GROUP BY ALL),
+every AS (SELECT row, st, ko, kind, en FROM base UNION ALL SELECT row, st, {len(KINDS)}, 'random', en FROM tested JOIN least_p USING (encoding, size) WHERE p >= lp),
+listed AS (SELECT row, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in KINDS)},
+                  string_agg(kind || ':' || st || ':' || en, ',' ORDER BY st, ko) FILTER (kind <> 'random') AS bs,
+                  string_agg(kind || ':' || st || ':' || en, ',' ORDER BY st, ko) AS spans FROM every GROUP BY row)
+SELECT doc_id, {", ".join(f"CAST(coalesce(n_{k}, 0) AS BIGINT) AS n_{k}" for k in KINDS)}, sha256(coalesce(bs, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN listed USING (row)"""
+
+
+ORACLE = _oracle()
