@@ -135,9 +135,11 @@ def bounded_broadcast(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCA
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder exists, through Hadoop's file system."""
+    """Whether a file or a folder with something in it exists, through Hadoop's
+    file system."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(p) and len(fs.listStatus(p)) > 0
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
