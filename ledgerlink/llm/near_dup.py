@@ -118,7 +118,7 @@ def sketch(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = pdf["text"].tolist()
-            for a, b in pieces(texts):
+            for a, b in pieces(texts, 2_000_000):
                 sets = shingle_sets(texts[a:b])
                 full = [i for i, s in enumerate(sets) if len(s)]
                 keys: list[bytes | None] = [None] * len(sets)
@@ -332,7 +332,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts, want = pdf["text"].tolist(), pdf["set_key"].tolist()
-            for a, b in pieces(texts):
+            for a, b in pieces(texts, 2_000_000):
                 sets = shingle_sets(texts[a:b])
                 same = [(k, s) for k, s in zip(want[a:b], sets) if _set_key(s) == k]
                 yield pd.DataFrame({"set_key": [k for k, _ in same], "shingles": [s.tobytes() for _, s in same]})
