@@ -82,9 +82,9 @@ def union_missing_columns(dfs: list[DataFrame]) -> DataFrame:
 
 
 def sample_n(df: DataFrame, n: int, key_cols: list[str], seed: int = 42) -> DataFrame:
-    """Exactly ``n`` rows, repeatable: the n smallest seeded hashes.
+    """Exactly ``n`` rows, repeatable: the n smallest seeded MD5 hashes.
     Planned as a distributed top-k (``TakeOrderedAndProject``), not a sort."""
-    h = F.xxhash64(*[c(k) for k in key_cols], F.lit(seed))
+    h = F.md5(F.concat_ws("|", *[c(k).cast("string") for k in key_cols], F.lit(str(seed))))
     return df.withColumn("_h", h).orderBy("_h", *key_cols).limit(n).drop("_h")
 
 

@@ -88,7 +88,9 @@ def concat_description(spark, sf):
     return p.select("p_partkey", TX.concat_description(F.col("p_name"), geo).alias("description"))
 
 
-@register("sample_n")
+@register("sample_n", """
+SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+ORDER BY md5(concat_ws('|', l_orderkey, l_linenumber, 42)), l_orderkey, l_linenumber LIMIT 1000""")
 def sample_n(spark, sf):
     """Exactly 1,000 lines (all of them if fewer), repeatable by seed."""
     li = B.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
