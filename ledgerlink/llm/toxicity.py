@@ -20,6 +20,7 @@ repeated rows stay.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -93,6 +94,14 @@ def counts(s: int, e: int, weight: np.ndarray, grams: list[tuple[np.ndarray, np.
     return index, np.bincount(at, weights=w, minlength=len(index))
 
 
+def telling(with1: np.ndarray, with0: np.ndarray, n1: float, n0: float) -> np.ndarray:
+    """Flags of the buckets whose shares of the two classes' rows differ clearly."""
+    n1, n0 = max(1, n1), max(1, n0)
+    share = (with1 + with0 + 1) / (n1 + n0 + 2)
+    error = np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0))
+    return np.abs(with1 / n1 - with0 / n0) >= SIGMAS * error
+
+
 def fit(index: np.ndarray, value: np.ndarray, lens: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, seed: int = 11) -> tuple[np.ndarray, np.ndarray, float]:
     """Embeddings (BUCKETS x DIM), the softmax's difference vector and bias, by
     accelerated gradient descent on both together.
@@ -104,12 +113,8 @@ def fit(index: np.ndarray, value: np.ndarray, lens: np.ndarray, y: np.ndarray, e
     square with a floor, so that frequent n-grams do not carry the fit; their
     length follows from the curvature along its steepest direction."""
     rng = np.random.RandomState(seed)
-    n1, n0 = max(1, int(y.sum())), max(1, int(len(y) - y.sum()))
     with1 = np.bincount(index, weights=np.repeat(y, lens), minlength=BUCKETS)
-    with_any = np.bincount(index, minlength=BUCKETS)
-    share = (with_any + 1) / (len(y) + 2)
-    error = np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0))
-    keep = (np.abs(with1 / n1 - (with_any - with1) / n0) >= SIGMAS * error)[index]
+    keep = telling(with1, np.bincount(index, minlength=BUCKETS) - with1, y.sum(), len(y) - y.sum())[index]
     row = np.repeat(np.arange(len(y)), lens)[keep]
     index, value = index[keep], value[keep].astype(np.float64)
     rms = np.sqrt(np.bincount(index, weights=value * value, minlength=BUCKETS) / len(y))
@@ -163,25 +168,46 @@ def train(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, float] | None:
                 yield pd.DataFrame({"label": pdf["label"].iloc[first:last].values, "index": [i.astype("<i4").tobytes() for i, _ in out],
                                     "value": [(n / (n.sum() + NEUTRAL)).astype("<f4").tobytes() for _, n in out]})
 
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows, seen = np.zeros(2), np.zeros((2, BUCKETS), dtype=np.int32)
+        for pdf in batches:
+            for label, index in zip(pdf["label"], pdf["index"]):
+                rows[label] += 1
+                seen[label, np.frombuffer(index, "<i4")] += 1              # a row has each bucket once
+        if rows.sum():
+            yield pd.DataFrame({"n0": [rows[0]], "n1": [rows[1]], "seen": [zlib.compress(seen.tobytes(), 1)]})
+
+    def sift(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            parts = [(np.frombuffer(i, "<i4"), np.frombuffer(v, "<f4")) for i, v in zip(pdf["index"], pdf["value"])]
+            flags = [keep[i] for i, _ in parts]
+            yield pd.DataFrame({"label": pdf["label"], "index": [i[f].tobytes() for (i, _), f in zip(parts, flags)],
+                                "value": [v[f].tobytes() for (_, v), f in zip(parts, flags)]})
+
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index, value, y = [], [], []
         for pdf in batches:
             index += [np.frombuffer(b, "<i4") for b in pdf["index"]]
             value += [np.frombuffer(b, "<f4") for b in pdf["value"]]
             y += pdf["label"].tolist()
-        rows = [i for i in range(len(y)) if len(index[i])]
-        labels = np.array([y[i] for i in rows], dtype=np.float64)
-        if 0 < labels.sum() < len(labels):
-            emb, w, bias = fit(np.concatenate([index[i] for i in rows]), np.concatenate([value[i] for i in rows]),
-                               np.array([len(index[i]) for i in rows]), labels)
+        if y:
+            emb, w, bias = fit(np.concatenate(index), np.concatenate(value), np.array([len(i) for i in index]), np.array(y, dtype=np.float64))
             yield pd.DataFrame({"emb": [emb.astype("<f4").tobytes()], "w": [w.astype("<f8").tobytes()], "bias": [bias]})
 
     with Stages(spark) as stages:
-        rows = stages.write(texts.mapInPandas(features, "label int, index binary, value binary"), "toxic-sample")
-        found = rows.coalesce(1).mapInPandas(solve, "emb binary, w binary, bias double").collect()   # the model: one row of a fixed size
-    if not found:
-        return None
-    m = found[0]
+        schema = "label int, index binary, value binary"
+        rows = stages.write(texts.mapInPandas(features, schema), "toxic-sample")
+        # screen the buckets first, so that the task that fits holds only what teaches: 8 rows of a fixed size
+        n0 = n1 = 0
+        seen = np.zeros((2, BUCKETS))
+        for r in rows.coalesce(8).mapInPandas(count, "n0 double, n1 double, seen binary").toLocalIterator():
+            n0, n1 = n0 + r.n0, n1 + r.n1
+            seen += np.frombuffer(zlib.decompress(r.seen), np.int32).reshape(2, BUCKETS)
+        if not n0 or not n1:
+            return None
+        keep = telling(seen[1], seen[0], n1, n0)
+        rows = stages.write(rows.mapInPandas(sift, schema), "toxic-telling")
+        m = rows.coalesce(1).mapInPandas(solve, "emb binary, w binary, bias double").collect()[0]    # the model, of a fixed size
     return np.frombuffer(m.emb, "<f4").reshape(BUCKETS, DIM), np.frombuffer(m.w, "<f8"), m.bias
 
 
