@@ -24,6 +24,29 @@ def worker_cache() -> dict:
     return sys.modules.setdefault(name, types.ModuleType(name)).__dict__.setdefault("items", {})
 
 
+def give_back() -> None:
+    """Return freed memory of this Python worker to the system: an idle worker
+    waits for its next task beside the JVM's."""
+    import ctypes
+
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):            # another C library
+        pass
+
+
+def frugal(run):
+    """A function over batches that gives memory back when its task ends."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return wrapped
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write once under the shared checkpoint folder and read back."""
     return materialize(df, name)

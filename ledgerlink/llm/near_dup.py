@@ -43,7 +43,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlink.llm.common import Stages, bounded_broadcast, pieces, table
+from ledgerlink.llm.common import Stages, bounded_broadcast, frugal, pieces, table
 
 WIDTH = 5
 COORDS = 48
@@ -128,7 +128,7 @@ def sketch(docs: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"doc_id": pdf["doc_id"].iloc[a:b].values, "n_shingles": [len(s) for s in sets], "set_key": keys, "sig": sigs})
 
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    out = rows.mapInPandas(run, "doc_id string, n_shingles long, set_key binary, sig binary")
+    out = rows.mapInPandas(frugal(run), "doc_id string, n_shingles long, set_key binary, sig binary")
     return out.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
@@ -142,7 +142,7 @@ def active_classes(classes: DataFrame) -> DataFrame:
             sig = np.frombuffer(b"".join(pdf["sig"]), dtype=np.uint32).reshape(-1, COORDS)
             yield pd.DataFrame({"set_key": np.repeat(pdf["set_key"].to_numpy(), COORDS), "token": (sig.astype(np.int64) + base).ravel()})
 
-    posted = classes.select("set_key", "sig").mapInPandas(tokens, "set_key binary, token long")
+    posted = classes.select("set_key", "sig").mapInPandas(frugal(tokens), "set_key binary, token long")
     shared = posted.groupBy("token").agg(F.count(F.lit(1)).alias("freq")).filter("freq > 1")
     lists = (posted.join(shared, "token").groupBy("set_key")
              .agg(F.sort_array(F.collect_list(F.struct("freq", "token"))).alias("toks"))       # COORDS entries at most
@@ -246,7 +246,7 @@ def forest_pairs(work: DataFrame) -> DataFrame:
             a, b = d["set_key"][i[edges[:, 0]]], d["set_key"][i[edges[:, 1]]]
             yield pd.DataFrame({"a": np.where(a < b, a, b), "b": np.where(a < b, b, a)})
 
-    return work.mapInPandas(run, "a binary, b binary").distinct()
+    return work.mapInPandas(frugal(run), "a binary, b binary").distinct()
 
 
 def open_classes(work: DataFrame) -> DataFrame:
@@ -267,7 +267,7 @@ def open_classes(work: DataFrame) -> DataFrame:
                 rows = np.union1d(i[ok.any(1)], j[ok.any(0)])
                 yield pd.DataFrame({"token": token, "lo": lo, "hi": hi, "set_key": d["set_key"][rows], "comp": d["comp"][rows]})
 
-    return work.mapInPandas(run, "token long, lo int, hi int, set_key binary, comp binary")
+    return work.mapInPandas(frugal(run), "token long, lo int, hi int, set_key binary, comp binary")
 
 
 def common_shingles(sets: list[np.ndarray]) -> np.ndarray:
@@ -305,7 +305,7 @@ def links_between(opened: DataFrame, sets: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"a": d["set_key"][edges[:, 0]], "b": d["set_key"][edges[:, 1]]})
 
     rows = opened.join(sets, "set_key").repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi", "set_key")
-    return rows.mapInPandas(run, "a binary, b binary").distinct()
+    return rows.mapInPandas(frugal(run), "a binary, b binary").distinct()
 
 
 def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -323,7 +323,7 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     sa = sets.select(F.col("set_key").alias("a"), F.col("shingles").alias("sa"))
     sb = sets.select(F.col("set_key").alias("b"), F.col("shingles").alias("sb"))
-    return pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInPandas(run, "a binary, b binary")
+    return pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInPandas(frugal(run), "a binary, b binary")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -340,7 +340,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     w = bounded_broadcast(wanted.select(F.col("doc_id").alias("_id"), "set_key"), BROADCAST_ROWS)
     rows = docs.select(F.col("doc_id"), "text").join(w, F.col("doc_id").eqNullSafe(F.col("_id"))).select("text", "set_key")
     # an id that several rows have can give a set more than once
-    return rows.mapInPandas(run, "set_key binary, shingles binary").dropDuplicates(["set_key"])
+    return rows.mapInPandas(frugal(run), "set_key binary, shingles binary").dropDuplicates(["set_key"])
 
 
 def components(edges: DataFrame, stages: Stages) -> DataFrame:

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlink.llm.common import Stages, doc_hash_mod, table
+from ledgerlink.llm.common import Stages, doc_hash_mod, frugal, give_back, table
 
 GRAMS = (3, 4, 5, 6)
 BUCKETS_LOG2 = 18
@@ -196,18 +196,18 @@ def train(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, float] | None:
 
     with Stages(spark) as stages:
         schema = "label int, index binary, value binary"
-        rows = stages.write(texts.mapInPandas(features, schema), "toxic-sample")
+        rows = stages.write(texts.mapInPandas(frugal(features), schema), "toxic-sample")
         # screen the buckets first, so that the task that fits holds only what teaches: 8 rows of a fixed size
         n0 = n1 = 0
         seen = np.zeros((2, BUCKETS))
-        for r in rows.coalesce(8).mapInPandas(count, "n0 double, n1 double, seen binary").toLocalIterator():
+        for r in rows.coalesce(8).mapInPandas(frugal(count), "n0 double, n1 double, seen binary").toLocalIterator():
             n0, n1 = n0 + r.n0, n1 + r.n1
             seen += np.frombuffer(zlib.decompress(r.seen), np.int32).reshape(2, BUCKETS)
         if not n0 or not n1:
             return None
         keep = telling(seen[1], seen[0], n1, n0)
-        rows = stages.write(rows.mapInPandas(sift, schema), "toxic-telling")
-        m = rows.coalesce(1).mapInPandas(solve, "emb binary, w binary, bias double").collect()[0]    # the model, of a fixed size
+        rows = stages.write(rows.mapInPandas(frugal(sift), schema), "toxic-telling")
+        m = rows.coalesce(1).mapInPandas(frugal(solve), "emb binary, w binary, bias double").collect()[0]    # the model, of a fixed size
     return np.frombuffer(m.emb, "<f4").reshape(BUCKETS, DIM), np.frombuffer(m.w, "<f8"), m.bias
 
 
@@ -239,6 +239,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float] | None) -
                     n += np.add.reduceat(w, starts, dtype=np.float64)
                 out[first:last] = 1.0 / (1.0 + np.exp(-np.clip(total / (n + NEUTRAL) + bias, -30, 30)))
             yield pd.Series(out)
+        give_back()
 
     return scores("text")
 
