@@ -13,7 +13,9 @@ in each class of encoding and length the number of random strings follows from
 the p-values above 0.5, and with it the share of false finds among all strings
 above a threshold. The class takes the lowest threshold whose estimated share of
 false finds is at most ``FALSE_SHARE``: short strings, on which the tests say
-little, get a higher one.
+little, get a higher one. The estimate counts distinct strings; the threshold
+holds for every occurrence. (``ORACLE`` counts occurrences and so has the same
+rows only where no candidate is repeated.)
 
 All of it is DataFrame functions and one pass over whole texts; the classes are
 a few dozen rows. Defined cases: a null or empty text has no spans; repeated
@@ -108,9 +110,11 @@ def randomness(runs: DataFrame) -> DataFrame:
 
 def thresholds(tested: DataFrame) -> DataFrame:
     """(encoding, length, least p) of each class: at most CELLS rows a class are
-    gathered before the lowest admissible threshold is taken."""
+    gathered before the lowest admissible threshold is taken. A string counts
+    once, however many copies it has: copies are not evenly spread draws."""
     cell = F.least(F.floor(F.col("p") * CELLS), F.lit(CELLS - 1)).cast("int")
-    cells = tested.filter("p is not null").groupBy("encoding", "length", cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    once = tested.filter("p is not null").select("encoding", "length", "p", F.xxhash64("value").alias("value")).distinct()
+    cells = once.groupBy("encoding", "length", cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
     up = Window.partitionBy("encoding", "length").orderBy(F.desc("cell"))
     kind = Window.partitionBy("encoding", "length")
     cells = cells.withColumn("found", F.sum("n").over(up)).withColumn(

@@ -110,3 +110,16 @@ def test_no_python_in_the_plan(spark, qs):
     for name in ("op6_personal_data", "op7_secrets"):
         plan = plan_text(qs[name](spark, "/root/testdata/sf0.001"))
         assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_copies_of_one_string_do_not_set_the_threshold(spark):
+    rnd = random.Random(7)
+    keys = [base64.b64encode(rnd.randbytes(30)).decode() for _ in range(200)]
+    plain = ["_".join(rnd.choice(["config", "value", "service", "handler", "default", "account"]) for _ in range(6)) + str(i) for i in range(100)]
+    once = {r[0]: r[5] for r in run(spark, [(i, f"line {s} end") for i, s in enumerate(keys + plain)])}
+    p = {s: p_value(s) for s in keys}
+    for hot in min(keys, key=lambda s: abs(p[s] - 0.41)), min(keys, key=lambda s: abs(p[s] - 0.9)):
+        got = run(spark, [(i, f"line {s} end") for i, s in enumerate(keys + plain)] + [(1000, f"line {hot} end")] * 3000)
+        assert {r[0]: r[5] for r in got if r[0] < 1000} == once
+        assert {r[5] for r in got if r[0] == 1000} == {once[keys.index(hot)]} and sum(r[0] == 1000 for r in got) == 3000
+    assert sum("random:" in once[i] for i in range(200)) > 180
