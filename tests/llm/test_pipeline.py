@@ -59,3 +59,20 @@ def test_rows_without_id_stay(spark):
     docs = spark.createDataFrame([(None, "a b c d e f", "en", "s", 11), (1, "a b c d e f", "en", "s", 11), (2, "a b c d e f", "en", "s", 11), (3, None, None, None, None)],
                                  "doc_id long, text string, lang string, source string, n_chars int")
     assert sorted((r.doc_id for r in C.drop_near_duplicates(spark, docs, SF).collect()), key=str) == [1, 3, None]
+
+
+def test_each_row_gets_its_own_decision(spark, tmp_path):
+    def text(seed):
+        return " ".join(f"{seed}{i}" for i in range(30))
+    item = text("bench")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(None, text("a")), (None, text("a")), (None, text("b")), (None, item + " x"), (5, text("c")), (5, text("c")), (5, text("d")), (5, item + " y"),
+            (12, text("d")), (3, text("c") + " z"), (7, None), (7, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    one = sorted((tuple(r) for r in C.drop_near_duplicates(spark, docs, "").collect()), key=str)
+    # "c" stays once, as row 3; "d" as row 5; "a" and the passage (near copies) once without an id and, the passage, once with
+    assert one == sorted([(None, text("a")), (None, text("b")), (None, item + " x"), (5, text("d")), (5, item + " y"), (3, text("c") + " z"), (7, None), (7, None), (None, "")], key=str)
+    clean = sorted((tuple(r) for r in C.drop_contaminated(spark, docs, str(tmp_path)).collect()), key=str)
+    assert clean == sorted([r for r in rows if not (r[1] or "").startswith(item)], key=str)
+    same = spark.createDataFrame([(4, text("e"))] * 50, "doc_id long, text string")
+    assert C.drop_near_duplicates(spark, same, "").count() == 1
