@@ -20,7 +20,8 @@ that holds a third of all rows is no special case.
 
 Defined cases: null and empty texts have 0 tokens and the prior as posterior; a
 target domain that nobody is labelled with, or a weight below 0, is an error;
-labelled domains without a target get weight 0. Without documents the result is
+labelled domains without a target keep the share of the tokens that they have,
+and the targets share the rest. Without documents the result is
 empty; without labelled rows there is one rate, 1, for all. Repeated rows stay.
 """
 
@@ -103,7 +104,17 @@ def rate_column(multipliers: list[list[float]]) -> Column:
     return r
 
 
-def fit_rates(members: DataFrame, weights: list[float], budget: float | None = None, steps: int = STEPS) -> list[list[float]]:
+def shares(weights: list[float | None], total: np.ndarray) -> np.ndarray:
+    """Target shares of the tokens: domains without a weight keep theirs, the others share the rest."""
+    own = total / total.sum()
+    free = np.array([w is None for w in weights])
+    if own[~free].sum() == 0:                    # nothing to share out
+        return own
+    w = np.array([0.0 if x is None else x for x in weights])
+    return np.where(free, own, w / w.sum() * (1 - own[free].sum()))
+
+
+def fit_rates(members: DataFrame, weights: list[float | None], budget: float | None = None, steps: int = STEPS) -> list[list[float]]:
     """The multipliers of the gradient steps. Without a budget the token total is
     the smallest at which no domain has to shrink."""
     k = len(weights)
@@ -118,7 +129,7 @@ def fit_rates(members: DataFrame, weights: list[float], budget: float | None = N
     for i, j in cells:
         g[i, j] = g[j, i] = first[f"g{i}_{j}"] or 0.0
     inverse = np.linalg.pinv(g, rcond=1e-12)
-    w = np.array(weights) / sum(weights)
+    w = shares(weights, total)
     if budget is None:
         budget = max(t / x for t, x in zip(total, w) if x > 0)
     multipliers: list[list[float]] = []
@@ -131,11 +142,12 @@ def fit_rates(members: DataFrame, weights: list[float], budget: float | None = N
     return multipliers
 
 
-def _weights(domains: list[str], targets: dict[str, float]) -> list[float]:
-    weights = [float(targets.get(d, 0.0)) for d in domains]
-    if min(weights) < 0 or not sum(weights) or set(targets) - set(domains):
+def _weights(domains: list[str], targets: dict[str, float]) -> list[float | None]:
+    """The targets in the order of the domains; None where a domain has none."""
+    given = [float(w) for w in targets.values()]
+    if min(given, default=0.0) < 0 or not sum(given) or set(targets) - set(domains):
         raise ValueError(f"targets {targets} do not fit the labelled domains {domains}")
-    return weights
+    return [float(targets[d]) if d in targets else None for d in domains]
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget: float | None = None) -> DataFrame:
@@ -170,7 +182,8 @@ def copies(rate: Column, key: Column) -> Column:
 def mix_documents(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget: float | None = None) -> DataFrame:
     """The rows of ``docs``, all columns, each as many times as its rate says: whole
     copies, and one more with the remaining share as probability, fixed by a hash of
-    the row. With the default budget no domain shrinks, so rates are about 1 or more."""
+    the row. With the default budget no domain shrinks and no row is left out: rates
+    are 1 or more."""
     model = fit_domains(labelled)
     if not model[0]:
         return docs
@@ -179,7 +192,10 @@ def mix_documents(docs: DataFrame, labelled: DataFrame, targets: dict[str, float
     with Stages(docs.sparkSession) as stages:
         members = stages.write(posteriors(docs.select(row, "text"), model, ("row",)), "members", keep=True)
         multipliers = fit_rates(members, weights, budget)
-    times = copies(rate_column(multipliers), F.xxhash64("row.doc_id", "row.text"))
+    rate = rate_column(multipliers)
+    if budget is None:
+        rate = F.greatest(F.lit(1.0), rate)
+    times = copies(rate, F.xxhash64("row.doc_id", "row.text"))
     return members.withColumn("times", times).filter("times > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
 
 

@@ -84,3 +84,17 @@ def test_copies_have_the_rate_as_mean(spark):
     df = spark.range(20_000).select(M.copies(F.lit(1.3), F.col("id")).alias("c"))
     r = df.agg(F.avg("c"), F.min("c"), F.max("c")).first()
     assert abs(r[0] - 1.3) < 0.02 and (r[1], r[2]) == (1, 2)
+
+
+def test_domain_without_a_target_keeps_its_share(spark):
+    rnd = random.Random(4)
+    rows = made(300) + [(1000 + i, " ".join(rnd.choice(["il", "lo", "muro", "che"]) for _ in range(rnd.randint(5, 60))), "w") for i in range(60)]
+    docs = frame(spark, rows)
+    targets = {"x": 0.4, "y": 0.3, "z": 0.3}
+    got = M.mix(docs, docs.select("text", "domain"), targets).toPandas()
+    tokens, after = got["n_tokens"], got["rate"] * got["n_tokens"]
+    own = got["domain"] == "w"
+    assert own.sum() >= 55 and got["rate"][own].min() > 0.9
+    assert abs(after[own].sum() / after.sum() - tokens[own].sum() / tokens.sum()) < 0.02
+    mixed = M.mix_documents(docs, docs.select("text", "domain"), targets)
+    assert {r.doc_id for r in mixed.select("doc_id").collect()} == {r[0] for r in rows}
