@@ -59,7 +59,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.decontaminate(keyed(docs), table(spark, sf_dir, "benchmark"))
+    items = table(spark, sf_dir, "benchmark")
+    items = items.withColumn("item_id", F.coalesce(F.col("item_id").cast("string"), F.lit("")))    # passages without an id count as well
+    found = decontaminate.decontaminate(keyed(docs), items)
     return without(docs, found.filter("contaminated").select(F.col("doc_id").alias("key")).distinct())
 
 

@@ -76,3 +76,10 @@ def test_each_row_gets_its_own_decision(spark, tmp_path):
     assert clean == sorted([r for r in rows if not (r[1] or "").startswith(item)], key=str)
     same = spark.createDataFrame([(4, text("e"))] * 50, "doc_id long, text string")
     assert C.drop_near_duplicates(spark, same, "").count() == 1
+
+
+def test_passages_without_id_are_found(spark, tmp_path):
+    item = " ".join(f"bench{i}" for i in range(20))
+    spark.createDataFrame([(None, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.createDataFrame([(1, f"so {item} end"), (2, "clean words")], "doc_id long, text string")
+    assert [r.doc_id for r in C.drop_contaminated(spark, docs, str(tmp_path)).collect()] == [2]
