@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlink.llm import decontaminate, katz, main_text, mixing, multi_index, near_dup, personal_data, secret_scan, toxicity
+from ledgerlink.llm import decontaminate, katz, main_text, mixing, multi_index, near_dup, personal_data, piece_codec, secret_scan, toxicity
 from ledgerlink.llm.token_file import op1_token_files
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_main_text": main_text.op8_main_text,
     "op9_katz": katz.op9_katz,
     "op10_near_duplicates": near_dup.op10_near_duplicates,
+    "op11_piece_codec": piece_codec.op11_piece_codec,
 }
 
 ORACLES: dict[str, str] = {
