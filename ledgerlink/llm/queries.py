@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlink.llm import decontaminate, katz, main_text, mixing, multi_index, near_dup, personal_data, piece_codec, pivot_codes, secret_scan, toxicity
+from ledgerlink.llm import decontaminate, katz, main_text, mixing, multi_index, near_dup, personal_data, piece_codec, pivot_codes, secret_scan, toxicity, turn_repair
 from ledgerlink.llm.token_file import op1_token_files
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_near_duplicates": near_dup.op10_near_duplicates,
     "op11_piece_codec": piece_codec.op11_piece_codec,
     "op12_vector_codes": pivot_codes.op12_vector_codes,
+    "op13_turn_repair": turn_repair.op13_turn_repair,
 }
 
 ORACLES: dict[str, str] = {
@@ -26,4 +27,5 @@ ORACLES: dict[str, str] = {
     "op7_secrets": secret_scan.ORACLE,
     "op10_near_duplicates": near_dup.ORACLE,
     "op12_vector_codes": pivot_codes.ORACLE,
+    "op13_turn_repair": turn_repair.ORACLE,
 }
