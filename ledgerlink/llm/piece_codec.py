@@ -15,9 +15,10 @@ covers stands for itself) and reads the ids off backwards. Whether two pieces
 are compatible is found by replaying the merges of both side by side: they are
 not, if the pair over the boundary is ever due before the next merge of either.
 
-Where no piece of the model goes from another character to the word mark, two
-tokens always meet before a word mark, so texts are cut there (and at line
-ends, if no piece holds one) and each distinct part is encoded once a task's
+Where no piece of the model holds two neighbouring characters of certain kinds,
+two tokens always meet between them. So if no piece goes from another character
+to the word mark, from a letter to another character or back, or holds a line end,
+texts are cut there, and a distinct part is encoded once while a worker's
 cache holds it. Other models are handled as one part a text.
 
 Decoding maps ids to the bytes of their pieces, word marks to blanks, drops the
@@ -36,9 +37,11 @@ characters at a time otherwise.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,8 +54,8 @@ from ledgerlink.llm.common import frugal, pieces, table, worker_cache
 MARK = "▁"
 MOST_CHARS = 1_000_000
 #: Bounds of a worker's caches: parts (of at most ``LONGEST`` characters) and pairs.
-MOST_PARTS = 100_000
-MOST_PAIRS = 200_000
+MOST_PARTS = 400_000
+MOST_PAIRS = 400_000
 LONGEST = 64
 
 
@@ -76,15 +79,22 @@ class PieceCodec:
         byte_ids = {int(names[i][1:-1], 16): i for i in range(n) if kind[i] == "byte"}
         self.byte_ids = [byte_ids[b] for b in range(256)]
         self.found = ahocorasick.Automaton()
+        #: By piece: whether a token may stand before it.
+        self.pairs: dict[str, dict[str, bool]] = {}
+        self.n_pairs = 0
+        self.merges: dict[str, tuple | None] = {}
         for piece in self.ids:
-            self.found.add_word(piece, piece)
+            if self.replay(piece) is not None:
+                self.found.add_word(piece, (piece, len(piece), self.pairs.setdefault(piece, {})))
         self.found.make_automaton()
-        self.merges: dict[str, tuple | None] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
         self.parts: dict[str, bytes] = {}
         self.cut = None
+        odd = {c for p in self.ids for c in p if c.isalnum() and not c.isalpha() and not c.isdecimal()}
+        letter, other = "[^\\W\\d_" + re.escape("".join(sorted(odd))) + "]", f"[^{MARK}\\n]"
         if not any(re.search(f"[^{MARK}]{MARK}|\n", p) for p in self.ids):
-            self.cut = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n+")
+            mixed = re.compile(f"{letter}(?!{letter}){other}|(?!{letter}){other}{letter}")
+            self.cut = re.compile(f"{MARK}*{other}+|{MARK}+|\n+" if any(map(mixed.search, self.ids)) else
+                                  f"{MARK}*{letter}+|{MARK}*(?:(?!{letter}){other})+|{MARK}+|\n+")
 
         text = ["" if k == "control" else " \u2047 " if k == "unknown" else p.replace(MARK, " ") for p, k in zip(names, kind)]
         self.is_byte = np.array([k == "byte" for k in kind])
@@ -117,13 +127,15 @@ class PieceCodec:
 
     def compatible(self, a: str, b: str) -> bool:
         """Whether the text of two pieces is encoded as just these two."""
-        key = (a, b)
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) >= MOST_PAIRS:
-                self.pairs = {}
-            known = self.pairs[key] = self._apart(*self.replay(a)[:2], *self.replay(b)[::2])
-        return known
+        before = self.pairs[b]
+        if a not in before:
+            if self.n_pairs >= MOST_PAIRS:
+                self.n_pairs = 0
+                for known in self.pairs.values():
+                    known.clear()
+            self.n_pairs += 1
+            before[a] = self._apart(*self.replay(a)[:2], *self.replay(b)[::2])
+        return before[a]
 
     def _apart(self, when_a: list, last: list, when_b: list, first: list) -> bool:
         i = j = 0
@@ -142,44 +154,54 @@ class PieceCodec:
 
     def last_tokens(self, part: str) -> list[str]:
         """The last token of each prefix that is not empty."""
-        last: list = []
-        for end, piece in self.found.iter(part):             # of one end the longest first
-            while len(last) < end:                           # no piece ends there
-                last.append(part[len(last)])
-            if len(last) > end:
+        last: list[str] = []
+        add, n = last.append, 0                              # n: prefixes done
+        for end, (piece, size, before) in self.found.iter(part):     # of one end the longest first
+            if n > end:
                 continue
-            start = end + 1 - len(piece)
-            if self.replay(piece) is not None and (start == 0 or self.compatible(last[start - 1], piece)):
-                last.append(piece)
-        while len(last) < len(part):
-            last.append(part[len(last)])
-        return last
+            while n < end:                                   # no piece ends there
+                add(part[n])
+                n += 1
+            if size <= end:
+                fits = before.get(last[end - size])
+                if not (self.compatible(last[end - size], piece) if fits is None else fits):
+                    continue
+            add(piece)
+            n += 1
+        return last + list(part[n:])
 
     def encode_part(self, part: str) -> bytes:
-        """Ids (little-endian, 4 bytes each) of a part of marked text."""
-        last, at, out = self.last_tokens(part), len(part), []
+        """Ids (4 bytes each) of a part of marked text."""
+        last, at, out, ids = self.last_tokens(part), len(part), array("I"), self.ids
         while at:
             token = last[at - 1]
-            i = self.ids.get(token)
+            i = ids.get(token)
             if i is None:
-                out += [self.byte_ids[b] for b in reversed(token.encode())]
+                out.extend([self.byte_ids[b] for b in reversed(token.encode())])
             else:
                 out.append(i)
             at -= len(token)
-        return np.array(out[::-1], dtype="<u4").tobytes()
+        out.reverse()
+        return out.tobytes()
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of a whole text, without the end id."""
         if not text:
-            return np.zeros(0, dtype="<u4")
+            return np.zeros(0, dtype=np.uint32)
         marked = MARK + text.replace(" ", MARK)
         parts = self.cut.findall(marked) if self.cut else [marked]
-        for part in set(parts).difference(self.parts) if len(parts) > 1 else ():
-            if len(part) <= LONGEST:
-                if len(self.parts) >= MOST_PARTS:
-                    self.parts = {}
-                self.parts[part] = self.encode_part(part)
-        return np.frombuffer(b"".join([self.parts.get(p) or self.encode_part(p) for p in parts]), dtype="<u4")
+        raw = list(map(self.parts.get, parts))
+        if None in raw:
+            raw = [self._learned(p) if r is None else r for p, r in zip(parts, raw)]
+        return np.frombuffer(b"".join(raw), dtype=np.uint32)
+
+    def _learned(self, part: str) -> bytes:
+        ids = self.parts.get(part) or self.encode_part(part)
+        if len(part) <= LONGEST:
+            if len(self.parts) >= MOST_PARTS:
+                self.parts.clear()
+            self.parts[part] = ids
+        return ids
 
     # ------------------------------------------------------------- decoding
 
@@ -237,6 +259,7 @@ def codec(model: bytes) -> PieceCodec:
     cache, crc = worker_cache(), zlib.crc32(model)
     if cache.get("piece codec", (None,))[0] != crc:
         cache["piece codec"] = (crc, PieceCodec(model))
+        gc.freeze()                              # the automaton's entries are not worth searching for cycles
     return cache["piece codec"][1]
 
 
