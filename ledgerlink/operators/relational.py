@@ -9,6 +9,8 @@ running sum without the single-partition exchange a global window needs.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -165,14 +167,123 @@ def fixed_batches(df: DataFrame, order_cols: list[str], batch_rows: int) -> Data
             .withColumnRenamed("_gidx", "row_index")
 
 
+def ordered_stage(df: DataFrame, order_cols: list[str], num_partitions: int | None = None) -> DataFrame:
+    """The rows range-partitioned and sorted on the order key, as a stored table
+    with ``_pid`` (range partition) and ``_lidx`` (position inside it)."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = [c(o) for o in order_cols]
+    mid = F.monotonically_increasing_id()
+    local = df.repartitionByRange(n, *ordered).sortWithinPartitions(*ordered).withColumn("_mid", mid)
+    return materialize(local.withColumn("_pid", F.shiftright("_mid", 33)).withColumn(
+        "_lidx", F.col("_mid") - F.shiftleft("_pid", 33)).drop("_mid"), "ordered")
+
+
+def running_total(ordered: DataFrame, value: Column, name: str) -> DataFrame:
+    """Inclusive running sum of a whole-number ``value`` over an ``ordered_stage``:
+    a window inside each range partition, and one offset per partition (as many
+    rows as partitions reach the driver)."""
+    totals = ordered.groupBy("_pid").agg(F.sum(value).cast("long").alias("s")).collect()
+    before, offsets = 0, {}
+    for r in sorted(totals, key=lambda r: r["_pid"]):
+        offsets[r["_pid"]] = before
+        before += r["s"] or 0
+    literal = F.expr("array(" + ",".join(f"{offsets.get(i, 0)}L" for i in range(max(offsets, default=0) + 1)) + ")")
+    inside = F.sum(value).over(Window.partitionBy("_pid").orderBy("_lidx").rowsBetween(Window.unboundedPreceding, 0))
+    return ordered.withColumn(name, (F.get(literal, F.col("_pid").cast("int")) + inside).cast("long"))
+
+
+#: Token budgets that one task packs at a time.
+PACK_BUDGETS = 16
+
+
+def _pack_block(pos: np.ndarray, size: np.ndarray, first: float, width: float, budget: int) -> pd.DataFrame:
+    """Batches begun in one block of positions ``first <= pos < first + width``.
+
+    ``pos`` and ``size`` (ascending, rows of at least one token) also hold the
+    rows up to a budget behind the block. A batch that begins at row i ends
+    before the first row whose end is beyond ``pos[i] + budget``. Batches from
+    earlier blocks can lead only to rows less than a budget behind the block's
+    border, or to its first row. For each of those: the position where the
+    first batch behind the block begins, and the starts on the way there."""
+    ends = pos + size
+    following = np.maximum(np.searchsorted(ends, pos + budget, side="right"), np.arange(len(pos)) + 1)
+    starts = np.append(pos, ends[-1])                   # behind the last row known the next one begins
+    inside = int(np.searchsorted(pos, first + width))
+    entries = np.flatnonzero((pos[:inside] < first + budget) | (np.arange(inside) == 0))
+    at, chain = entries.copy(), [[int(pos[e])] for e in entries]
+    open_ = np.arange(len(entries))
+    while len(open_):
+        at[open_] = following[at[open_]]
+        open_ = open_[at[open_] < inside]
+        for i in open_:
+            chain[i].append(int(pos[at[i]]))
+    return pd.DataFrame({"pos": pos[entries], "to": starts[at], "starts": chain})
+
+
+def batch_starts(rows: DataFrame, budget: int, pack_budgets: int = PACK_BUDGETS) -> DataFrame:
+    """Positions (``pos``: tokens before) of the rows that begin a batch, of rows
+    ``(pos, size)`` with sizes of at least 1 that follow on each other from 0.
+
+    Where the next batch begins is a range lookup, made in blocks of
+    ``pack_budgets`` budgets of tokens, each with the rows of one more budget.
+    A block reduces the rows that a batch can begin with near its border to
+    pointers over the block. Which pointers are really taken is found by pointer
+    doubling: pointers are joined with themselves until one leads from the first
+    row over all blocks, each time only those that others lead to; from the
+    longest back to the shortest, they mark the rows reached. That takes
+    log2(blocks) joins of ever fewer rows."""
+    width = pack_budgets * budget
+    block = F.floor(F.col("pos") / F.lit(width)).cast("long")
+    near = (F.col("pos") % width < budget) & (block > 0)
+    placed = rows.select("pos", "size", F.explode(F.when(near, F.array(block, block - 1)).otherwise(F.array(block))).alias("block"))
+
+    def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("pos")
+        pos, first = pdf["pos"].to_numpy(), key[0] * width
+        if pos[0] >= first + width:                     # a block that one long row spans: only rows behind it
+            return pd.DataFrame({"pos": pos[:0], "to": pos[:0], "starts": pd.Series([], dtype=object)})
+        return _pack_block(pos, pdf["size"].to_numpy(), first, width, budget)
+
+    pointers = materialize(placed.groupBy("block").applyInPandas(pack, "pos long, to long, starts array<long>"), "batch-pointers")
+    # some block has at least one pointer, so this many doublings reach the end
+    last = pointers.agg(F.max("to")).first()[0] or 0
+    levels = [pointers.select("pos", "to")]
+    while width << (len(levels) - 1) < last:
+        step = levels[-1]
+        reached = step.select(F.col("to").alias("pos")).distinct().unionByName(step.filter("pos = 0").select("pos")).distinct()
+        twice = step.join(reached, "pos", "left_semi").join(step.select(F.col("pos").alias("to"), F.col("to").alias("_to")), "to", "left")
+        levels.append(materialize(twice.select("pos", F.coalesce("_to", "to").alias("to")), "batch-pointers"))
+    marked = pointers.filter("pos = 0").select("pos")
+    for step in reversed(levels[1:]):
+        marked = materialize(marked.unionByName(step.join(marked, "pos").select(F.col("to").alias("pos"))).distinct(), "batch-marks")
+    one = levels[0].join(marked, "pos").select(F.col("to").alias("pos"))
+    taken = marked.unionByName(one).distinct()
+    return pointers.join(taken, "pos").select(F.explode("starts").alias("pos")).distinct()
+
+
 def token_budget_batches(df: DataFrame, order_cols: list[str], token_col: str,
-                         budget: int) -> DataFrame:
-    """A row goes to batch ``floor(tokens before it / budget)`` in key order."""
-    g = global_order_index(df, order_cols, value_col=token_col)
-    before = (F.col("_gcum") - c(token_col))
-    return (g.withColumn("tokens_before", before.cast("long"))
-            .withColumn("batch_id", F.floor(before / F.lit(float(budget))).cast("long"))
-            .drop("_gidx", "_gcum"))
+                         budget: int, pack_budgets: int = PACK_BUDGETS) -> DataFrame:
+    """Consecutive batches in key order, each as long as its tokens stay within
+    ``budget``; a row above the budget is a batch by itself.
+
+    Adds ``tokens_before`` and ``batch_id`` (0, 1, ...). Null and negative counts
+    are zero; rows without tokens belong to the batch of the row before. No
+    partition holds more than a range of the rows: starts of batches come from
+    ``batch_starts``, and their running count numbers the batches."""
+    if budget < 1:
+        raise ValueError("the budget must be at least 1")
+    size = F.greatest(F.coalesce(c(token_col).cast("long"), F.lit(0)), F.lit(0))
+    ordered = ordered_stage(df.withColumn("_size", size), order_cols)
+    placed = running_total(ordered, F.col("_size"), "_end").withColumn("tokens_before", F.col("_end") - F.col("_size"))
+    placed = materialize(placed.drop("_end"), "token-positions")
+    rows = placed.filter("_size > 0").select(F.col("tokens_before").alias("pos"), F.col("_size").alias("size"))
+    starts = materialize(batch_starts(rows, budget, pack_budgets), "batch-starts")
+    # rows with tokens have positions of their own; a start is one of them
+    flag = F.when(F.col("_size") > 0, F.col("tokens_before"))
+    starts = starts.select(F.col("pos").alias("_at"), F.lit(1).alias("_start"))
+    marked = materialize(placed.withColumn("_at", flag).join(bounded_broadcast(starts, 1_000_000), "_at", "left").drop("_at"), "batch-starts")
+    out = running_total(marked, F.coalesce("_start", F.lit(0)), "_n")
+    return out.withColumn("batch_id", F.greatest(F.col("_n") - 1, F.lit(0)).cast("long")).drop("_n", "_start", "_size", "_pid", "_lidx")
 
 
 def dense_row_id(df: DataFrame, order_cols: list[str], name: str = "row_id") -> DataFrame:

@@ -132,10 +132,17 @@ SQL_TOKENS = f"""doc_tokens AS (
   FROM (SELECT doc_id, regexp_replace(text, '^{WS}+|{WS}+$', '', 'g') AS t FROM documents))"""
 
 
-@register("token_budget_batches", B.with_sql(SQL_TOKENS, f"""
-SELECT doc_id, tokens, CAST(cum - tokens AS BIGINT) AS tokens_before,
-       CAST(floor((cum - tokens) / {float(S.token_budget)}) AS BIGINT) AS batch_id
-FROM (SELECT *, sum(tokens) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS cum FROM doc_tokens)"""))
+@register("token_budget_batches", f"""
+WITH RECURSIVE {SQL_TOKENS},
+placed AS (SELECT doc_id, tokens, CAST(sum(tokens) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) - tokens AS BIGINT) AS tokens_before FROM doc_tokens),
+starts AS (
+  SELECT CAST(0 AS BIGINT) AS pos
+  UNION ALL
+  SELECT nxt FROM (SELECT (SELECT min(tokens_before) FROM placed
+                           WHERE tokens > 0 AND tokens_before > pos AND tokens_before + tokens > pos + {S.token_budget}) AS nxt FROM starts) WHERE nxt IS NOT NULL)
+SELECT doc_id, tokens, tokens_before,
+       CAST((SELECT count(*) FROM starts WHERE starts.pos < placed.tokens_before OR (starts.pos = placed.tokens_before AND (placed.tokens > 0 OR pos = 0))) - 1 AS BIGINT) AS batch_id
+FROM placed""")
 def token_budget_batches(spark, sf):
     d = B.table(spark, sf, "documents").select("doc_id", TX.word_count(F.col("text")).alias("tokens"))
     return RL.token_budget_batches(d, ["doc_id"], "tokens", S.token_budget)
