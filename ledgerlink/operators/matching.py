@@ -86,9 +86,10 @@ def choose_match(scored: DataFrame, w_cosine: float, w_overlap: float, w_breadth
 
 
 def rating(score: Column, buckets: int = 5) -> Column:
-    """M7: 1-5 rating of a match score; a score of 1.0 is 5, not 6, and one below
-    0 is 1; no score, no rating (``least`` alone would skip the null)."""
-    r = F.greatest(F.lit(1), F.least(F.width_bucket(score, F.lit(0.0), F.lit(1.0), F.lit(buckets)), F.lit(buckets)))
+    """M7: 1-5 rating of a match score, rounded as scores are for ranking, so that
+    0.8 is one rating however it was added up; a score of 1.0 is 5, not 6, and one
+    below 0 is 1; no score, no rating (``least`` alone would skip the null)."""
+    r = F.greatest(F.lit(1), F.least(F.width_bucket(round_half_away(score, RANK_DECIMALS), F.lit(0.0), F.lit(1.0), F.lit(buckets)), F.lit(buckets)))
     return F.when(score.isNotNull(), r)
 
 

@@ -17,13 +17,23 @@ broadcast form   On request, for a small catalogue: its matrix is broadcast afte
                  its size is checked against ``max_broadcast_bytes``, and every
                  query partition streams past it. Same rows as the blocked form.
 
+pruned form      On request, without groups, for vectors that lie in clusters:
+                 same rows again, but blocks of the catalogue that cannot hold
+                 one of a query's N best are never sent the query (see
+                 ``topk_pruned``).
+
 In a task, ``SLICE`` queries at a time meet ``CHUNK`` catalogue rows, so the
 working memory does not depend on the size of the blocks. A null group matches
 nothing. A query id that occurs in several groups gets its N best in each.
+Vectors that are null, hold null or non-finite components, or are not of the
+catalogue's most common length take no part.
 
 Ranking: similarity rounded to 9 decimals, descending, then catalogue id
 ascending (the reference has no tie-break; Q6). Zero-norm vectors score 0.
 Ids are integers or natural text keys (e.g. the text itself, a catalogue code).
+The last bits of a matrix product depend on its shape, so the scores that are
+returned, and those that stand at a rounding border, are sums in a fixed order:
+all forms and block sizes give the same bits.
 """
 
 from __future__ import annotations
@@ -36,10 +46,10 @@ from pyspark.sql import types as T
 
 from ledgerlink.functions import vectors as V
 from ledgerlink.functions.cols import c, round_half_away
-from ledgerlink.session import bounded_broadcast
+from ledgerlink.session import bounded_broadcast, materialize
 
 RANK_DECIMALS = 9
-SLICE, CHUNK = 512, 4096
+SLICE, CHUNK, PAIRS = 512, 4096, 65_536
 OUT_SCHEMA = "q_id long, rank long, t_id long, similarity double"
 # ids may be integers or text (natural keys); an empty slot sorts after any id
 _TEXT_SENTINEL = "\U0010ffff" * 4
@@ -47,8 +57,16 @@ _TEXT_SENTINEL = "\U0010ffff" * 4
 
 # ------------------------------------------------------------------ numpy kernel
 
+def _row_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products along the last axis, added in the order of the components."""
+    out = np.zeros(a.shape[:-1])
+    for j in range(a.shape[-1]):
+        out += a[..., j] * b[..., j]
+    return out
+
+
 def _unit_rows(m: np.ndarray) -> np.ndarray:
-    n = np.sqrt(np.einsum("ij,ij->i", m, m))
+    n = np.sqrt(_row_products(m, m))
     n[n == 0] = np.inf            # zero vector -> all similarities 0
     return m / n[:, None]
 
@@ -78,17 +96,31 @@ def _k_best(s: np.ndarray, k: int) -> np.ndarray:
     return np.nonzero(keep)[1].reshape(len(s), k)
 
 
-def _merge_topk(best_s, best_i, s, ids, k):
-    """Merge a (n x m) score block, ids ascending, into the running (n x k) best
-    lists. Order: rounded score desc, then id asc. ``best_s`` holds raw scores
-    and -inf for empty slots."""
+def _settle(s: np.ndarray, qu: np.ndarray, tu: np.ndarray, k: int) -> None:
+    """Put the sum in fixed order in the place of each score that may be among a
+    row's k best and lies so near a rounding border that its rank depends on it."""
+    m = s.shape[1]
+    limit = np.partition(s, m - k, axis=1)[:, m - k, None] if m > k else np.full((len(s), 1), -np.inf)
+    rows, cols = np.nonzero((s >= limit - 2 * 10.0 ** -RANK_DECIMALS) & (s > -np.inf))
+    scaled = np.abs(s[rows, cols]) * 10.0 ** RANK_DECIMALS
+    near = np.abs(scaled - np.floor(scaled) - 0.5) < 1e-5
+    rows, cols = rows[near], cols[near]
+    for a in range(0, len(rows), PAIRS):
+        r, t = rows[a:a + PAIRS], cols[a:a + PAIRS]
+        s[r, t] = _row_products(qu[r], tu[t])
+
+
+def _merge_topk(best_s, best_p, s, first, k):
+    """Merge a (n x m) score block of the catalogue rows from ``first`` on into the
+    running (n x k) best lists. Order: rounded score desc, then position (ids
+    ascend with it). ``best_s`` holds -inf for empty slots."""
     cols = _k_best(s, k)
     all_s = np.concatenate([best_s, np.take_along_axis(s, cols, axis=1)], axis=1)
-    all_i = np.concatenate([best_i, ids[cols]], axis=1)
+    all_p = np.concatenate([best_p, first + cols], axis=1)
     key = _rank_key(all_s)
-    # lexsort: last key is primary -> sort by (-key, id)
-    order = np.lexsort((all_i, -key), axis=1)[:, :k]
-    return np.take_along_axis(all_s, order, axis=1), np.take_along_axis(all_i, order, axis=1)
+    # lexsort: last key is primary -> sort by (-key, position)
+    order = np.lexsort((all_p, -key), axis=1)[:, :k]
+    return np.take_along_axis(all_s, order, axis=1), np.take_along_axis(all_p, order, axis=1)
 
 
 def _id_array(col: pd.Series) -> np.ndarray:
@@ -97,36 +129,48 @@ def _id_array(col: pd.Series) -> np.ndarray:
     return col.astype(object).to_numpy()
 
 
-def topk_block(q_ids, q_mat, q_grp, t_ids, t_mat, t_grp, k, exclude_self, chunk=CHUNK):
+def topk_block(q_ids, q_mat, q_grp, t_ids, t_mat, t_grp, k, exclude_self, chunk=CHUNK, unit=False):
     """Top-k of every query row against a catalogue block (numpy), ``SLICE``
-    queries at a time."""
+    queries at a time; ``unit`` says that all vectors have length 1 (or 0)."""
     order = np.argsort(t_ids, kind="stable")
-    t_ids, t_mat, t_grp = t_ids[order], t_mat[order], t_grp[order] if t_grp is not None else None
+    t_ids, tu, t_grp = t_ids[order], t_mat[order], t_grp[order] if t_grp is not None else None
+    if not unit:
+        q_mat, tu = _unit_rows(q_mat), _unit_rows(tu)
     parts = [_topk_slice(q_ids[a:a + SLICE], q_mat[a:a + SLICE], q_grp[a:a + SLICE] if q_grp is not None else None,
-                         t_ids, t_mat, t_grp, k, exclude_self, chunk) for a in range(0, max(1, len(q_ids)), SLICE)]
+                         t_ids, tu, t_grp, k, exclude_self, chunk) for a in range(0, max(1, len(q_ids)), SLICE)]
     return np.concatenate([s for s, _ in parts]), np.concatenate([i for _, i in parts])
 
 
-def _topk_slice(q_ids, q_mat, q_grp, t_ids, t_mat, t_grp, k, exclude_self, chunk):
+def _topk_slice(q_ids, qu, q_grp, t_ids, tu, t_grp, k, exclude_self, chunk):
     n = len(q_ids)
-    best_s = np.full((n, k), -np.inf)
-    if t_ids.dtype == object:
-        best_i = np.full((n, k), _TEXT_SENTINEL, dtype=object)
-    else:
-        best_i = np.full((n, k), np.iinfo(np.int64).max, dtype=np.int64)
+    best_s, best_p = np.full((n, k), -np.inf), np.zeros((n, k), dtype=np.int64)
     if n == 0 or len(t_ids) == 0:
-        return best_s, best_i
-    qu = _unit_rows(q_mat)
+        return best_s, _named(best_s, best_p, t_ids)
     for a in range(0, len(t_ids), chunk):
-        tu = _unit_rows(t_mat[a:a + chunk])
-        s = qu @ tu.T
+        s = qu @ tu[a:a + chunk].T
         ids = t_ids[a:a + chunk]
         if q_grp is not None:
             s[q_grp[:, None] != t_grp[a:a + chunk][None, :]] = -np.inf
         if exclude_self:
             s[q_ids[:, None] == ids[None, :]] = -np.inf
-        best_s, best_i = _merge_topk(best_s, best_i, s, ids, k)
-    return best_s, best_i
+        _settle(s, qu, tu[a:a + chunk], k)
+        best_s, best_p = _merge_topk(best_s, best_p, s, a, k)
+    return _final_scores(best_s, best_p, qu, tu), _named(best_s, best_p, t_ids)
+
+
+def _final_scores(best_s, best_p, qu, tu):
+    """The scores of the kept rows, added in fixed order."""
+    exact = np.stack([_row_products(qu, tu[best_p[:, j]]) for j in range(best_p.shape[1])], axis=1)
+    return np.where(np.isfinite(best_s), exact, -np.inf)
+
+
+def _named(best_s, best_p, t_ids):
+    """Catalogue ids of the kept rows; an id after all others in empty slots."""
+    if t_ids.dtype == object:
+        empty = np.full(best_s.shape, _TEXT_SENTINEL, dtype=object)
+    else:
+        empty = np.full(best_s.shape, np.iinfo(np.int64).max, dtype=np.int64)
+    return np.where(np.isfinite(best_s), t_ids[best_p], empty) if len(t_ids) else empty
 
 
 def _emit(q_ids, best_s, best_i) -> pd.DataFrame:
@@ -148,15 +192,17 @@ def _out_schema(q_type: str, t_type: str) -> str:
     return f"q_id {q_type}, rank long, t_id {t_type}, similarity double"
 
 
-def _prep(df: DataFrame, id_col: str, vec_col: str, grp: str | None) -> DataFrame:
+def _prep(df: DataFrame, id_col: str, vec_col: str, grp: str | None, dim: int) -> DataFrame:
     cols = [c(id_col).cast(_id_type(df, id_col)).alias("_id"), V.as_double_vector(vec_col).alias("_v")]
     cols.append((c(grp).cast("string") if grp else F.lit("")).alias("_g"))
-    return df.select(*cols).where(F.col("_g").isNotNull())
+    finite = F.forall("_v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    return df.select(*cols).where(F.col("_g").isNotNull() & (F.size("_v") == dim) & finite)
 
 
 def vector_dim(df: DataFrame, vec_col: str) -> int:
-    """Dimension of the vectors (from one row: a bounded action)."""
-    r = df.select(F.size(c(vec_col)).alias("d")).where(F.col("d") >= 0).first()
+    """The most common length of the vectors, the greater one of equals; 0 without
+    any."""
+    r = df.select(F.size(c(vec_col)).alias("d")).where(F.col("d") > 0).groupBy("d").count().orderBy(F.desc("count"), F.desc("d")).first()
     return int(r["d"]) if r else 0
 
 
@@ -168,9 +214,9 @@ def collect_catalogue(catalogue: DataFrame, t_id: str, t_vec: str, t_group: str
                       max_bytes: int):
     """The catalogue as numpy arrays if its matrix fits ``max_bytes``, else None.
     Collects at most ``max_bytes / (8 x dim) + 1`` rows (never the whole table)."""
-    dim = max(vector_dim(catalogue, t_vec), 1)
-    bound = max_bytes // (8 * dim)
-    cat = _prep(catalogue, t_id, t_vec, t_group).limit(bound + 1).toPandas()
+    dim = vector_dim(catalogue, t_vec)
+    bound = max_bytes // (8 * max(dim, 1))
+    cat = _prep(catalogue, t_id, t_vec, t_group, dim).limit(bound + 1).toPandas()
     if len(cat) > bound:
         return None
     return (_id_array(cat["_id"]), _stack(cat["_v"], dim), cat["_g"].to_numpy())
@@ -201,9 +247,7 @@ def topk_broadcast(queries: DataFrame, catalogue: DataFrame, k: int, q_id: str,
             yield _emit(qi, bs, bi)
 
     schema = _out_schema(_id_type(queries, q_id), _id_type(catalogue, t_id))
-    return _prep(queries, q_id, q_vec, q_group).mapInPandas(run, schema)
-
-
+    return _prep(queries, q_id, q_vec, q_group, t_mat.shape[1]).mapInPandas(run, schema)
 
 
 def topk_blocked(queries: DataFrame, catalogue: DataFrame, k: int, q_id: str, q_vec: str,
@@ -215,10 +259,11 @@ def topk_blocked(queries: DataFrame, catalogue: DataFrame, k: int, q_id: str, q_
     replicated once per catalogue block of its group, so larger blocks mean
     less shuffle; the bound keeps one block pair in task memory.
     """
+    dim = vector_dim(catalogue, t_vec)
     if block_rows is None:
-        block_rows = max(256, BLOCK_BYTES // (8 * max(vector_dim(catalogue, t_vec), 1)))
-    q = _prep(queries, q_id, q_vec, q_group)
-    t = _prep(catalogue, t_id, t_vec, t_group)
+        block_rows = max(256, BLOCK_BYTES // (8 * max(dim, 1)))
+    q = _prep(queries, q_id, q_vec, q_group, dim)
+    t = _prep(catalogue, t_id, t_vec, t_group, dim)
     schema = _out_schema(_id_type(queries, q_id), _id_type(catalogue, t_id))
     # per-group block counts: one row per group, from a partial aggregation
     qn = q.groupBy("_g").agg(F.count(F.lit(1)).alias("_nq"))
@@ -256,10 +301,204 @@ def topk_blocked(queries: DataFrame, catalogue: DataFrame, k: int, q_id: str, q_
     partial = (qb.groupBy("_g", "_qb", "_tb")
                .cogroup(tb.groupBy("_g", "_qb", "_tb"))
                .applyInPandas(run, schema + ", _g string"))
-    w = Window.partitionBy("_g", "q_id").orderBy(
+    return _best(partial, k, "_g").drop("_g")
+
+
+def _best(partial: DataFrame, k: int, *keys: str) -> DataFrame:
+    """The k best of each query's partial lists."""
+    w = Window.partitionBy(*keys, "q_id").orderBy(
         F.desc(round_half_away(F.col("similarity"), RANK_DECIMALS)), F.asc("t_id"))
-    return (partial.withColumn("rank", F.row_number().over(w).cast("long"))
-            .where(F.col("rank") <= k).drop("_g"))
+    return partial.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
+
+
+# ------------------------------------------------------------------ pruned form
+
+PIVOTS, PIVOT_SAMPLE, BANDS = 64, 512, 16
+#: Above the rounding of angles and of ranks.
+MARGIN = 1e-7
+
+
+class AngleCells:
+    """Cells of the catalogue: nearest pivot and band of the angle to it, with the
+    smallest and largest angle and the number of rows of each cell that is not
+    empty, and the blocks they are dealt to. At most PIVOTS x BANDS + 1 cells."""
+
+    def __init__(self, pivots: np.ndarray):
+        self.pivots = pivots
+
+    def angles(self, unit: np.ndarray) -> np.ndarray:
+        return np.arccos(np.clip(unit @ self.pivots.T, -1.0, 1.0))
+
+    def place(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(cell, angle to its pivot) of each row; vectors of length zero have a
+        cell of their own."""
+        a = self.angles(unit)
+        p = a.argmin(axis=1)
+        angle = a[np.arange(len(a)), p]
+        band = np.minimum((angle / np.pi * BANDS).astype(np.int64), BANDS - 1)
+        return np.where(unit.any(axis=1), p * BANDS + band, len(self.pivots) * BANDS), angle
+
+    def deal(self, cells: np.ndarray, low: np.ndarray, high: np.ndarray, rows: np.ndarray, block_rows: int) -> None:
+        """Neighbouring cells share a block of about ``block_rows`` rows, a larger
+        cell is split over several."""
+        self.cells, self.low, self.high, self.rows = cells, low, high, rows
+        self.first, self.splits, self.n_blocks, held = np.zeros(len(cells), np.int64), np.ones(len(cells), np.int64), 0, 0
+        for i, n in enumerate(rows.tolist()):
+            if not self.n_blocks or held + n > block_rows:
+                held = 0
+                self.first[i] = self.n_blocks
+                self.splits[i] = max(1, -(-n // block_rows))
+                self.n_blocks += int(self.splits[i])
+                held = n if self.splits[i] == 1 else block_rows
+            else:
+                self.first[i], held = self.n_blocks - 1, held + n
+
+    def reach(self, unit: np.ndarray) -> np.ndarray:
+        """(queries x cells) the most that a cosine with a row of the cell can be."""
+        p = np.minimum(self.cells // BANDS, len(self.pivots) - 1)
+        a = self.angles(unit)[:, p]
+        out = np.cos(np.clip(np.maximum(self.low - a, a - self.high), 0.0, np.pi))
+        out[:, self.cells == len(self.pivots) * BANDS] = 0.0
+        out[~unit.any(axis=1)] = 0.0
+        return out
+
+
+def _spread(rows: np.ndarray, n: int) -> np.ndarray:
+    """n of the rows, each the one with the largest angle to those before."""
+    taken, best = [0], rows @ rows[0]
+    while len(taken) < min(n, len(rows)):
+        taken.append(int(best.argmin()))
+        best = np.maximum(best, rows @ rows[taken[-1]])
+    return rows[taken]
+
+
+def _unit_column(pdf: pd.DataFrame, dim: int) -> np.ndarray:
+    return np.frombuffer(b"".join(pdf["_u"]), dtype=np.float64).reshape(-1, dim)
+
+
+def _meet(asked: DataFrame, indexed: DataFrame, block_rows: int, run, schema: str) -> DataFrame:
+    """Cogroup of queries and catalogue rows of each block. A block that many
+    queries ask for is repeated for every ``block_rows`` of them."""
+    n = asked.groupBy("_b").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_n"))
+    n = bounded_broadcast(n, 1_000_000)                                   # one row per block
+    q = asked.join(n, "_b").withColumn("_s", F.pmod(F.xxhash64("_id"), F.col("_n")).cast("int")).drop("_n")
+    t = indexed.join(n, "_b").withColumn("_s", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).drop("_n")
+    return q.groupBy("_b", "_s").cogroup(t.groupBy("_b", "_s")).applyInPandas(run, schema)
+
+
+def _pruned_parts(queries: DataFrame, catalogue: DataFrame, k: int, q_id: str, q_vec: str, t_id: str, t_vec: str,
+                  exclude_self: bool, block_rows: int | None):
+    """(cells, stored queries, stored catalogue rows, stored (query, block) pairs
+    that can matter), or None without a usable row."""
+    dim = vector_dim(catalogue, t_vec)
+    if block_rows is None:
+        block_rows = max(256, BLOCK_BYTES // (8 * max(dim, 1)))
+    q, t = _prep(queries, q_id, q_vec, None, dim).drop("_g"), _prep(catalogue, t_id, t_vec, None, dim).drop("_g")
+    sample = t.orderBy(F.xxhash64("_id"), "_id").limit(PIVOT_SAMPLE).select("_v").toPandas()["_v"]
+    units = _unit_rows(_stack(sample, dim))
+    units = units[units.any(axis=1)] if len(units) else units
+    if not len(sample):
+        return None
+    cells = AngleCells(_spread(units, PIVOTS) if len(units) else np.zeros((1, dim)))
+    q_type, t_type = _id_type(queries, q_id), _id_type(catalogue, t_id)
+
+    def index(batches):
+        for pdf in batches:
+            u = _unit_rows(_stack(pdf["_v"], dim))
+            cell, angle = cells.place(u)
+            yield pd.DataFrame({"_id": pdf["_id"], "_u": [r.tobytes() for r in u], "_cell": cell, "_angle": angle})
+
+    schema = "_id {}, _u binary, _cell int, _angle double"
+    rows = materialize(t.mapInPandas(index, schema.format(t_type)), "similarity-index")
+    stats = rows.groupBy("_cell").agg(F.min("_angle").alias("low"), F.max("_angle").alias("high"), F.count(F.lit(1)).alias("n")).orderBy("_cell").toPandas()
+    cells.deal(stats["_cell"].to_numpy(), stats["low"].to_numpy(), stats["high"].to_numpy(), stats["n"].to_numpy(), block_rows)
+    where = {int(x): (int(a), int(n)) for x, a, n in zip(cells.cells, cells.first, cells.splits)}
+
+    def block(batches):
+        for pdf in batches:
+            at = np.array([where[x] for x in pdf["_cell"].tolist()], dtype=np.int64).reshape(-1, 2)
+            pdf["_b"] = (at[:, 0] + pdf["_h"].to_numpy() % at[:, 1]).astype(np.int32)
+            yield pdf[["_b", "_id", "_u", "_cell"]]
+
+    spread = F.pmod(F.xxhash64("_id"), F.lit(1 << 30)).alias("_h")
+    indexed = rows.select("_id", "_u", "_cell", spread).mapInPandas(block, f"_b int, _id {t_type}, _u binary, _cell int")
+
+    def home(batches):
+        for pdf in batches:
+            u = _unit_rows(_stack(pdf["_v"], dim))
+            best = cells.reach(u).argmax(axis=1) if len(u) else np.zeros(0, np.int64)
+            b = cells.first[best] + pdf["_h"].to_numpy() % cells.splits[best]
+            yield pd.DataFrame({"_b": b.astype(np.int32), "_id": pdf["_id"], "_u": [r.tobytes() for r in u]})
+
+    ask = materialize(q.select("_id", "_v", spread).mapInPandas(home, f"_b int, _id {q_type}, _u binary"), "similarity-queries")
+
+    def pilot(_key, qp: pd.DataFrame, tp: pd.DataFrame) -> pd.DataFrame:
+        if len(qp) and len(tp):
+            s, _ = topk_block(_id_array(qp["_id"]), _unit_column(qp, dim), None, _id_array(tp["_id"]), _unit_column(tp, dim), None, k, exclude_self, unit=True)
+            qp["_least"] = s[:, k - 1]
+        else:
+            qp["_least"] = -np.inf
+        return qp[["_b", "_id", "_u", "_least"]]
+
+    # every query's n-th best score in its nearest block: at least that much is needed elsewhere
+    known = _meet(ask, indexed, block_rows, pilot, f"_b int, _id {q_type}, _u binary, _least double")
+
+    def route(batches):
+        for pdf in batches:
+            for a in range(0, len(pdf), SLICE):
+                some = pdf.iloc[a:a + SLICE]
+                can = cells.reach(_unit_column(some, dim)) >= some["_least"].to_numpy()[:, None] - MARGIN
+                flags = np.zeros((len(some), cells.n_blocks + 1), dtype=np.int32)
+                # + 1 where a cell's run of blocks begins, - 1 behind it
+                for i in range(len(cells.cells)):
+                    flags[can[:, i], cells.first[i]] += 1
+                    flags[can[:, i], cells.first[i] + cells.splits[i]] -= 1
+                rows_, blocks = np.nonzero(np.cumsum(flags, axis=1)[:, :-1] > 0)
+                yield pd.DataFrame({"_b": blocks.astype(np.int32), "_id": some["_id"].to_numpy()[rows_], "_u": some["_u"].to_numpy()[rows_],
+                                    "_least": some["_least"].to_numpy()[rows_]})
+
+    routed = materialize(known.mapInPandas(route, f"_b int, _id {q_type}, _u binary, _least double"), "similarity-routes")
+    return cells, dim, block_rows, indexed, routed
+
+
+def topk_pruned(queries: DataFrame, catalogue: DataFrame, k: int, q_id: str, q_vec: str, t_id: str, t_vec: str,
+                exclude_self: bool = False, block_rows: int | None = None) -> DataFrame:
+    """Pruned form: the rows of ``topk_blocked``, for vectors that lie in clusters.
+
+    Up to ``PIVOTS`` rows of a bounded sample, far from each other, are pivots. A
+    catalogue row's cell is its nearest pivot and the band of its angle to it.
+    The angle between a query and a row of a cell is at least the difference of
+    their angles to the pivot, so a cell has a highest cosine for each query. A
+    pilot pass searches the one block where that is highest; the n-th best score
+    found there is a lower bound, and the query is sent only to blocks that can
+    reach it. Where vectors have no clusters every block stays in reach and the
+    blocked form is the cheaper one."""
+    schema = _out_schema(_id_type(queries, q_id), _id_type(catalogue, t_id))
+    parts = _pruned_parts(queries, catalogue, k, q_id, q_vec, t_id, t_vec, exclude_self, block_rows)
+    if parts is None:
+        return queries.sparkSession.createDataFrame([], schema)
+    _, dim, block_rows, indexed, routed = parts
+
+    def run(_key, qp: pd.DataFrame, tp: pd.DataFrame) -> pd.DataFrame:
+        qi, ti = _id_array(qp["_id"]), _id_array(tp["_id"])
+        if not len(qi) or not len(ti):
+            return pd.DataFrame({"q_id": qi[:0], "rank": np.zeros(0, np.int64), "t_id": ti[:0], "similarity": np.zeros(0)})
+        s, i = topk_block(qi, _unit_column(qp, dim), None, ti, _unit_column(tp, dim), None, k, exclude_self, unit=True)
+        return _emit(qi, s, i)
+
+    return _best(_meet(routed.drop("_least"), indexed, block_rows, run, schema), k)
+
+
+def pruned_pairs(queries: DataFrame, catalogue: DataFrame, k: int, q_id: str, q_vec: str, t_id: str, t_vec: str,
+                 exclude_self: bool = False, block_rows: int | None = None) -> tuple[int, int]:
+    """(pairs of queries and catalogue rows that the pruned form visits, all pairs)."""
+    parts = _pruned_parts(queries, catalogue, k, q_id, q_vec, t_id, t_vec, exclude_self, block_rows)
+    if parts is None:
+        return 0, 0
+    _, _, _, indexed, routed = parts
+    rows = indexed.groupBy("_b").agg(F.count(F.lit(1)).alias("n"))
+    visited = routed.groupBy("_b").agg(F.count(F.lit(1)).alias("q")).join(rows, "_b").agg(F.sum(F.col("q") * F.col("n"))).first()[0]
+    return visited or 0, routed.select("_id").distinct().count() * (rows.agg(F.sum("n")).first()[0] or 0)
 
 
 def topk_cosine(queries: DataFrame, catalogue: DataFrame, k: int, q_id: str, q_vec: str,
@@ -270,8 +509,13 @@ def topk_cosine(queries: DataFrame, catalogue: DataFrame, k: int, q_id: str, q_v
 
     Returns ``(q_id, rank, t_id, similarity)``. ``mode`` is ``blocked`` (also
     under its old name ``auto``) or, on request, ``broadcast``, which raises for a
-    catalogue matrix above ``max_broadcast_bytes``. Both give the same rows.
+    catalogue matrix above ``max_broadcast_bytes``, or ``pruned``, which takes no
+    groups. All give the same rows.
     """
+    if mode == "pruned":
+        if q_group or t_group:
+            raise ValueError("the pruned form takes no groups")
+        return topk_pruned(queries, catalogue, k, q_id, q_vec, t_id, t_vec, exclude_self, block_rows)
     args = (queries, catalogue, k, q_id, q_vec, t_id, t_vec, q_group, t_group, exclude_self)
     if mode == "broadcast":
         collected = collect_catalogue(catalogue, t_id, t_vec, t_group, max_broadcast_bytes)

@@ -44,8 +44,8 @@ res AS (SELECT p.l_orderkey, p.l_linenumber, b.cat_code AS matched_code, b.sim,
                p.amount * {_RATE} / {_DEFL} AS defl, k.ef, k.unc_attr + CAST(0.8 AS DOUBLE) * k.unc_80 AS unc
         FROM job p JOIN best b ON b.txt = p.txt {_RATE_JOIN} {_DEFL_JOIN} LEFT JOIN catalogue k ON k.cat_code = b.cat_code)
 SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, matched_code, round(sim, 6) AS match_similarity,
-       CAST(CASE WHEN sim < 0 THEN 1 ELSE least(floor(sim * 5) + 1, 5) END AS BIGINT) AS "Rating",
-       CASE WHEN sim < 0 THEN 1 ELSE least(floor(sim * 5) + 1, 5) END = 1 AS "Flag",
+       CAST(CASE WHEN round(sim, 9) < 0 THEN 1 ELSE least(floor(round(sim, 9) * 5) + 1, 5) END AS BIGINT) AS "Rating",
+       CASE WHEN round(sim, 9) < 0 THEN 1 ELSE least(floor(round(sim, 9) * 5) + 1, 5) END = 1 AS "Flag",
        round(eur, 6) AS amount_eur, round(defl, 6) AS amount_deflated, round(defl * ef, 6) AS co2e, round(defl * ef * unc, 6) AS uncertainty
 FROM res""")
 

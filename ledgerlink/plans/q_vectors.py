@@ -57,7 +57,7 @@ def _topk_out(df):
 
 @register("cosine_topk", B.with_sql(SQL_E, SQL_TOPK, SQL_TOPK_OUT))
 def cosine_topk(spark, sf):
-    """J9, default form: catalogue matrix broadcast after a size check."""
+    """J9, default form: block x block."""
     return _topk_out(_topk(spark, sf, "auto"))
 
 
@@ -71,6 +71,15 @@ def cosine_topk_blocked(spark, sf):
     return _topk_out(top)
 
 
+@register("cosine_topk_pruned", B.with_sql(SQL_E, SQL_TOPK, SQL_TOPK_OUT))
+def cosine_topk_pruned(spark, sf):
+    """J9, pruned form: a pilot pass, then only the blocks whose angles to their
+    pivots can reach a query's n-th score; small blocks, so that there are some
+    to leave out."""
+    e = _emb(spark, sf)
+    return _topk_out(SIM.topk_cosine(e, e, TOP_N, "vec_id", "embedding", "vec_id", "embedding", exclude_self=True, mode="pruned", block_rows=256))
+
+
 @register("cosine_pairs", B.with_sql(SQL_E, SQL_MEANS, """
 SELECT vec_id, label, round(list_cosine_similarity(v, mean), 6) AS similarity FROM e JOIN mv USING (label)"""))
 def cosine_pairs(spark, sf):
@@ -211,10 +220,10 @@ def choose_match(spark, sf):
 
 @register("flag_mismatches", B.with_sql(SQL_E, SQL_TOPK, SQL_CHOICE, """
 SELECT e.vec_id, b.t_id AS chosen_id,
-       CAST(CASE WHEN b.sim IS NULL THEN NULL WHEN b.sim < 0 THEN 1
-                 ELSE least(floor(b.sim * 5) + 1, 5) END AS BIGINT) AS Rating,
-       coalesce(CASE WHEN b.sim IS NULL THEN NULL WHEN b.sim < 0 THEN 1
-                     ELSE least(floor(b.sim * 5) + 1, 5) END = 1, false) AS Flag
+       CAST(CASE WHEN b.sim IS NULL THEN NULL WHEN round(b.sim, 9) < 0 THEN 1
+                 ELSE least(floor(round(b.sim, 9) * 5) + 1, 5) END AS BIGINT) AS Rating,
+       coalesce(CASE WHEN b.sim IS NULL THEN NULL WHEN round(b.sim, 9) < 0 THEN 1
+                     ELSE least(floor(round(b.sim, 9) * 5) + 1, 5) END = 1, false) AS Flag
 FROM e LEFT JOIN best b ON b.q_id = e.vec_id"""))
 def flag_mismatches(spark, sf):
     """M7: rating 1-5 of the chosen match's cosine, flag = rating 1, joined

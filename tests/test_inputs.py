@@ -120,7 +120,7 @@ def test_both_forms_of_the_similarity_join_give_the_same_rows(spark):
     t = _vectors(spark, 90, ["a", None, "b", "c"], 3, first=1000)
     forms = [sorted(map(tuple, SIM.topk_cosine(q, t, 3, "id", "v", "id", "v", "g", "g", mode=m, block_rows=b).collect()))
              for m, b in (("broadcast", None), ("blocked", None), ("blocked", 7))]
-    assert forms[0] == forms[1] == forms[2] and forms[0]
+    assert forms[0] == forms[1] == forms[2] and forms[0]                     # equal to the last bit
     nulls = {r["id"] for r in q.where("g IS NULL").collect()} - {0, 1, 2, 3}
     assert not nulls & {r[0] for r in forms[0]}
 
