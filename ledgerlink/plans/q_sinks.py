@@ -39,6 +39,15 @@ def scan_skip_preamble(spark, sf):
     return FS.read_csv_skip_preamble(spark, path, skip=len(PREAMBLE))
 
 
+@register("scan_quoted_records", """
+SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn, role, nullif(text, '') AS text FROM conversations""")
+def scan_quoted_records(spark, sf):
+    """CSV files whose quoted fields hold line ends, read back by record."""
+    path = scratch_path(spark, "quoted-csv")
+    FS.write_csv_with_preamble(B.table(spark, sf, "conversations").select("conv_id", "turn", "role", "text"), path, PREAMBLE)
+    return FS.read_csv_skip_preamble(spark, path, skip=len(PREAMBLE))
+
+
 @register("sink_roundtrip", B.with_sql(B.SQL_PURCHASES, """
 SELECT l_orderkey, l_linenumber, currency, cat_code, amount FROM purchases"""))
 def sink_roundtrip(spark, sf):

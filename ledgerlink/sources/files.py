@@ -7,13 +7,17 @@ containers are not read (no reader on the classpath): export sheets to CSV.
 
 from __future__ import annotations
 
+import csv
+import io
+
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlink.functions.cols import c, nan_to_null
-from ledgerlink.session import bounded_broadcast
+from ledgerlink.session import materialize
 
 
 def scan(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
@@ -26,30 +30,160 @@ def scan(spark: SparkSession, path: str, schema: T.StructType | str | None = Non
     return r.load(path)
 
 
+def _after_line(line: str, inside: bool, sep: str) -> bool:
+    """Whether a quoted field is open behind a line, if one is ``inside`` before it
+    or not. A quote opens a field only as its first character, and two of them
+    inside a field are one."""
+    at = 0
+    while True:
+        if not inside and at < len(line) and line[at] == '"':
+            inside, at = True, at + 1
+        if inside:
+            while True:
+                at = line.find('"', at)
+                if at < 0:
+                    return True
+                if line[at + 1:at + 2] != '"':
+                    break
+                at += 2
+            inside = False
+        at = line.find(sep, at)
+        if at < 0:
+            return False
+        at += 1
+
+
+def _split_runs(batches, *columns):
+    """(file, split, rest of the row's columns as lists, whether it begins the split)
+    of consecutive lines of one split."""
+    last = None
+    for pdf in batches:
+        files, blocks = pdf["_f"].to_numpy(), pdf["_b"].to_numpy()
+        edges = [0, *(np.flatnonzero((files[1:] != files[:-1]) | (blocks[1:] != blocks[:-1])) + 1).tolist(), len(pdf)] if len(pdf) else []
+        for a, b in zip(edges, edges[1:]):
+            key = (files[a], int(blocks[a]))
+            yield *key, [pdf[x].iloc[a:b].tolist() for x in columns], key != last
+            last = key
+
+
+def _quote_states(lines: DataFrame, skip: int, sep: str) -> DataFrame:
+    """One row per split, stored: ``inside``, whether it begins inside a quoted
+    field; ``owner``, the earlier split where the record open at its border began;
+    ``ends_inside``.
+
+    A split maps the state before it (outside or inside a quoted field) to the
+    one behind it. It either keeps or flips the state, or sets it; so the state
+    before a split is the value last set, flipped by the parity of the flips
+    since: a running XOR over one row per split of the file."""
+    def scan_splits(batches):
+        f = b = None
+        for f_, b_, (values,), new in _split_runs(batches, "value"):
+            if new:
+                if f is not None:
+                    yield pd.DataFrame({"_f": [f], "_b": [b], "end0": [s[0]], "end1": [s[1]], "has0": [has[0]], "has1": [has[1]]})
+                f, b, n, s, has = f_, b_, 0, [False, True], [False, False]
+            for line in values:
+                n += 1
+                if b == 0 and n <= skip:
+                    continue
+                for i in (0, 1):
+                    has[i] = has[i] or not s[i]
+                    if '"' in line:
+                        s[i] = _after_line(line, s[i], sep)
+        if f is not None:
+            yield pd.DataFrame({"_f": [f], "_b": [b], "end0": [s[0]], "end1": [s[1]], "has0": [has[0]], "has1": [has[1]]})
+
+    ends = lines.select("value", "_f", "_b").mapInPandas(scan_splits, "_f string, _b long, end0 boolean, end1 boolean, has0 boolean, has1 boolean")
+    flip, value = (~F.col("end1")).cast("int"), F.col("end0").cast("int")
+    sets = F.col("end0") == F.col("end1")
+    to_here = Window.partitionBy("_f").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("_f").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    x = ends.withColumn("_x", F.sum(F.when(sets, F.lit(0)).otherwise(flip)).over(to_here) % 2)
+    x = x.withColumn("_set", F.when(sets, value.bitwiseXOR(F.col("_x").cast("int"))))
+    x = x.withColumn("ends_inside", F.coalesce(F.last("_set", ignorenulls=True).over(to_here), F.lit(0)).bitwiseXOR(F.col("_x").cast("int")) == 1)
+    x = x.withColumn("inside", F.coalesce(F.lag("ends_inside").over(Window.partitionBy("_f").orderBy("_b")), F.lit(False)))
+    begins = F.when(F.when(F.col("inside"), F.col("has1")).otherwise(F.col("has0")), F.col("_b"))
+    x = x.withColumn("owner", F.last(begins, ignorenulls=True).over(before))
+    return materialize(x.select("_f", "_b", "inside", "ends_inside", "owner"), "csv-splits")
+
+
+MOST_SPLITS = 1_000_000
+
+
+def read_csv_records(spark: SparkSession, path: str, skip: int = 0, sep: str = ",") -> DataFrame:
+    """(record, head) of CSV text files whose first ``skip`` lines are a preamble:
+    each record as it stands, with the line ends inside its quoted fields, and
+    whether it is the first of its file. Files are split like any text file.
+
+    A first pass reduces each split to the quote state behind it, one row each
+    (see ``_quote_states``). In the second, lines are joined to records inside
+    their split; only the records that lie across a border are put together from
+    their pieces by a shuffle. Lines of the preamble hold no fields and must lie in
+    the file's first split. Empty records are dropped; a quote that is never
+    closed takes the rest of its file."""
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        "value", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_i"))
+    splits = _quote_states(lines, skip, sep)
+    few = splits.limit(MOST_SPLITS + 1).count() <= MOST_SPLITS
+
+    def with_state(chosen: DataFrame) -> DataFrame:
+        if few:                                          # a broadcast join leaves lines in their order
+            return lines.join(F.broadcast(chosen), ["_f", "_b"])
+        return lines.join(chosen, ["_f", "_b"]).repartition("_f", "_b").sortWithinPartitions("_f", "_b", "_i")
+
+    def cut(batches):
+        held: list[str] = []
+        f = b = None
+        for f_, b_, (values, insides, owners), new in _split_runs(batches, "value", "inside", "owner"):
+            out = []
+            if new:
+                if held:
+                    out.append((f, key, b, head, not inside, "\n".join(held)))
+                f, b, n, held, inside, head = f_, b_, 0, [], bool(insides[0]), False
+                key, lead, first = (int(owners[0]) if inside else b), inside, b == 0 and not inside
+            for line in values:
+                n += 1
+                if b == 0 and n <= skip:
+                    continue
+                if held and not inside:
+                    out.append((f, key, b, head, not lead, "\n".join(held)))
+                    held, key, lead = [], b, False
+                if not held and not lead:
+                    head, first = first, False
+                held.append(line)
+                if '"' in line:
+                    inside = _after_line(line, inside, sep)
+            yield pd.DataFrame(out, columns=names)
+        if held:
+            yield pd.DataFrame([(f, key, b, head, not inside and not lead, "\n".join(held))], columns=names)
+
+    names = ["_f", "_key", "_b", "head", "whole", "record"]
+    schema = "_f string, _key long, _b long, head boolean, whole boolean, record string"
+    columns = ["_f", "_b", "value", "inside", "owner"]
+    whole = with_state(splits).select(*columns).mapInPandas(cut, schema).where("whole")
+    over = splits.where("inside OR ends_inside")
+    pieces = with_state(over).select(*columns).mapInPandas(cut, schema).where("NOT whole")
+    joined = pieces.groupBy("_f", "_key").agg(F.sort_array(F.collect_list(F.struct("_b", "record"))).alias("_p"), F.max("head").alias("head"))
+    joined = joined.select(F.array_join(F.col("_p.record"), "\n").alias("record"), "head")
+    out = whole.select("record", "head").unionByName(joined)
+    return out.select(F.regexp_replace("record", "\r$", "").alias("record"), "head").where(F.length("record") > 0)
+
+
 def read_csv_skip_preamble(spark: SparkSession, path: str, skip: int, sep: str = ",") -> DataFrame:
     """CSV files whose first ``skip`` lines are a preamble, then a header.
 
-    Per file: the first split of a file (``_metadata.file_block_start = 0``)
-    holds its preamble; the line number inside that split comes from the
-    partition-local position (``monotonically_increasing_id``) minus the
-    smallest position of that file's first split. Lines of later splits are
-    data. The header (line ``skip``) names the columns; every column is text.
-    Nothing is collected except the one header line.
+    Records end at line ends outside quoted fields only (``read_csv_records``). The
+    header names the columns; every column is text. Nothing is collected except
+    one header record.
     """
-    raw = (spark.read.text(path)
-           .select("value", F.col("_metadata.file_path").alias("_f"),
-                   F.col("_metadata.file_block_start").alias("_b"),
-                   F.monotonically_increasing_id().alias("_i")))
-    first = raw.where(F.col("_b") == 0).groupBy("_f").agg(F.min("_i").alias("_i0"))
-    lined = raw.join(bounded_broadcast(first, 1_000_000), "_f", "left").withColumn(
-        "_line", F.when(F.col("_b") == 0, F.col("_i") - F.col("_i0")))
-    header = lined.where(F.col("_line") == skip).select("value").first()
+    records = read_csv_records(spark, path, skip, sep)
+    header = records.where("head").select("record").first()
     if header is None:
         return spark.createDataFrame([], T.StructType([]))
-    names = [h.strip() for h in header["value"].split(sep)]
-    schema = ", ".join(f"`{n}` string" for n in names)
-    body = lined.where(F.col("_line").isNull() | (F.col("_line") > skip))
-    parsed = body.select(F.from_csv("value", schema, {"sep": sep, "escape": '"'}).alias("_r"))
+    names = [h.strip() for h in next(csv.reader(io.StringIO(header["record"], newline=""), delimiter=sep))]
+    schema = ", ".join("`" + n.replace("`", "``") + "` string" for n in names)
+    body = records.where(~F.col("head"))
+    parsed = body.select(F.from_csv("record", schema, {"sep": sep, "escape": '"', "multiLine": "true", "lineSep": "\n"}).alias("_r"))
     return parsed.select(*[F.col("_r")[n].alias(n) for n in names])
 
 
@@ -58,9 +192,10 @@ def write_csv_with_preamble(df: DataFrame, path: str, preamble: list[str], sep:
     a header (the layout of exported spreadsheets)."""
     cols = df.columns
     header = sep.join(cols)
-    # quoted where a value holds the separator or a quote
+    # quoted where a value holds the separator, a quote or a line end
     row = F.struct(*[c(x).cast("string").alias(x) for x in cols])
-    lines = df.select(F.to_csv(row, {"sep": sep, "nullValue": "", "emptyValue": "", "escape": '"'}).alias("value"))
+    lines = df.select(F.to_csv(row, {"sep": sep, "nullValue": "", "emptyValue": "", "escape": '"',
+                                    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}).alias("value"))
 
     def with_preamble(batches):
         first = True
