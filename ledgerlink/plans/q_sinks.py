@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlink.operators import embed as EM
 from ledgerlink.operators import relational as RL
+from ledgerlink.operators import stages as ST
 from ledgerlink.plans import bindings as B
 from ledgerlink.plans.registry import register
 from ledgerlink.session import scratch_path
@@ -104,12 +105,17 @@ SELECT text, text IN (SELECT p_type FROM part) AS from_cache,
                           for ch in "abcdefghijklmnopqrstuvwxyz0123456789") + """],
          lambda x: CAST(x AS VARCHAR)), ',') AS embedding FROM t""")
 def embedding_cache_merge(spark, sf):
-    """A stage cache seeded with the category texts; merging all article
-    and category texts embeds only the articles and reuses the rest."""
+    """A stage cache seeded with the category texts, twice (the second commit
+    finds the first); merging all article and category texts embeds only the
+    articles and reuses the rest. The merged result is a stage of its own, keyed
+    by its input's fingerprint, and is read back by the second call."""
     path = scratch_path(spark, "embed-cache")
     part = B.table(spark, sf, "part")
     seed = part.select(F.col("p_type").alias("text")).distinct()
-    EM.write_cache(EM.char_profile_vectors(seed), path, MODEL)
+    for _ in range(2):
+        EM.write_cache(EM.char_profile_vectors(seed), path, MODEL)
     texts = part.select(F.col("p_name").alias("text")).union(part.select("p_type")).distinct()
-    allv, new = EM.merge_with_cache(texts, path, MODEL, EM.char_profile_vectors)
-    return allv.select("text", "from_cache", _profile_text(F.col("embedding")).alias("embedding"))
+    stages = ST.StageStore(spark, scratch_path(spark, "stages"))
+    for _ in range(2):
+        merged = stages.reuse("merged", [texts], lambda t: EM.merge_with_cache(t, path, MODEL, EM.char_profile_vectors)[0], "1", {"model": MODEL})
+    return merged.select("text", "from_cache", _profile_text(F.col("embedding")).alias("embedding"))
