@@ -38,6 +38,41 @@ def kmeans_fit(spark, sf):
     return assigned
 
 
+BLOCKS = 4
+
+
+def _sql_minibatch() -> str:
+    """Partial fits over BLOCKS blocks, one group of tables each."""
+    sq = "list_sum(list_transform(list_zip({v}, {c}), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+
+    def nearest(rows: str, cents: str) -> str:
+        d = sq.format(v="r.v", c="k.c")
+        return f"SELECT vec_id, any_value(v) AS v, arg_min(cluster, (round(d, 9), cluster)) AS cluster, min(d) AS sqdist FROM (SELECT r.vec_id, r.v, k.cluster, {d} AS d FROM {rows} r, {cents} k) GROUP BY vec_id"
+
+    steps = [f"""r AS (SELECT vec_id, v, CAST(floor((row_number() OVER (ORDER BY vec_id) - 1) / greatest(1, ceil(count(*) OVER () / {BLOCKS}.0))) AS INT) AS b FROM e),
+c0 AS (SELECT row_number() OVER (ORDER BY md5(CAST(vec_id AS VARCHAR)), vec_id) - 1 AS cluster, CAST(0 AS BIGINT) AS n, v AS c FROM e QUALIFY cluster < {S.n_clusters})"""]
+    for b in range(BLOCKS):
+        steps.append(f"""a{b} AS MATERIALIZED ({nearest(f"(SELECT * FROM r WHERE b = {b})", f"c{b}")}),
+s{b} AS (SELECT cluster, pos, sum(x) AS s, count(*) AS m FROM (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM a{b}) GROUP BY cluster, pos),
+v{b} AS (SELECT cluster, list(s ORDER BY pos) AS s, any_value(m) AS m FROM s{b} GROUP BY cluster),
+c{b + 1} AS MATERIALIZED (SELECT k.cluster, k.n + coalesce(v.m, 0) AS n,
+  CASE WHEN v.m IS NULL THEN k.c ELSE list_transform(list_zip(k.c, v.s), lambda z: (z[1] * k.n + z[2]) / (k.n + v.m)) END AS c
+  FROM c{b} k LEFT JOIN v{b} v ON v.cluster = k.cluster)""")
+    steps.append(f"f AS ({nearest('e', f'c{BLOCKS}')})")
+    return ", ".join(steps)
+
+
+@register("kmeans_minibatch", B.with_sql(SQL_E, _sql_minibatch(), f"""
+SELECT f.vec_id, f.cluster, round(f.sqdist, 6) AS sqdist, CAST(k.n AS BIGINT) AS rows_taken_in FROM f JOIN c{BLOCKS} k ON k.cluster = f.cluster"""))
+def kmeans_minibatch(spark, sf):
+    """M2: partial fits over four ordered blocks of all vectors, then every
+    vector's nearest centroid."""
+    e = _emb(spark, sf)
+    n = e.count()
+    a, cents = CL.minibatch_fit(e, "vec_id", "embedding", S.n_clusters, block_rows=max(1, -(-n // BLOCKS)), max_blocks=BLOCKS)
+    return join_back(a, cents.select("cluster", F.col("n").alias("rows_taken_in")), "cluster").select("vec_id", "cluster", R("sqdist", 6).alias("sqdist"), "rows_taken_in")
+
+
 @register("kmeans_step", B.with_sql(SQL_E, SQL_LONG, """
 SELECT vec_id, arg_min(cluster, (round(sqdist, 9), cluster)) AS cluster, round(min(sqdist), 6) AS sqdist
 FROM d GROUP BY vec_id"""))
@@ -61,11 +96,31 @@ def cluster_reps_nearest(spark, sf):
     return r.select("label", "rank", "vec_id", R("sqdist", 6).alias("sqdist"))
 
 
-@register("cluster_reps_subcluster")
+SUB_STEPS = 5
+
+
+def _sql_subclusters() -> str:
+    """Lloyd steps on (cluster, sub-centroid) keys."""
+    k, parts = S.reps_per_cluster, [f"""size AS (SELECT label, count(*) AS n FROM e GROUP BY label),
+o AS (SELECT e.*, row_number() OVER (PARTITION BY label ORDER BY md5(CAST(vec_id AS VARCHAR)), vec_id) - 1 AS i FROM e),
+c0 AS (SELECT label, i AS sub, v AS c FROM o WHERE i < {S.reps_per_cluster})"""]
+    d = "list_sum(list_transform(list_zip(e.v, k.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    for i in range(SUB_STEPS + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (SELECT vec_id, label, any_value(v) AS v, arg_min(sub, (d, sub)) AS sub, min(d) AS d
+  FROM (SELECT e.vec_id, e.label, e.v, k.sub, {d} AS d FROM e JOIN c{i} k ON k.label = e.label) GROUP BY vec_id, label)""")
+        if i < SUB_STEPS:
+            parts.append(f"""c{i + 1} AS MATERIALIZED (SELECT label, sub, list(m ORDER BY pos) AS c FROM (
+  SELECT label, sub, pos, avg(x) AS m FROM (SELECT label, sub, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM a{i}) GROUP BY label, sub, pos) GROUP BY label, sub)""")
+    return ", ".join(parts) + f""",
+reps AS (SELECT label, sub, arg_min(vec_id, (d, vec_id)) AS vec_id, min(d) AS d FROM a{SUB_STEPS} JOIN size USING (label) WHERE n > {k} GROUP BY label, sub
+  UNION ALL SELECT label, i, vec_id, 0.0 FROM o JOIN size USING (label) WHERE n <= {k})"""
+
+
+@register("cluster_reps_subcluster", B.with_sql(SQL_E, _sql_subclusters(), "SELECT label, CAST(sub AS BIGINT) AS sub, vec_id, round(d, 6) AS sqdist FROM reps"))
 def cluster_reps_subcluster(spark, sf):
     """M3(b): per cluster the row nearest to each of 10 sub-centroids."""
-    return CL.subcluster_representatives(_emb(spark, sf), "vec_id", "embedding", "label",
-                                         k_sub=S.reps_per_cluster, iters=5)
+    r = CL.subcluster_representatives(_emb(spark, sf), "vec_id", "embedding", "label", k_sub=S.reps_per_cluster, iters=SUB_STEPS)
+    return r.select("label", "sub", "vec_id", R("sqdist", 6).alias("sqdist"))
 
 
 def _sql_tokens(x, min_len=3):
