@@ -223,6 +223,38 @@ def translate_glossary(spark, sf):
     return out.select("doc_id", "text", "text original")
 
 
+#: Phrases that overlap each other, in part or whole.
+PHRASES = {"the": "le", "of the": "du", "the the": "le meme", "the the of": "le tout du", "of": "de", "and the": "et le", "the and": "le et",
+           "the and the": "les deux", "der": "the", "der der": "the same", "der der die": "the same one", "die der": "who of the",
+           "de la": "of her", "la de": "her of", "la de la": "here and there", "de": "from", "is the": "est le", "to the": "au"}
+SQL_PHRASES = "gl(source, target) AS (VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in sorted(PHRASES.items())) + ")"
+
+
+@register("translate_phrases", "WITH RECURSIVE " + SQL_PHRASES + """,
+u AS (SELECT text, string_split(text, ' ') AS w, string_split(lower(text), ' ') AS k FROM (SELECT DISTINCT text FROM documents)),
+tok AS (SELECT text, unnest(w) AS w, unnest(range(len(w))) AS pos, unnest(k) AS first FROM u),
+heads AS (SELECT source, target, len(string_split(source, ' ')) AS words, string_split(source, ' ')[1] AS first FROM gl),
+hits AS (SELECT u.text, pos, words, target FROM tok JOIN heads USING (first) JOIN u ON u.text = tok.text
+         WHERE array_to_string(u.k[pos + 1 : pos + words], ' ') = source),
+longest AS (SELECT text, pos, max(words) AS words, arg_max(target, words) AS target FROM hits GROUP BY text, pos),
+linked AS (SELECT a.*, b.pos AS nxt FROM longest a ASOF LEFT JOIN longest b ON a.text = b.text AND b.pos >= a.pos + a.words),
+taken AS (
+  SELECT text, pos, words, target, nxt FROM linked WHERE (text, pos) IN (SELECT (text, min(pos)) FROM longest GROUP BY text)
+  UNION ALL
+  SELECT l.* FROM taken t JOIN linked l ON l.text = t.text AND l.pos = t.nxt),
+shown AS (
+  SELECT tok.text, tok.pos, CASE WHEN t.pos IS NULL THEN tok.w WHEN t.pos = tok.pos THEN t.target END AS w
+  FROM tok ASOF LEFT JOIN (SELECT text, pos, words, target FROM taken UNION ALL SELECT text, pos + words, 0, NULL FROM taken
+                           WHERE (text, pos + words) NOT IN (SELECT (text, pos) FROM taken)) t0 ON t0.text = tok.text AND t0.pos <= tok.pos
+  LEFT JOIN taken t ON t.text = t0.text AND t.pos = t0.pos AND tok.pos < t.pos + t.words),
+tr AS (SELECT text, string_agg(w, ' ' ORDER BY pos) AS translated FROM shown WHERE w IS NOT NULL GROUP BY text)
+SELECT d.doc_id, tr.translated AS text, d.text AS "text original" FROM documents d LEFT JOIN tr ON tr.text = d.text""")
+def translate_phrases(spark, sf):
+    """M8: all documents translated by phrases that overlap, leftmost-longest."""
+    glossary = spark.createDataFrame(sorted(PHRASES.items()), "source string, target string")
+    return TR.translate_phrases(_docs(spark, sf).select("doc_id", "text"), ["text"], glossary).select("doc_id", "text", "text original")
+
+
 # M9 over the purchase lines rendered as text columns (same text in both engines)
 def _profile_input(spark, sf):
     p = B.purchases(spark, sf)
