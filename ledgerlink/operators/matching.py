@@ -47,12 +47,8 @@ def candidates_array(topk: DataFrame, catalogue: DataFrame | None = None,
         x = x.join(catalogue.select(c(t_id).alias("t_id"), c(t_text).alias("t_text")), "t_id", "left")
     fields = ["rank", "t_id", "similarity"] + (["t_text"] if "t_text" in x.columns else [])
     g = x.groupBy("q_id").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("_c"))
-    out = g.select("q_id",
-                   F.transform("_c", lambda s: s["t_id"]).alias("cand_ids"),
-                   F.transform("_c", lambda s: s["similarity"]).alias("cand_scores"))
-    if "t_text" in fields:
-        out = out.withColumn("cand_texts", F.transform(g["_c"], lambda s: s["t_text"]))
-    return out
+    lists = {"cand_ids": "t_id", "cand_scores": "similarity", "cand_texts": "t_text"}
+    return g.select("q_id", *[F.col(f"_c.{field}").alias(name) for name, field in lists.items() if field in fields])
 
 
 def jaccard(a: Column, b: Column) -> Column:

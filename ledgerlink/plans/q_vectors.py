@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 from ledgerlink.functions import text as TX
 from ledgerlink.functions import vectors as V
 from ledgerlink.functions.cols import round_half_away
+from ledgerlink.operators import choosing as CH
 from ledgerlink.operators import embed as EM
 from ledgerlink.operators import matching as MT
 from ledgerlink.operators import relational as RL
 from ledgerlink.operators import similarity as SIM
 from ledgerlink.plans import bindings as B
 from ledgerlink.plans.registry import register
-from ledgerlink.session import materialize
+from ledgerlink.session import materialize, scratch_path
 
 S = B.SPEC
 TOP_N = S.top_n
@@ -294,6 +295,44 @@ def match_pipeline(spark, sf):
                     R("match_score", 6).alias("match_score"), "ef")
 
 
+W_CHOICE = (0.6, 0.2, 0.2)            # similarity, shared words, breadth
+REFUSED, MOST_ROWS = "blush", 8       # the chooser fails on a text with this word, and on more rows at once
+_WORDS = "list_distinct(list_filter(regexp_split_to_array(lower({}), '[^\\p{{L}}]+'), lambda s: length(s) >= 1))"
+
+
+@register("match_chooser", B.with_sql(B.SQL_PURCHASES, B.SQL_MONEY_CATALOGUE, f"""
+cat AS (SELECT cat_code, {_sql_profile('cat_description')} AS v, {_WORDS.format('cat_description')} AS tok FROM catalogue),
+src AS (SELECT DISTINCT article || ' ' || lower(category) AS text FROM purchases),
+q AS (SELECT text, {_sql_profile('text')} AS v, {_WORDS.format('text')} AS tok FROM src),
+pairs AS (SELECT q.text, cat.cat_code, list_cosine_similarity(q.v, cat.v) AS sim, len(cat.tok) AS words,
+                 len(list_intersect(q.tok, cat.tok)) AS inter, len(list_distinct(list_concat(q.tok, cat.tok))) AS total FROM q, cat),
+top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY round(sim, 9) DESC, cat_code) AS rk FROM pairs) WHERE rk <= {TOP_N}),
+scored AS (SELECT *, CAST({W_CHOICE[0]} AS DOUBLE) * sim + CAST({W_CHOICE[1]} AS DOUBLE) * (CASE WHEN total = 0 THEN 0.0 ELSE inter / total END)
+                     + CAST({W_CHOICE[2]} AS DOUBLE) * (CASE WHEN words = 0 THEN 0.0 ELSE 1.0 / words END) AS score FROM top),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY round(score, 9) DESC, cat_code) AS r FROM scored)
+         WHERE r = 1 AND NOT contains(text, '{REFUSED}'))
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, b.cat_code AS matched_code, round(b.sim, 6) AS match_similarity
+FROM purchases p LEFT JOIN best b ON b.text = p.article || ' ' || lower(p.category)"""))
+def match_chooser(spark, sf):
+    """M13 with a chooser that fails: it takes few rows at a time and refuses some
+    texts, which stay unmatched. Vectors come from the cache, options have their
+    texts, and broad options are preferred."""
+    lines = B.purchases(spark, sf).select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"),
+                                          F.concat_ws(" ", "article", F.lower("category")).alias("text"))
+    cat = B.money_catalogue(spark, sf).select("cat_code", "cat_description")
+    by_rules = CH.weighted_chooser(*W_CHOICE)
+    refused, most = REFUSED, MOST_ROWS
+
+    def choose(pdf):
+        if len(pdf) > most or pdf["text"].str.contains(refused).any():
+            raise RuntimeError("refused")
+        return by_rules(pdf)
+
+    m = CH.match_with_chooser(lines, "text", cat, "cat_code", "cat_description", EM.char_profile_vectors, choose, TOP_N, budget=2_000,
+                              folder=scratch_path(spark, "match"), model="char-profile")
+    return m.select("l_orderkey", "l_linenumber", F.col("match_id").alias("matched_code"), R("match_similarity", 6).alias("match_similarity"))
+
+
 @register("embed_distinct")
 def embed_distinct(spark, sf):
     """M1: TF-IDF vectors of every distinct normalised document text, joined
