@@ -41,13 +41,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlink.llm.common import scratch_path, stage, worker_cache
+from ledgerlink.llm.common import frugal, scratch_path, stage, worker_cache
 
 CHUNK_BITS = 8
 RANK_BLOCK = 512
 MAGIC = b"DAC1"
 #: Lower-case letters that the tokenizer's normaliser leaves as they are.
 PLAIN = re.compile("[a-zß-öø-ÿ]+")
+#: Characters encoded at a time.
+ENCODE_CHARS = 2_000_000
 MANIFEST = "part int, seq int, path string, n_docs long, n_tokens long"
 
 
@@ -59,7 +61,8 @@ class WordEncoder:
     the ids of a text are those of its pieces in order. Pieces of letters only
     go through the same BPE model many at a time."""
 
-    MAX_PIECES = 400_000
+    #: Characters of the pieces that are kept.
+    MAX_CHARS = 4_000_000
 
     def __init__(self, json: str):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
@@ -73,6 +76,7 @@ class WordEncoder:
         for token, i in vocab.items():
             self.ends[i] = token.endswith("</w>")
         self.known: dict[str, bytes] = {}
+        self.chars = 0
 
     def _whole(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
@@ -92,10 +96,11 @@ class WordEncoder:
         return out
 
     def learn(self, pieces: list[str]) -> None:
-        if len(self.known) > self.MAX_PIECES:
-            self.known = {}
+        if self.chars > self.MAX_CHARS:
+            self.known, self.chars = {}, 0
         known = self.known
         new = [p for p in pieces if p not in known]
+        self.chars += sum(map(len, new))
         body = {p: p.rstrip(".,") for p in new}
         plain = list({b for b in body.values() if b not in known and PLAIN.fullmatch(b)})
         known.update(zip(plain, self._letters(plain)))
@@ -112,7 +117,23 @@ class WordEncoder:
         known.update(zip(rest, self._whole(rest)))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, number of ids of each)."""
+        """(ids of all texts, number of ids of each). Texts that may hold a special
+        token, which is found before letters are made lower case, go through the
+        tokenizer as they stand."""
+        whole = [i for i, t in enumerate(texts) if t and "<|" in t]
+        if not whole:
+            return self._encode(texts)
+        rest = list(texts)
+        for i in whole:
+            rest[i] = None
+        ids, n = self._encode(rest)
+        parts = np.split(ids, np.cumsum(n)[:-1])
+        for i in whole:
+            parts[i] = np.frombuffer(self._whole([texts[i]])[0], dtype="<u4")
+            n[i] = len(parts[i])
+        return np.concatenate(parts), n
+
+    def _encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         import pyarrow as pa
         import pyarrow.compute as pc
         if not texts:
@@ -147,7 +168,7 @@ def encoder(json: str) -> WordEncoder:
 def pack(ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Levels of (chunks, continuation bitmap, rank directory)."""
     levels = []
-    rest = ids.astype(np.uint64)
+    rest = ids.astype(np.uint32, copy=False)
     while True:
         more = rest >= (1 << CHUNK_BITS)
         blocks = np.add.reduceat(more, np.arange(0, len(more), RANK_BLOCK), dtype=np.uint64) if len(more) else np.zeros(0, np.uint64)
@@ -275,7 +296,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder:
             at = 0
             while at < len(texts):
                 stop, chars = at, 0
-                while stop < len(texts) and (stop == at or chars < 16_000_000):
+                while stop < len(texts) and (stop == at or chars < ENCODE_CHARS):
                     chars += len(texts[stop] or "")
                     stop += 1
                 got, n = enc.encode(texts[at:stop])
@@ -293,7 +314,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder:
     rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"),
                        F.col(id_col).cast("long").alias("_i"), F.xxhash64(F.col(text_col)).alias("_h"))
     ordered = rows.repartitionByRange("_i", "_h").sortWithinPartitions("_i", "_h", "text").select("doc_id", "text")
-    return stage(ordered.mapInPandas(write, MANIFEST), "token-manifest")
+    return stage(ordered.mapInPandas(frugal(write), MANIFEST), "token-manifest")
 
 
 def read_token_files(manifest: DataFrame, block_tokens: int = 2_000_000) -> DataFrame:
@@ -321,7 +342,7 @@ def read_token_files(manifest: DataFrame, block_tokens: int = 2_000_000) -> Data
                     first = last
 
     n = max(1, manifest.rdd.getNumPartitions())
-    return bases.repartition(n).mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return bases.repartition(n).mapInPandas(frugal(read), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def word_tokenizer_path() -> str:
