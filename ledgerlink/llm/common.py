@@ -24,6 +24,20 @@ def worker_cache() -> dict:
     return sys.modules.setdefault(name, types.ModuleType(name)).__dict__.setdefault("items", {})
 
 
+def keep_for_task(key: object) -> None:
+    """Say that the running task uses an entry of the worker's cache."""
+    worker_cache().setdefault("used", set()).add(key)
+
+
+def drop_unused() -> None:
+    """Drop what the worker's last task did not use, such as the tokenizer of an
+    operator that has ended."""
+    cache = worker_cache()
+    used = cache.pop("used", set())
+    for key in [k for k in cache if k not in used]:
+        del cache[key]
+
+
 def give_back() -> None:
     """Return freed memory of this Python worker to the system: an idle worker
     waits for its next task beside the JVM's."""
@@ -41,8 +55,10 @@ def frugal(run):
     """A function over batches that gives memory back when its task ends."""
     def wrapped(batches):
         try:
+            worker_cache().pop("used", None)
             yield from run(batches)
         finally:
+            drop_unused()
             give_back()
     return wrapped
 

@@ -49,7 +49,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlink.llm.common import frugal, pieces, table, worker_cache
+from ledgerlink.llm.common import frugal, keep_for_task, pieces, table, worker_cache
 
 MARK = "▁"
 MOST_CHARS = 1_000_000
@@ -257,6 +257,7 @@ def gather(ragged: tuple[np.ndarray, np.ndarray, np.ndarray], index: np.ndarray,
 def codec(model: bytes) -> PieceCodec:
     """The worker's codec of a model; a reused worker keeps the last one."""
     cache, crc = worker_cache(), zlib.crc32(model)
+    keep_for_task("piece codec")
     if cache.get("piece codec", (None,))[0] != crc:
         cache["piece codec"] = (crc, PieceCodec(model))
         gc.freeze()                              # the automaton's entries are not worth searching for cycles

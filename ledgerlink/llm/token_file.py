@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlink.llm.common import frugal, scratch_path, stage, worker_cache
+from ledgerlink.llm.common import frugal, keep_for_task, scratch_path, stage, worker_cache
 
 CHUNK_BITS = 8
 RANK_BLOCK = 512
@@ -158,6 +158,7 @@ class WordEncoder:
 def encoder(json: str) -> WordEncoder:
     key = ("tokenizer", zlib.crc32(json.encode()))
     cache = worker_cache()
+    keep_for_task(key)
     if key not in cache:
         cache[key] = WordEncoder(json)
     return cache[key]

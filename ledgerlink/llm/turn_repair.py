@@ -46,7 +46,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlink.llm.common import frugal, stage, table, worker_cache
+from ledgerlink.llm.common import frugal, keep_for_task, stage, table, worker_cache
 
 BLOCK = 4
 CHUNK_BITS = 10
@@ -152,6 +152,7 @@ def trace(before: list[int], after: tuple, x: int, state: int) -> tuple[str, int
 
 def tables() -> BlockTables:
     cache = worker_cache()
+    keep_for_task("turn tables")
     if "turn tables" not in cache:
         cache["turn tables"] = BlockTables()
     return cache["turn tables"]
