@@ -49,7 +49,7 @@ MAGIC = b"DAC1"
 #: Lower-case letters that the tokenizer's normaliser leaves as they are.
 PLAIN = re.compile("[a-zß-öø-ÿ]+")
 #: Characters encoded at a time.
-ENCODE_CHARS = 2_000_000
+ENCODE_CHARS = 8_000_000
 MANIFEST = "part int, seq int, path string, n_docs long, n_tokens long"
 
 
