@@ -29,6 +29,7 @@ an empty manifest.
 
 from __future__ import annotations
 
+import gc
 import re
 import struct
 import uuid
@@ -138,6 +139,13 @@ class WordEncoder:
         import pyarrow.compute as pc
         if not texts:
             return np.zeros(0, dtype="<u4"), np.zeros(0, dtype=np.int64)
+        gc.disable()                             # no cycles here, and a great many entries to search for them
+        try:
+            return self._encode_flat(texts, pa, pc)
+        finally:
+            gc.enable()
+
+    def _encode_flat(self, texts: list[str | None], pa, pc) -> tuple[np.ndarray, np.ndarray]:
         flat = pc.replace_substring(pc.ascii_lower(pa.array([t or "" for t in texts], pa.large_string())), "\n", " ")
         parts = pc.split_pattern(flat, " ")
         coded = parts.flatten().dictionary_encode()
