@@ -63,7 +63,7 @@ class WordEncoder:
     go through the same BPE model many at a time."""
 
     #: Characters of the pieces that are kept.
-    MAX_CHARS = 4_000_000
+    MAX_CHARS = 8_000_000
 
     def __init__(self, json: str):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
