@@ -9,6 +9,7 @@ from ledgerlink.functions.cols import round_half_away
 from ledgerlink.operators import relational as RL
 from ledgerlink.plans import bindings as B
 from ledgerlink.plans.registry import register
+from ledgerlink.session import bounded_broadcast
 
 S = B.SPEC
 
@@ -193,3 +194,14 @@ def join_back_matches(spark, sf):
     lines = B.purchases(spark, sf).select("l_orderkey", "l_linenumber", "article", "cat_code")
     uniq = lines.groupBy("article").agg(F.min("cat_code").alias("chosen_code"))
     return join_back(lines.drop("cat_code"), uniq, "article")
+
+
+@register("prefixed_join", """
+SELECT s.s_suppkey, s.s_name, s.s_nationkey AS nation, n.n_name AS "target.n_name", n.n_regionkey AS "target.n_regionkey"
+FROM supplier s JOIN nation n ON n.n_nationkey = s.s_nationkey""")
+def prefixed_join(spark, sf):
+    """P5: the looked-up side's columns are prefixed before the join, so that no name
+    of the two sides can collide; its key goes again."""
+    nation = RL.prefix_columns(B.table(spark, sf, "nation").select(F.col("n_nationkey").alias("nation"), "n_name", "n_regionkey"), "target.", keep=["nation"])
+    rows = B.table(spark, sf, "supplier").select("s_suppkey", "s_name", F.col("s_nationkey").alias("nation"))
+    return rows.join(bounded_broadcast(nation, 100_000), "nation").select("s_suppkey", "s_name", "nation", "`target.n_name`", "`target.n_regionkey`")

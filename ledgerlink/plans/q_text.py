@@ -223,6 +223,14 @@ def translate_glossary(spark, sf):
     return out.select("doc_id", "text", "text original")
 
 
+@register("prompt_texts", f"""
+SELECT doc_id, left(replace(text, chr(10), ' '), {B.SPEC.rep_text_chars}) AS text FROM documents""")
+def prompt_texts(spark, sf):
+    """every document's text as it goes into a prompt: line ends to blanks,
+    cut at ``spec.rep_text_chars`` characters."""
+    return _docs(spark, sf).select("doc_id", TX.cut_text(TX.newline_to_blank("text"), B.SPEC.rep_text_chars).alias("text"))
+
+
 #: Phrases that overlap each other, in part or whole.
 PHRASES = {"the": "le", "of the": "du", "the the": "le meme", "the the of": "le tout du", "of": "de", "and the": "et le", "the and": "le et",
            "the and the": "les deux", "der": "the", "der der": "the same", "der der die": "the same one", "die der": "who of the",
