@@ -3,8 +3,8 @@
 A text is the bag of its character n-grams (``GRAMS`` bytes, inside words, with
 the word's boundaries), hashed into ``BUCKETS``. Its vector is the mean of the
 embeddings of its n-grams, and a linear softmax gives the two class
-probabilities. Embeddings and softmax are trained jointly by gradient descent in
-numpy; a misspelling shares most n-grams with the word it hides.
+probabilities. Embeddings and softmax start at random and are trained jointly by
+gradient descent in numpy; a misspelling shares most n-grams with the word it hides.
 
 The model is fitted on a bounded sample: at most ``SAMPLE`` labelled rows of
 each class, in the order of a hash of the id. Their n-gram counts are computed
@@ -14,7 +14,8 @@ an n-gram adds one number.
 
 Defined cases: null and empty texts have no n-grams and get the model's bias;
 rows with a null label, or with a null id, teach nothing; a null id is not held
-out. Without rows of both classes every score is 0. Extra columns are ignored,
+out. Without rows of both classes every score is 0; where no n-gram tells the
+classes apart, 0.5. Extra columns are ignored,
 repeated rows stay.
 """
 
@@ -41,6 +42,8 @@ RIDGE = 1e-6
 CUT = 0.7
 #: n-grams without a vector that every bag has besides its own, so that a few words alone decide little.
 NEUTRAL = 100
+#: Spread of the sample's logits under the random vectors at the start.
+START = 0.1
 #: How much less a repeated word weighs: 0 is its full count, 1 counts it once.
 DAMP = 0.5
 
@@ -102,24 +105,30 @@ def telling(with1: np.ndarray, with0: np.ndarray, n1: float, n0: float) -> np.nd
     return np.abs(with1 / n1 - with0 / n0) >= SIGMAS * error
 
 
-def fit(index: np.ndarray, value: np.ndarray, lens: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, seed: int = 11) -> tuple[np.ndarray, np.ndarray, float]:
-    """Embeddings (BUCKETS x DIM), the softmax's difference vector and bias, by
-    accelerated gradient descent on both together.
+def fit(index: np.ndarray, value: np.ndarray, lens: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, seed: int = 11) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Embeddings (BUCKETS x DIM), softmax (2 x DIM) and the softmax's biases (2),
+    all from random starts by accelerated gradient descent on all three together.
 
     Rows are bags: ``lens`` entries of (index, value) each, values summing to less than 1.
     The classes have equal weight. Buckets whose shares of the two classes' rows
-    differ by less than ``SIGMAS`` standard errors teach nothing: most n-grams are
-    rare, and would fit single rows. Steps are scaled by each bucket's root mean
-    square with a floor, so that frequent n-grams do not carry the fit; their
-    length follows from the curvature along its steepest direction."""
-    rng = np.random.RandomState(seed)
+    differ by less than ``SIGMAS`` standard errors teach nothing and keep a zero
+    vector: most n-grams are rare, and would fit single rows. Values are scaled by
+    each bucket's root mean square with a floor, so that frequent n-grams do not
+    carry the fit. With two classes the errors of a row are a and -a, so the
+    gradient of the embeddings is q (soft[1] - soft[0]) and that of the softmax
+    (-q, q) times the embeddings, where q is the bags' sum of a: one pass over
+    the entries a step. A step's length follows from the curvature along its
+    steepest direction, which grows with both factors."""
     with1 = np.bincount(index, weights=np.repeat(y, lens), minlength=BUCKETS)
     keep = telling(with1, np.bincount(index, minlength=BUCKETS) - with1, y.sum(), len(y) - y.sum())[index]
+    if not keep.any():                           # nothing tells the classes apart
+        return np.zeros((BUCKETS, DIM)), np.zeros((2, DIM)), np.zeros(2)
     row = np.repeat(np.arange(len(y)), lens)[keep]
-    index, value = index[keep], value[keep].astype(np.float64)
-    rms = np.sqrt(np.bincount(index, weights=value * value, minlength=BUCKETS) / len(y))
-    scaled = value / (rms + np.sqrt(10.0 / len(y)) * value.mean())[index]
+    kept, index = np.unique(index[keep], return_inverse=True)
+    value = value[keep].astype(np.float64)
+    rms = np.sqrt(np.bincount(index, weights=value * value, minlength=len(kept)) / len(y))
     step = 1.0 / (rms + np.sqrt(10.0 / len(y)) * value.mean())
+    scaled = value * step[index]
     weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
 
     def times(u: np.ndarray) -> np.ndarray:      # bags times a vector, less its weighted mean
@@ -128,35 +137,46 @@ def fit(index: np.ndarray, value: np.ndarray, lens: np.ndarray, y: np.ndarray, e
 
     def back(a: np.ndarray) -> np.ndarray:
         a = a - weight * a.sum()
-        return np.bincount(index, weights=scaled * a[row], minlength=BUCKETS)
+        return np.bincount(index, weights=scaled * a[row], minlength=len(kept))
 
-    u = rng.normal(size=BUCKETS)
-    for _ in range(6):                           # curvature of the logistic loss along its steepest direction, from above
+    rng = np.random.RandomState(seed)
+    u = rng.normal(size=len(kept))
+    for _ in range(6):                           # the logistic loss bends most along this direction
         u = back(weight * times(u))
         steepest = np.linalg.norm(u)
         u /= max(steepest, 1e-300)
-    lr = 1.0 / (0.25 * 1.5 * max(steepest, 1e-12))
 
-    w = rng.normal(size=DIM)
-    w /= np.linalg.norm(w)
-    emb, ahead, bias, bias_ahead = np.zeros((BUCKETS, DIM)), np.zeros((BUCKETS, DIM)), 0.0, 0.0
+    emb, soft, bias = start(len(kept), rng)
+    z = times(emb @ (soft[1] - soft[0]))
+    emb *= START / max(np.sqrt(weight @ (z * z)), 1e-300)
+    held = ahead = (emb, soft, bias)
     for t in range(epochs):
-        z = times(ahead @ w) + bias_ahead
+        emb, soft, bias = ahead
+        d = soft[1] - soft[0]
+        z = times(emb @ d) + bias[1] - bias[0]
         a = weight * (1.0 / (1.0 + np.exp(-np.clip(z, -30, 30))) - y)
         q = back(a)
-        new, new_bias = ahead - lr * q[:, None] * w - lr * RIDGE * ahead, bias_ahead - a.sum()
-        w = w - 0.01 * (ahead.T @ q)
-        w /= np.linalg.norm(w)
-        go = t / (t + 3.0)
-        ahead, bias_ahead = new + go * (new - emb), new_bias + go * (new_bias - bias)
-        emb, bias = new, new_bias
-    # the mean that ``times`` takes off belongs to the bias
+        lr = 1.0 / (0.375 * max(steepest, 1e-12) * (d @ d + 2 * np.linalg.norm(emb.T @ emb, 2)))
+        turn = emb.T @ q
+        new = (emb - lr * (np.outer(q, d) + RIDGE * emb), soft - lr * np.array([-turn, turn]), bias - 0.5 * np.array([-a.sum(), a.sum()]))
+        ahead = tuple(n + t / (t + 3.0) * (n - h) for n, h in zip(new, held))
+        held = new
+    emb, soft, bias = held
     emb = emb * step[:, None]
-    mean = weight @ np.bincount(row, weights=value * (emb @ w)[index], minlength=len(y))
-    return emb, w, float(bias - mean)
+    # the mean that ``times`` takes off belongs to the biases
+    mean = weight @ np.bincount(row, weights=value * (emb @ (soft[1] - soft[0]))[index], minlength=len(y))
+    every = np.zeros((BUCKETS, DIM))
+    every[kept] = emb
+    return every, soft, bias + 0.5 * np.array([mean, -mean])
+
+
+def start(buckets: int, rng: np.random.RandomState) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Random embeddings and softmax, whose columns are a unit apart, and no biases."""
+    soft = rng.normal(size=(2, DIM))
+    return rng.normal(size=(buckets, DIM)), soft / np.linalg.norm(soft[1] - soft[0]), np.zeros(2)
 
 
-def train(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, float] | None:
+def train(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
     """Fit on rows (doc_id, text, label 0/1); None without both classes."""
     spark = texts.sparkSession
 
@@ -191,8 +211,9 @@ def train(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, float] | None:
             value += [np.frombuffer(b, "<f4") for b in pdf["value"]]
             y += pdf["label"].tolist()
         if y:
-            emb, w, bias = fit(np.concatenate(index), np.concatenate(value), np.array([len(i) for i in index]), np.array(y, dtype=np.float64))
-            yield pd.DataFrame({"emb": [emb.astype("<f4").tobytes()], "w": [w.astype("<f8").tobytes()], "bias": [bias]})
+            emb, soft, bias = fit(np.concatenate(index), np.concatenate(value), np.array([len(i) for i in index]), np.array(y, dtype=np.float64))
+            at = np.flatnonzero(emb.any(axis=1))
+            yield pd.DataFrame({"at": [at.astype("<i4").tobytes()], "emb": [emb[at].astype("<f4").tobytes()], "soft": [soft.astype("<f8").tobytes()], "bias": [bias.astype("<f8").tobytes()]})
 
     with Stages(spark) as stages:
         schema = "label int, index binary, value binary"
@@ -207,8 +228,10 @@ def train(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, float] | None:
             return None
         keep = telling(seen[1], seen[0], n1, n0)
         rows = stages.write(rows.mapInPandas(frugal(sift), schema), "toxic-telling")
-        m = rows.coalesce(1).mapInPandas(frugal(solve), "emb binary, w binary, bias double").collect()[0]    # the model, of a fixed size
-    return np.frombuffer(m.emb, "<f4").reshape(BUCKETS, DIM), np.frombuffer(m.w, "<f8"), m.bias
+        m = rows.coalesce(1).mapInPandas(frugal(solve), "at binary, emb binary, soft binary, bias binary").collect()[0]    # the model, of a fixed size
+    emb = np.zeros((BUCKETS, DIM))
+    emb[np.frombuffer(m.at, "<i4")] = np.frombuffer(m.emb, "<f4").reshape(-1, DIM)
+    return emb, np.frombuffer(m.soft, "<f8").reshape(2, DIM), np.frombuffer(m.bias, "<f8")
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -219,12 +242,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     return docs.select("doc_id", "text").join(F.broadcast(some[0].unionAll(some[1])), "doc_id").select("text", "label")
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float] | None) -> Column:
+def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, np.ndarray] | None) -> Column:
     """The score of ``text`` as a column of ``docs``."""
     if model is None:
         return F.lit(0.0)
-    emb, w, bias = model
-    shipped = docs.sparkSession.sparkContext.broadcast((emb @ w).astype(np.float32))        # BUCKETS numbers
+    emb, soft, biases = model
+    bias = biases[1] - biases[0]
+    shipped = docs.sparkSession.sparkContext.broadcast((emb @ (soft[1] - soft[0])).astype(np.float32))        # BUCKETS numbers
 
     @F.pandas_udf("double")
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

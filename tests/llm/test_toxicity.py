@@ -68,3 +68,77 @@ def test_defined_cases(spark):
     assert len(rows) == 5 and all(r.score == 0 and r.predicted == 0 for r in rows)
     assert not [r for r in rows if r.doc_id is None][0].held_out
     assert T.toxicity(docs.limit(0), labels.limit(0)).count() == 0
+
+
+def sample(n=300, seed=5):
+    docs, labels = made(n, seed, ["idiot", "worthless", "moronic"])
+    bags = [T.counts(s, e, weight, grams) for first, last, starts, weight, grams in T.bags([d[1] for d in docs])
+            for s, e in zip(starts, np.append(starts[1:], len(weight)))]
+    parts = [(i, v / (v.sum() + T.NEUTRAL)) for i, v in bags]
+    return parts, np.array([x for _, x in labels], dtype=float)
+
+
+def fitted(parts, y, **kw):
+    return T.fit(np.concatenate([i for i, _ in parts]), np.concatenate([v for _, v in parts]), np.array([len(i) for i, _ in parts]), y, **kw)
+
+
+def test_embeddings_and_softmax_both_learn():
+    parts, y = sample()
+    emb, soft, bias = fitted(parts, y)
+    none, first, _ = fitted(parts, y, epochs=0)
+    learnt = emb[emb.any(axis=1)]
+    values = np.linalg.svd(learnt / np.linalg.norm(learnt), compute_uv=False)
+    assert (values > 0.01).all()                                  # all DIM dimensions are in use
+    assert (np.abs(soft - first) > 1e-3).any(axis=1).all()        # both columns moved
+    d, d0 = soft[1] - soft[0], first[1] - first[0]
+    assert d @ d0 / np.linalg.norm(d) / np.linalg.norm(d0) < 0.99999
+    assert np.linalg.norm(emb - none) > np.linalg.norm(none)
+
+
+def test_fit_equals_a_dense_softmax_network():
+    """The same descent with whole matrices, two softmax columns and chain-rule gradients."""
+    parts, y = sample(120, 6)
+    emb, soft, bias = fitted(parts, y)
+    kept = np.flatnonzero(emb.any(axis=1))
+    x = np.zeros((len(y), T.BUCKETS), dtype=np.float32)
+    for r, (i, v) in enumerate(parts):
+        x[r, i] = v
+    x = x[:, kept].astype(float)
+    weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
+    scale = 1 / (np.sqrt((x ** 2).mean(axis=0)) + np.sqrt(10 / len(y)) * x[x > 0].mean())
+    xs = x * scale
+    centred = xs - weight @ xs
+    rng = np.random.RandomState(11)
+    u = rng.normal(size=len(kept))
+    for _ in range(6):
+        u = centred.T @ (weight * (centred @ u))
+        top = np.linalg.norm(u)
+        u /= top
+    e, w, b = T.start(len(kept), rng)
+    z = centred @ e @ (w[1] - w[0])
+    e = e * T.START / np.sqrt(weight @ z ** 2)
+    held = ahead = (e, w, b)
+    want = np.stack([1 - y, y], axis=1)
+    for t in range(T.EPOCHS):
+        e, w, b = ahead
+        hidden = centred @ e
+        logits = hidden @ w.T + b
+        p = np.exp(logits - logits.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        error = weight[:, None] * (p - want)
+        d = w[1] - w[0]
+        lr = 1 / (0.375 * top * (d @ d + 2 * np.linalg.svd(e, compute_uv=False)[0] ** 2))
+        new = (e - lr * (centred.T @ error @ w + T.RIDGE * e), w - lr * (error.T @ hidden), b - 0.5 * error.sum(axis=0))
+        ahead = tuple(n + t / (t + 3) * (n - h) for n, h in zip(new, held))
+        held = new
+    e, w, b = held
+    logits = centred @ e @ w.T + b
+    plain = 1 / (1 + np.exp(logits[:, 0] - logits[:, 1]))
+    got = 1 / (1 + np.exp(-(x @ emb[kept] @ (soft[1] - soft[0]) + bias[1] - bias[0])))
+    assert np.abs(got - plain).max() < 1e-6
+
+
+def test_nothing_to_learn_scores_a_half(spark):
+    docs = spark.createDataFrame([(i, "same words") for i in range(12)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, toxic int")
+    assert {r.score for r in T.toxicity(docs, labels).collect()} == {0.5}
