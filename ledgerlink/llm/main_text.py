@@ -2,11 +2,16 @@
 
 A page is cut into blocks at block-level tags. Scripts, styles, forms, comments
 and elements that name themselves menus, headers, footers, sidebars, notices,
-adverts or reader comments give no blocks. First pass, each block by itself:
+adverts or reader comments give no blocks. An element names itself so by a whole
+name in its class, id or role: ``NOISE`` words, beside which only words of
+``PARTS`` and single letters may stand (``site-footer``, but not ``has-sidebar``). A header inside an
+article belongs to it, and an article element gives no blocks only where it is
+one reader's comment. First pass, each block by itself:
 
 * much link text: bad;
-* at least ``LONG`` characters: good with enough stop words, else bad, or
-  undecided inside an article element;
+* at least ``LONG`` characters: good with enough stop words;
+* else with a copyright sign, outside of an article element: bad;
+* at least ``LONG`` characters: bad, or undecided inside an article element;
 * shorter: near-good with enough stop words, else short; both undecided.
 
 Second pass: a run of undecided blocks takes the label of the nearest decided
@@ -19,15 +24,19 @@ Kept blocks are joined in page order by two line feeds. Each page is a row by
 itself: no shuffle, memory bounded by an Arrow batch.
 
 Defined cases: a null or empty page has the text ''; a page without markup is
-one block; an unclosed element reaches to the end of its parent; extra columns
-are ignored; repeated rows stay.
+one block; an unclosed element reaches to the end of its parent; a tag that is
+never closed is text, and one whose quotes are never closed ends at its first
+'>', as do all tags up to that quote; extra columns are ignored; repeated rows
+stay. The time a page takes grows with its length, whatever is in it.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -61,22 +70,72 @@ nav navbar navigation menu breadcrumb breadcrumbs pagination pager toolbar heade
 comment comments commentlist disqus reply replies respond social share sharing related recommended newsletter subscribe signup login
 popup modal overlay complementary contentinfo search
 """.split())
+COMMENT = frozenset("comment comments reply replies".split())
+HEADER = frozenset("header masthead".split())
+# Words that may stand beside those in a name: what part of a page or of its layout it is.
+PARTS = frozenset("""
+site page main global top bottom left right primary secondary mobile desktop sticky fixed inner outer wrap wrapper container content
+area block box section panel list item items link links bar button buttons slot unit text title form post posts entry article articles
+stories user users reader readers media js body author thread row col column columns grid card cards icons group cta strip
+""".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_REST = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+")
 _ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def _noisy(attrs: str) -> bool:
+def _noisy(attrs: str, name: str, article: bool) -> bool:
+    """Whether an element's attributes say that it is not main text."""
     if not attrs:
         return False
+    noise = COMMENT if name == "article" else frozenset() if name == "main" else NOISE - HEADER if article else NOISE
     for m in _ATTR.finditer(attrs):
-        if NOISE.intersection(re.split(r"[^a-z0-9]+", (m[2] or m[3] or m[4] or "").lower())):
-            return True
+        for one in (m[2] or m[3] or m[4] or "").lower().split():
+            words = [w for w in re.split(r"[^a-z]+", one) if len(w) > 1]
+            if not noise.isdisjoint(words) and all(w in noise or w in PARTS for w in words):
+                return True
     return bool(_HIDDEN.search(attrs))
 
 
+def markup(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, name, closing, attributes) of all markup, in one pass forward;
+    the name is '' where there is nothing but characters to leave out."""
+    n, at, broken = len(page), 0, 0
+    last, cdata = page.rfind(">"), page.rfind("]]>")
+    while (i := page.find("<", at)) >= 0:
+        if i > last:                             # nothing ends any more, but a comment may begin
+            i = page.find("<!--", i)
+            if i >= 0:
+                yield i, n, "", False, ""
+            return
+        name, closing, attrs = "", False, ""
+        if page.startswith("<!--", i):
+            stop = page.find("-->", i + 4)
+            at = stop + 3 if stop >= 0 else n
+        elif page.startswith("<![CDATA[", i) and cdata >= i + 9:
+            at = page.find("]]>", i + 9) + 3
+        elif page[i + 1] in "!?":
+            at = page.find(">", i) + 1
+        else:
+            m = _NAME.match(page, i)
+            if not m:                            # a character like any other
+                at = i + 1
+                continue
+            stop = m.end()
+            if i >= broken:
+                stop = _REST.match(page, stop).end()
+                if stop == n or page[stop] != ">":
+                    stop, broken = m.end(), stop
+            at = page.find(">", stop) + 1
+            name, closing, attrs = m[2].lower(), bool(m[1]), page[m.end():at - 1]
+            if not closing and name in RAW:      # text up to the end tag is not markup
+                end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+                name, at = "", end.end() if end else n
+        yield i, at, name, closing, attrs
+
+
 def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
     """(text, characters of it inside links, inside an article, heading)."""
     out: list[tuple[str, int, bool, bool]] = []
@@ -93,25 +152,27 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
             text.clear()
         links[0], heading = 0, False
 
-    at, end = 0, len(page)
-    while at < end:
-        m = _TOKEN.search(page, at)
-        piece = page[at:m.start()] if m else page[at:]
+    open_: Counter[str] = Counter()              # names in the stack
+
+    def push(name: str, skipped: bool, article: bool) -> None:
+        stack.append((name, skipped, article))
+        open_[name] += 1
+
+    def pop() -> str:
+        name = stack.pop()[0]
+        open_[name] -= 1
+        return name
+
+    at = 0
+    for start, end, name, closing, attrs in chain(markup(page), [(len(page), len(page), "", False, "")]):
+        piece, at = page[at:start], end
         if piece and not (stack and stack[-1][1]):
             text.append(piece)
             if in_link:
                 links[0] += len(piece.strip())
-        if not m:
-            break
-        at = m.end()
-        if not m[2]:
+        if not name:
             continue
-        name, closing = m[2].lower(), bool(m[1])
         skipped, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-        if not closing and name in RAW:          # text up to the end tag is not markup
-            stop = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-            at = stop.end() if stop else end
-            continue
         if name == "a":
             in_link = 0 if closing else 1
         elif name == "br":
@@ -122,22 +183,20 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
                 flush()
                 heading = not closing and name in ("h1", "h2", "h3", "h4", "h5", "h6")
             if closing:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == name:
-                        del stack[k:]
-                        break
+                while open_[name] and pop() != name:
+                    pass
             elif name not in VOID:
                 if name == "p" and stack and stack[-1][0] == "p":
-                    stack.pop()
+                    pop()
                 if name in ("li", "td", "th", "tr", "dt", "dd", "option") and stack and stack[-1][0] in (name, "p"):
-                    stack.pop()
-                out_of = name in SKIP or name == "header" and not article or name not in ("body", "html") and _noisy(m[3])
-                stack.append((name, skipped or out_of, article or name in ("article", "main")))
-        elif not closing and m[3] and name not in VOID and not m[3].rstrip().endswith("/") and name in ("span", "b", "i", "em", "strong", "label", "small") and _noisy(m[3]):
+                    pop()
+                out_of = name in SKIP or name == "header" and not article or name not in ("body", "html") and _noisy(attrs, name, article)
+                push(name, skipped or out_of, article or name in ("article", "main"))
+        elif not closing and attrs and not attrs.rstrip().endswith("/") and name in ("span", "b", "i", "em", "strong", "label", "small") and _noisy(attrs, name, article):
             flush() if not skipped else None
-            stack.append((name, True, article))
+            push(name, True, article)
         elif closing and stack and stack[-1][0] == name:
-            stack.pop()
+            pop()
     flush()
     return out
 
@@ -154,10 +213,12 @@ def main_text(page: str | None) -> str:
         density = sum(w.lower() in STOP_WORDS for w in words) / max(1, len(words))
         if linked > LINK_DENSITY * len(text):
             labels.append("bad")
+        elif len(text) >= LONG and density >= STOP_DENSITY:
+            labels.append("good")
         elif "©" in text and not article:
             labels.append("bad")
         elif len(text) >= LONG:
-            labels.append("good" if density >= STOP_DENSITY else "near" if article else "bad")
+            labels.append("near" if article else "bad")
         else:
             labels.append("near" if density >= STOP_DENSITY else "short")
     decided = [i for i, x in enumerate(labels) if x in ("good", "bad")]

@@ -33,6 +33,31 @@ def test_defined_cases():
     assert M.main_text("a < b <3 and the rest of it") == "a < b <3 and the rest of it"
 
 
+def test_names_count_as_a_whole():
+    for name in ("post has-sidebar", "no-sidebar", "post comments-open", "search-engine-intro"):
+        assert M.main_text(page(f'<article class="{name}"><p>{PROSE}</p></article>')) == PROSE
+        assert M.main_text(page(f'<article><div class="{name}"><p>{PROSE}</p></div></article>')) == PROSE
+    assert M.main_text(page(f'<article><div class="entry-header"><h1>Title</h1></div><p>{PROSE}</p></article>')) == f"Title\n\n{PROSE}"
+    for name in ("sidebar", "cookie-notice", "site-footer", "post_comments", "widget widget-2", "x comment-list", "ad-slot-3", "main-nav", "related-posts", "js-ad-banner-300x250"):
+        assert M.main_text(page(f'<article><p>{PROSE}</p><div class="{name}"><p>Other. {PROSE}</p></div></article>')) == PROSE
+    assert M.main_text(page(f'<main><p>{PROSE}</p><article class="comment"><p>Other. {PROSE}</p></article></main>')) == PROSE
+
+
+def test_a_long_text_may_hold_a_copyright_sign():
+    p = page(f"<h2>Law</h2><p>The sign © is a part of it. {PROSE}</p><p>© 2020 Some Company</p>")
+    assert M.main_text(p) == f"Law\n\nThe sign © is a part of it. {PROSE}"
+
+
+def test_broken_markup_takes_linear_time():
+    import time
+    n = 200_000
+    for p in ("<a " * n, "<a x='" * n, '<a ">" ' * n + "'", "<![CDATA[" * n, "<!" * n, "<" * n, "<div>" * n + "</p>" * n, "<p class=" * n + ">", "</" * n + ">", "<!--" * n):
+        t = time.process_time()
+        M.main_text(p)
+        assert time.process_time() - t < 4, p[:20]
+    assert M.main_text(f'<p title="a > b">{PROSE}</p><p title="x>Open. {PROSE}</p>') == f"{PROSE}\n\nOpen. {PROSE}"
+
+
 def test_rows(spark):
     df = spark.createDataFrame([(1, "u", f"<p>{PROSE}</p>", 7), (1, "u", f"<p>{PROSE}</p>", 7), (None, None, None, None)],
                                "page_id long, url string, html string, n_chars int")
