@@ -18,8 +18,12 @@ All of it is DataFrame functions. Pass 1 reads the documents without moving
 their text; only documents with a hit fingerprint are read again. Items are
 broadcast where their measured size allows, otherwise joined by shuffle.
 
+The items that have a window in common are named by one key, so a passage that
+all items share adds one row for each of its places, not one for each item.
+
 Defined cases: null and empty texts have no words and are clean; an item without
-words or without an id is ignored; rows that repeat an item id are one item;
+words is ignored; rows that repeat an item id are one item, and so are those
+without an id: it counts in n_hit, n_items and contaminated but has no name to hash;
 repeated documents stay, each with its result. Extra columns are ignored.
 """
 
@@ -85,7 +89,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     with Stages(spark) as stages:
         items = stages.write(
             benchmark.select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("ws"))
-            .filter(F.col("item").isNotNull() & (F.size("ws") > 0)).withColumn("len", F.least(F.lit(WINDOW), F.size("ws"))), "items")
+            .filter(F.size("ws") > 0).withColumn("len", F.least(F.lit(WINDOW), F.size("ws"))), "items")
         lengths = sorted(r[0] for r in items.select("len").distinct().collect())      # WINDOW values at most
         marked = with_grams(items, lengths)
         marks = None
@@ -99,7 +103,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         first = docs_.select(F.monotonically_increasing_id().alias("row"), "doc_id", key, words(F.col("text")).alias("ws"))
         if not lengths:
             counted = stages.write(first.select("row", "doc_id", "h", F.size("ws").cast("long").alias("n_words"), F.array().cast("array<bigint>").alias("marks")), "counted", keep=True)
-            hits = spark.createDataFrame([], "h long, item string, at int, len int").join(counted.select("h", "doc_id").limit(0), "h")
+            hits = spark.createDataFrame([], "h long, named string, at int, len int").join(counted.select("h", "doc_id").limit(0), "h")
+            sets = spark.createDataFrame([], "named string, item string")
         else:
             grams = with_grams(first, lengths)
             found = F.array_distinct(F.concat(*[winnow(f"g{shape(n)[0]}", shape(n)[1]) for n in lengths]))
@@ -108,9 +113,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             joined = rows.join(broadcast_below(marks, F.lit(16), BROADCAST_BYTES), "mark", "left")
             counted = stages.write(joined.groupBy("row", "doc_id", "h", "n_words").agg(F.collect_set("hit").alias("marks")), "counted", keep=True)
 
-            windows = stages.write(
-                items.select("item", "len", F.explode(F.transform(F.sequence(F.lit(1), F.size("ws") - F.col("len") + 1),
-                                                                  lambda i: F.array_join(F.slice("ws", i, F.col("len")), " "))).alias("run")).distinct(), "windows")
+            windows = items.select("item", "len", F.explode(F.transform(F.sequence(F.lit(1), F.size("ws") - F.col("len") + 1),
+                                                                        lambda i: F.array_join(F.slice("ws", i, F.col("len")), " "))).alias("run"))
+            # a null beside the names stands for the item without an id
+            windows = windows.groupBy("run", "len").agg(F.array_sort(F.collect_set("item")).alias("items"), F.max(F.col("item").isNull()).alias("other"))
+            names = F.when(F.col("other"), F.concat("items", F.array(F.lit(None).cast("string")))).otherwise(F.col("items"))
+            windows = stages.write(windows.select("run", "len", names.alias("items")).withColumn("named", F.md5(F.to_json("items").cast("binary"))), "windows")
+            sets = windows.select("named", "items").dropDuplicates(["named"]).select("named", F.explode("items").alias("item"))
             suspects = counted.filter(F.size("marks") > 0).select("doc_id", "h", "marks").dropDuplicates(["doc_id", "h"])
             near = broadcast_below(suspects.withColumnRenamed("doc_id", "_id"), 32 + 16 * F.size("marks"), BROADCAST_BYTES)
             again = docs_.withColumn("h", F.xxhash64("text")).join(near, ["h"]).filter(F.col("doc_id").eqNullSafe(F.col("_id")))
@@ -120,18 +129,25 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 part = again.filter(F.size("ws") >= n).select("doc_id", "h", "ws", F.explode(window_starts(n)).alias("at")).select(
                     "doc_id", "h", "at", F.lit(n).alias("len"), F.array_join(F.slice("ws", F.col("at") + 1, F.lit(n)), " ").alias("run"))
                 runs = part if runs is None else runs.unionAll(part)
-            hits = stages.write(runs.join(broadcast_below(windows, 24 + F.octet_length("run"), BROADCAST_BYTES), ["run", "len"]).select("doc_id", "h", "item", "at", "len"), "hits")
+            known = broadcast_below(windows.select("run", "len", "named"), 64 + F.octet_length("run"), BROADCAST_BYTES)
+            hits = stages.write(runs.join(known, ["run", "len"]).select("doc_id", "h", "named", "at", "len"), "hits")
 
         covered = (hits.select("doc_id", "h", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("len") - 1)).alias("pos")).distinct()
                    .groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("n_hit")))
-        named = hits.groupBy("doc_id", "h").agg(F.array_sort(F.collect_set("item")).alias("items"))
+        named = stages.write(hits.groupBy("doc_id", "h").agg(F.array_sort(F.collect_set("named")).alias("all")), "named")
+        # each combination of keys that occurs is resolved once
+        each = named.select("all").distinct().select("all", F.explode("all").alias("named"))
+        each = each.join(broadcast_below(sets, 48 + F.octet_length(F.coalesce("item", F.lit(""))), BROADCAST_BYTES), "named")
+        items_ = F.array_sort(F.collect_set("item"))
+        each = each.groupBy("all").agg((F.size(items_) + F.max(F.col("item").isNull().cast("int"))).cast("long").alias("n_items"),
+                                       F.sha2(F.array_join(items_, ","), 256).alias("items_sha256"))
+        named = named.join(each, "all").drop("all")
         same = lambda a, b: (a["h"].eqNullSafe(b["h"])) & (a["doc_id"].eqNullSafe(b["doc_id"]))
-        found = stages.write(covered.alias("c").join(named.alias("n"), same(covered, named)).select("c.doc_id", "c.h", "n_hit", "items"), "found", keep=True)
+        found = stages.write(covered.alias("c").join(named.alias("n"), same(covered, named)).select("c.doc_id", "c.h", "n_hit", "n_items", "items_sha256"), "found", keep=True)
     out = counted.join(found, same(counted, found), "left")
-    items_ = F.coalesce(F.col("items"), F.array().cast("array<string>"))
     n_hit = F.coalesce(F.col("n_hit"), F.lit(0)).cast("long")
-    return out.select(counted["doc_id"], "n_words", n_hit.alias("n_hit"), F.size(items_).cast("long").alias("n_items"),
-                      F.sha2(F.array_join(items_, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+    return out.select(counted["doc_id"], "n_words", n_hit.alias("n_hit"), F.coalesce(F.col("n_items"), F.lit(0)).cast("long").alias("n_items"),
+                      F.coalesce(F.col("items_sha256"), F.sha2(F.lit("").cast("binary"), 256)).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,8 +18,8 @@ def brute(docs, items):
     for item, text in items:
         w = words(text)
         n = min(10, len(w))
-        for i in range(len(w) - n + 1) if n and item is not None else ():
-            runs.setdefault(tuple(w[i:i + n]), set()).add(str(item))
+        for i in range(len(w) - n + 1) if n else ():
+            runs.setdefault(tuple(w[i:i + n]), set()).add(None if item is None else str(item))
     out = []
     for d, text in docs:
         w, hit, names = words(text), set(), set()
@@ -28,7 +28,7 @@ def brute(docs, items):
                 if tuple(w[i:i + n]) in runs:
                     hit.update(range(i, i + n))
                     names |= runs[tuple(w[i:i + n])]
-        out.append((d, len(w), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), bool(hit)))
+        out.append((d, len(w), len(hit), len(names), hashlib.sha256(",".join(sorted(x for x in names if x is not None)).encode()).hexdigest(), bool(hit)))
     return sorted(out, key=str)
 
 
@@ -64,6 +64,21 @@ def test_defined_cases(spark):
     assert run(spark, [], items) == []
 
 
+def test_items_without_an_id_and_items_that_share_a_passage(spark):
+    import duckdb
+    import pandas as pd
+    a, b = " ".join(f"a{i}" for i in range(10)), " ".join(f"b{i}" for i in range(12))
+    items = [(None, a), (None, b + " x"), *[(i, f"{b} own{i} " + " ".join(f"o{i}x{j}" for j in range(9))) for i in range(30)]]
+    docs = [(1, a), (2, f"so {a} {b}"), (3, b + " " + items[5][1]), (4, "clean"), (5, b), (6, b)]
+    got = run(spark, docs, items)
+    assert got == brute(docs, items)
+    assert got[0][1:4] == (10, 10, 1) and got[0][5] and got[1][3] == 31
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(docs, columns=["doc_id", "text"]))
+    con.register("benchmark", pd.DataFrame({"item_id": pd.array([i for i, _ in items], dtype="Int64"), "text": [t for _, t in items]}))
+    assert sorted(con.execute(D.ORACLE).fetchall(), key=str) == got
+
+
 def test_whole_shared_span_is_found_wherever_it_starts(spark):
     span = [f"s{i}" for i in range(10)]
     docs = [(i, " ".join([f"p{j}" for j in range(i)] + span + ["q"] * (i % 7))) for i in range(30)]
