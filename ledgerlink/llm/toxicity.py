@@ -50,7 +50,7 @@ DAMP = 0.5
 _KEEP = bytes(c if chr(c).isalnum() or c > 127 else 32 for c in range(256))
 
 
-def bags(texts: list[str | None], most_bytes: int = 2_000_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]]:
+def bags(texts: list[str | None], most_bytes: int = 400_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]]:
     """For ranges of whole texts: (first, last, start of each text, weight of each
     position, and per n-gram length the buckets and flags of valid positions).
     A word that a text has t times weighs t ** -DAMP each time."""
