@@ -104,3 +104,30 @@ def test_pruned_form_takes_no_groups(spark):
     x = frame(spark, np.eye(3))
     with pytest.raises(ValueError):
         SIM.topk_cosine(x, x, 1, "id", "v", "id", "v", "id", "id", mode="pruned")
+
+
+def test_blocks_do_not_grow_with_the_square_of_the_table(spark):
+    import re
+
+    x = frame(spark, np.random.RandomState(6).randn(4500, 4))
+    blocks = lambda df: set(re.findall(r"(\d+) AS _b[qt]", df._jdf.queryExecution().analyzed().toString()))
+    small = blocks(SIM.topk_cosine(x, x, 3, "id", "v", "id", "v", block_rows=16))
+    assert small == {str(SIM.MOST_SIDES)}                       # not 282 copies of every row
+    assert blocks(SIM.topk_cosine(x, x, 3, "id", "v", "id", "v")) == {"5"}     # nor all pairs in one task
+    cells = SIM._pruned_parts(x, x, 3, "id", "v", "id", "v", False, 16)[0]
+    assert cells.n_blocks <= 2 * SIM.MOST_BLOCKS
+
+
+def test_scores_that_are_known_leave_out_only_lower_ranks():
+    rng = np.random.RandomState(7)
+    t = np.concatenate([np.tile(rng.randn(1, 8), (700, 1)), rng.randn(2300, 8), rng.randint(-1, 2, (2000, 8))])
+    ids, q = np.arange(5000), t[::50]
+    want = SIM.topk_block(ids[::50], q, None, ids, t, None, 6, True)
+    unit = SIM._unit_rows(t)
+    s = np.stack([SIM._row_products(unit[::50], unit[j][None, :]) for j in range(5000)], axis=1)
+    s[ids[::50][:, None] == ids[None, :]] = -np.inf
+    order = np.lexsort((np.broadcast_to(ids, s.shape), -SIM._rank_key(s)), axis=1)[:, :6]
+    assert (want[1] == order).all() and (want[0] == np.take_along_axis(s, order, axis=1)).all()
+    known = SIM.topk_block(ids[::50], q, None, ids[1::2], t[1::2], None, 6, True)[0][:, 5]
+    got = SIM.topk_block(ids[::50], q, None, ids, t, None, 6, True, least=known)
+    assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
