@@ -113,9 +113,10 @@ def match_with_chooser(rows: DataFrame, text_col: str, catalogue: DataFrame, cat
     def vectors(texts: DataFrame) -> DataFrame:
         return EM.embed_cached(texts, f"{folder}/vectors", model, embed, version) if folder else embed(texts)
 
-    keyed = materialize(rows.withColumn("_h", F.md5(c(text_col))).withColumn("_row", F.monotonically_increasing_id()), "rows-to-match")
-    first = keyed.where(F.col("_h").isNotNull()).groupBy("_h").agg(F.min("_row").alias("_row"))
-    texts = materialize(keyed.select("_row", c(text_col).alias("text")).join(first, "_row").select(F.col("_h").alias("q_id"), "text"), "texts-to-match")
+    keyed = materialize(rows.withColumn("_h", F.md5(c(text_col))), "rows-to-match")
+    # repeats go before the shuffle: no row's text is sent to find the distinct ones
+    texts = keyed.where(F.col("_h").isNotNull()).select(F.col("_h").alias("q_id"), c(text_col).alias("text")).distinct()
+    texts = materialize(texts, "texts-to-match")
     options = materialize(catalogue.select(c(cat_id).alias("t_id"), c(cat_text).alias("t_text")), "options")
     of_options = vectors(options.select(F.col("t_text").alias("text")).where(F.col("text").isNotNull()).distinct())
     cv = options.join(of_options.select(F.md5("text").alias("_o"), "embedding"), F.md5("t_text") == F.col("_o")).select("t_id", "embedding")
@@ -125,4 +126,4 @@ def match_with_chooser(rows: DataFrame, text_col: str, catalogue: DataFrame, cat
     answers, _ = choose_in_rounds(found, choose, budget, rounds, folder, version)
     per_text = answers.join(top.select("q_id", F.col("t_id").alias("chosen_id"), "similarity"), ["q_id", "chosen_id"]).select(
         F.col("q_id").alias("_h"), F.col("chosen_id").alias("match_id"), F.col("similarity").alias("match_similarity"))
-    return join_back(keyed.drop("_row"), per_text, "_h", "left", stage="matches-per-text").drop("_h")
+    return join_back(keyed, per_text, "_h", "left", stage="matches-per-text").drop("_h")
