@@ -131,3 +131,16 @@ def test_scores_that_are_known_leave_out_only_lower_ranks():
     known = SIM.topk_block(ids[::50], q, None, ids[1::2], t[1::2], None, 6, True)[0][:, 5]
     got = SIM.topk_block(ids[::50], q, None, ids, t, None, 6, True, least=known)
     assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
+
+
+def test_searches_take_every_hundredth_vector_against_all(spark, qs, tmp_path):
+    rnd = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rnd.normal(size=4)], i % 3) for i in range(-100, 250)] + [(300, None, 1)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    asked = {-100, 0, 100, 200}
+    forms = [sorted(map(tuple, qs[k](spark, str(tmp_path)).collect())) for k in ("cosine_topk", "cosine_topk_blocked", "cosine_topk_pruned")]
+    assert forms[0] == forms[1] == forms[2] and {r[0] for r in forms[0]} == asked and len(forms[0]) == 40
+    assert any(r[2] % 100 for r in forms[0])                                                     # the others are found
+    for k in ("candidates_array", "choose_match"):
+        assert {r[0] for r in qs[k](spark, str(tmp_path)).collect()} == asked, k
+    assert {r[0] for r in qs["flag_mismatches"](spark, str(tmp_path)).collect()} == asked | {300}
