@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlink.functions.cols import c
-from ledgerlink.session import bounded_broadcast, bounded_rows, materialize
+from ledgerlink.session import MAX_BROADCAST_BYTES, bounded_broadcast, bounded_size, materialize
 
 # a literal map is scanned linearly per lookup, so it only serves small
 # glossaries; larger ones go through the (broadcast) join path
@@ -77,6 +77,8 @@ def translate_columns(df: DataFrame, cols: list[str], glossary: DataFrame,
 #: Copies of a glossary that is too large to broadcast, so that a run of words
 #: that many texts share meets it in so many places.
 SALTS = 16
+#: Sources that begin with one word, up to which the runs at that word are compared with each.
+MOST_OF_HEAD = 32
 
 
 def _apply_phrases(text: str, hits: list) -> str:
@@ -95,21 +97,30 @@ def phrase_matches(texts: DataFrame, glossary: DataFrame, max_broadcast_rows: in
     """(_h, pos, words, target): every run of words of the texts (_h, _text) that is a
     source of the glossary (lower case, words divided by one blank).
 
-    A text gives one narrow row a word and phrase length, with the 128-bit hash of
-    that run; runs and sources meet on the hash. The lengths are those that the
-    glossary has."""
+    With a small glossary each word meets the sources that begin with it, and only
+    those are compared with the run there. Otherwise a text gives one narrow row a
+    word and phrase length, with the 128-bit hash of that run; runs and sources
+    meet on the hash. The lengths are those that the glossary has."""
     lower = F.lower("source")
     entries = (glossary.where(F.col("source").isNotNull() & F.col("target").isNotNull()).groupBy(lower.alias("source")).agg(F.min("target").alias("target")))
-    entries = materialize(entries.select(F.md5("source").alias("_run"), "target", F.size(F.split("source", " ")).alias("words")), "phrases")
+    entries = materialize(entries.select("source", F.md5("source").alias("_run"), "target", F.size(F.split("source", " ")).alias("words")), "phrases")
     lengths = sorted(r["words"] for r in entries.select("words").distinct().collect())        # as many as lengths occur
     if not lengths:
         return texts.select("_h", F.lit(0).alias("pos"), F.lit(0).alias("words"), F.lit("").alias("target")).limit(0)
     tokens = texts.select("_h", F.split(F.lower("_text"), " ").alias("_w"))
+    n_rows, n_bytes = bounded_size(entries, max_broadcast_rows)
+    small = n_rows <= max_broadcast_rows and n_bytes <= MAX_BROADCAST_BYTES
+    heads = entries.select(F.get(F.split("source", " "), F.lit(0)).alias("_head"), "source", "target", "words")
+    if small and heads.groupBy("_head").count().agg(F.max("count")).first()[0] <= MOST_OF_HEAD:
+        same = F.array_join(F.slice("_w", F.col("pos") + 1, F.col("words")), " ") == F.col("source")
+        at = tokens.select("_h", "_w", F.posexplode("_w").alias("pos", "_first"))
+        return at.join(F.broadcast(heads), (F.col("_first") == F.col("_head")) & same).select("_h", "pos", "words", "target")
     runs = tokens.select("_h", "_w", F.posexplode("_w").alias("pos", "_first")).select(
         "_h", "pos", F.explode(F.array(*[F.when(F.col("pos") + n <= F.size("_w"), F.struct(
             F.lit(n).alias("words"), F.md5(F.array_join(F.slice("_w", F.col("pos") + 1, n), " ")).alias("_run"))) for n in lengths])).alias("_r"))
     runs = runs.where(F.col("_r").isNotNull()).select("_h", "pos", "_r.words", "_r._run")
-    if bounded_rows(entries, max_broadcast_rows) <= max_broadcast_rows:
+    entries = entries.drop("source")
+    if n_rows <= max_broadcast_rows:
         return runs.join(bounded_broadcast(entries, max_broadcast_rows), ["_run", "words"]).select("_h", "pos", "words", "target")
     salted = entries.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     runs = runs.withColumn("_salt", F.pmod(F.xxhash64("_h", "pos"), F.lit(SALTS)).cast("int"))

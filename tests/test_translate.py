@@ -52,6 +52,15 @@ def test_glossary_edges(spark):
         assert TR.translate_phrases(df, ["t"], frame(spark, g)).first()["t"] == want
 
 
+def test_small_glossaries_hash_no_run_and_crowded_heads_match_as_well(spark, monkeypatch):
+    texts = spark.createDataFrame([(str(i), t) for i, t in enumerate(["a b c a", "A  b", "", "b c a b c"])], "_h string, _text string")
+    g = frame(spark, [("a", "1"), ("a b", "2"), ("a b c", "3"), ("", "4"), ("c A b", "5")])
+    few = TR.phrase_matches(texts, g)
+    assert "md5(" not in few._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(TR, "MOST_OF_HEAD", 2)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, TR.phrase_matches(texts, g).collect()))
+
+
 def test_two_columns(spark):
     df = spark.createDataFrame([(1, "a b", "b a")], "id int, t string, u string")
     out = TR.translate_phrases(df, ["t", "u"], frame(spark, [("a b", "x"), ("b", "y")])).first().asDict()
