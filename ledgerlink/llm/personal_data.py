@@ -1,21 +1,23 @@
 """Personal data: pattern spans, and terms that disclose them.
 
 Base spans are e-mail addresses, IP addresses, card and phone numbers. Each
-distinct value found is a protected entity. Words within ``REACH`` characters of
-a mention are its context. Over the whole corpus the share of the documents with
-a term in which the term stands beside the entity, p(e|t) = n(e,t) / n(t),
+distinct value found is a protected entity; all words of a text that holds it,
+base spans aside, stand with it. Over the whole corpus the share of the documents
+with a term in which the term stands with the entity, p(e|t) = n(e,t) / n(t),
 says how strongly the term reveals it: its pointwise mutual information
 log(p(e|t) / p(e)) reaches ``ALPHA`` of the entity's information content
 -log p(e) exactly when p(e|t) >= p(e) ** (1 - ALPHA). Such a term is marked
-wherever it stands beside that entity, if it does so in at least ``CONTEXTS``
-different contexts (copies of one text are one context and prove nothing).
-``sanitise`` generalises a base span to its kind and removes a disclosing term
-from the whole text of a document that holds its entity.
-
-All of it is DataFrame functions. The text itself is never shuffled: pass 1
-stores counts, spans and contexts of each row; pass 2 counts, over all
-documents, those terms that have enough contexts and do not stand beside too
-many other entities already.
+at all its places in texts that hold that entity, if it stands with it in at least
+``CONTEXTS`` different contexts (copies of one text are one context and prove
+nothing). ``REACH`` only tells contexts apart: that of a word within so many
+characters of a mention is the text that far around the mention; a word further
+off gives one context a document, the words that far around the word itself.
+``sanitise`` generalises a base span to its kind and removes disclosing terms.
+
+All of it is DataFrame functions. Pass 1 stores counts, spans and contexts of each
+row and shuffles no text; the words of texts that hold an entity with enough
+contexts are then counted by row; pass 2 counts the documents of every word, for the
+terms that have enough contexts and do not stand in too many other texts already.
 
 Defined cases: a null or empty text has no spans; repeated rows stay and count
 as documents; extra columns are ignored; an empty table gives an empty result.
@@ -23,7 +25,7 @@ as documents; extra columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlink.llm.common import Stages, broadcast_below, table
@@ -81,12 +83,12 @@ def _words_at(window: Column, offset: Column, cut_left: Column, cut_right: Colum
 
 
 def mentions(rows: DataFrame) -> DataFrame:
-    """(row, entity, context hash, words) of every base span."""
+    """(row, hash of the text, entity, context hash, words beside) of every base span."""
     def of(kind: str) -> Column:
         return F.transform(kind, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
 
     every = F.flatten(F.array(*[of(k) for k in KINDS]))
-    one = rows.select("row", "text", "taken", F.explode(every).alias("s")).select("row", "text", "taken", "s.*")
+    one = rows.select("row", "text", "taken", F.xxhash64("text").alias("body"), F.explode(every).alias("s")).select("row", "text", "taken", "body", "s.*")
     n = F.char_length("text")
     left_at = F.greatest(F.lit(0), F.col("start") - REACH)
     right_to = F.least(n, F.col("end") + REACH)
@@ -94,10 +96,31 @@ def mentions(rows: DataFrame) -> DataFrame:
         "right", F.col("text").substr(F.col("end") + 1, right_to - F.col("end"))).withColumn("la", left_at).withColumn("open", right_to < n).drop("text")
     words = F.concat(_words_at(F.col("left"), F.col("la"), F.col("la") > 0, F.lit(False)), _words_at(F.col("right"), F.col("end"), F.lit(False), F.col("open")))
     entity = F.concat_ws(":", "kind", F.lower("value"))
-    return one.select("row", entity.alias("entity"), F.xxhash64("left", "right").alias("context"),
+    return one.select("row", "body", entity.alias("entity"), F.xxhash64("left", "right").alias("context"),
                       F.filter(words, lambda w: ~overlaps(w["start"], w["end"], F.col("taken"))).alias("words"))
 
 
+def words_of(rows: DataFrame) -> DataFrame:
+    """(row, term, start, end, around) of all words of the rows' texts that touch no
+    base span; ``around`` is a hash of the words that begin within ``REACH``
+    characters. Places are running sums by row, so a text of many words is no array
+    that grows word by word."""
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    gaps = F.transform(F.split("text", WORD, -1), lambda x: F.char_length(x))
+    one = rows.select("row", F.posexplode(F.arrays_zip(words.alias("word"), gaps.alias("gap"))).alias("at", "w")).select("row", "at", "w.*").filter("word is not null")
+    size = F.char_length("word")
+    one = one.withColumn("end", F.sum(F.col("gap") + size).over(Window.partitionBy("row").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)).cast("int"))
+    one = one.select("row", F.lower("word").alias("term"), (F.col("end") - size).alias("start"), "end")
+    spans = rows.select("row", F.explode("taken").alias("s")).select("row", F.lit(None).cast("string").alias("term"), "s.start", "s.end")
+    by_row, is_span = Window.partitionBy("row"), F.col("term").isNull()
+    # spans that begin no later may reach into a word; of the later ones the first may begin inside it
+    placed = one.unionByName(spans).withColumn("around", F.xxhash64(F.collect_list("term").over(by_row.orderBy("start").rangeBetween(-REACH, REACH))))
+    placed = placed.withColumn("before", F.max(F.when(is_span, F.col("end"))).over(by_row.orderBy("start", ~is_span).rowsBetween(Window.unboundedPreceding, 0)))
+    placed = placed.withColumn("after", F.min(F.when(is_span, F.col("start"))).over(by_row.orderBy(F.desc("start")).rowsBetween(Window.unboundedPreceding, 0)))
+    free = (F.coalesce("before", F.lit(0)) <= F.col("start")) & (F.coalesce("after", "end") >= F.col("end"))
+    return placed.filter(~is_span & free).drop("before", "after")
+
+
 def analyse(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows with counts and base spans, disclosing terms' spans by row, pairs of
     entity and disclosing term)."""
@@ -106,38 +129,44 @@ def analyse(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         rows = rows.withColumn("taken", F.flatten(F.array(*[F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for k in KINDS])))
         # one row per document; the text stays only where there is a span
         rows = stages.write(rows.withColumn("text", F.when(F.size("taken") > 0, F.col("text"))), "base", keep=True)
-        beside = mentions(rows.filter("text is not null")).withColumn("w", F.explode("words")).select("row", "entity", "context", "w.*")
-        beside = stages.write(beside, "beside")
+        named = stages.write(mentions(rows.filter("text is not null")), "named")
+        # a text gives a pair no more contexts than it has of the entity, its copies the same ones
+        able = named.groupBy("entity").agg(F.countDistinct("body", "context").alias("most")).filter(F.col("most") >= CONTEXTS).select("entity")
+        able = stages.write(able, "able")
+        named = named.join(broadcast_below(able, F.octet_length("entity") + 16, BROADCAST_BYTES), "entity")
+        held = stages.write(named.select("row", "entity").distinct(), "held")
+        asked = held.select("row").distinct()
+        texts = rows.filter("text is not null").join(broadcast_below(asked, F.lit(24), BROADCAST_BYTES), "row", "left_semi")
+        words = stages.write(words_of(texts), "words")
+        beside = stages.write(named.select("row", "entity", "context", F.explode("words").alias("w")).select("row", "entity", "context", "w.*"), "beside")
+        places = words.unionByName(beside.select("row", "term", "start", "end", F.lit(None).cast("long").alias("around")))
+        said = stages.write(places.groupBy("row", "term").agg(F.min("around").alias("around")), "said")
 
-        pairs = beside.groupBy("entity", "term").agg(F.countDistinct("context").alias("contexts"), F.countDistinct("row").alias("both")).filter(F.col("contexts") >= CONTEXTS)
-        # a term has at least the documents in which it stands beside any entity: most
-        # pairs, those of common words above all, fail already against that number
         n_all = rows.count()
-        n_entity = beside.groupBy("entity").agg(F.countDistinct("row").alias("n_entity"))
-        n_beside = beside.groupBy("term").agg(F.countDistinct("row").alias("n_beside"))
+        with_words = held.join(said.select("row").distinct(), "row", "left_semi")
+        n_entity = with_words.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+        # a term has at least the documents counted here: most pairs, those of common
+        # words above all, fail already against that number
+        n_said = said.groupBy("term").agg(F.count(F.lit(1)).alias("n_said"))
         enough = F.pow(F.col("n_entity") / F.lit(float(n_all)), F.lit(1 - ALPHA))
-        pairs = pairs.join(n_entity, "entity").join(n_beside, "term").filter(F.col("both") / F.col("n_beside") >= enough)
-        pairs = stages.write(pairs, "pairs")
+        spoken = said.join(n_said, "term").join(with_words.join(n_entity, "entity"), "row").filter(F.col("n_entity") / F.col("n_said") >= enough)
+        near = beside.select("row", "entity", "term", "context").distinct()
+        pairs = spoken.join(near, ["row", "entity", "term"], "left").groupBy("entity", "term", "n_entity", "n_said").agg(
+            F.countDistinct(F.coalesce("context", "around")).alias("contexts"), F.countDistinct("row").alias("both"))
+        pairs = stages.write(pairs.filter((F.col("contexts") >= CONTEXTS) & (F.col("both") / F.col("n_said") >= enough)), "pairs")
 
-        def documents_with_terms(texts: DataFrame) -> DataFrame:
-            # the documents' distinct words, kept where they are asked for
-            asked = stages.write(pairs.select("term").distinct(), "asked")
-            asked = broadcast_below(asked, 40 + F.octet_length("term"), BROADCAST_BYTES)
-            spoken = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
-            return spoken.join(asked, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-
-        if not pairs.isEmpty():
-            # first among the documents with spans, whose texts are at hand, then among all
-            some = documents_with_terms(rows.filter("text is not null"))
-            pairs = stages.write(pairs.join(some, "term").filter(F.col("both") / F.greatest("n_term", "both") >= enough).drop("n_term"), "pairs")
         if not pairs.isEmpty():
-            n_term = documents_with_terms(docs)
+            # all words are counted: those asked for would be found by a join that makes a
+            # row of nearly every word once there are many pairs
+            spoken = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
+            n_term = spoken.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
             telling = pairs.join(n_term, "term").filter(F.col("both") / F.greatest("n_term", "both") >= enough).select("entity", "term")
             telling = stages.write(telling, "telling")
-            marked = beside.join(telling, ["entity", "term"]).select("row", "start", "end").distinct()
+            told = held.join(telling, "entity").select("row", "term").distinct()
+            marked = places.join(told, ["row", "term"]).select("row", "start", "end").distinct()
         else:
             telling = pairs.select("entity", "term")
-            marked = beside.select("row", "start", "end").limit(0)
+            marked = places.select("row", "start", "end").limit(0)
         per_row = marked.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("term"))
         return rows, stages.write(per_row, "terms", keep=True), stages.write(telling, "telling", keep=True)
 
@@ -152,20 +181,6 @@ def personal_data(docs: DataFrame) -> DataFrame:
                       F.array_join(F.concat("base", extra), ",").alias("spans"))
 
 
-def said_anywhere(rows: DataFrame, telling: DataFrame) -> DataFrame:
-    """Adds ``said`` to rows with spans: all places of the terms that disclose an
-    entity of the row, however far from its mention."""
-    def named(kind: str) -> Column:
-        return F.transform(kind, lambda s: F.concat_ws(":", F.lit(kind), F.lower(s["value"])))
-
-    every = F.flatten(F.array(*[named(k) for k in KINDS]))
-    held = rows.select("row", F.explode(F.array_distinct(every)).alias("entity"))
-    held = held.join(broadcast_below(telling, F.octet_length("entity") + F.octet_length("term") + 16, BROADCAST_BYTES), "entity")
-    df = rows.join(held.groupBy("row").agg(F.collect_set("term").alias("told")), "row", "left")
-    df = with_spans(df, "said", WORD, F.size(F.coalesce("told", F.array().cast("array<string>"))) > 0, lambda v: F.array_contains("told", F.lower(v)))
-    return df.withColumn("said", F.filter("said", lambda s: ~overlaps(s["start"], s["end"], F.col("taken")))).drop("told")
-
-
 def sanitise(docs: DataFrame) -> DataFrame:
     """doc_id, text with base spans generalised to their kind and disclosing terms
     removed, wherever they stand in a text that holds their entity; rows without
@@ -173,13 +188,12 @@ def sanitise(docs: DataFrame) -> DataFrame:
     def tagged_as(spans: str, tag: str) -> Column:
         return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(tag).alias("tag")))
 
-    rows, terms, telling = analyse(docs)
-    rows = said_anywhere(rows.filter("text is not null"), telling)
-    tagged = F.concat(*[tagged_as(k, f"[{k}]") for k in KINDS], tagged_as("said", ""), F.coalesce(tagged_as("term", ""), F.array().cast("array<struct<start:int,end:int,tag:string>>")))
+    rows, terms, _ = analyse(docs)
+    tagged = F.concat(*[tagged_as(k, f"[{k}]") for k in KINDS], F.coalesce(tagged_as("term", ""), F.array().cast("array<struct<start:int,end:int,tag:string>>")))
     # kinds can overlap one another: what begins inside an earlier span is covered by it
     clear = F.aggregate(F.array_sort(tagged), F.array().cast("array<struct<start:int,end:int,tag:string>>"), lambda acc, s: F.when(
         (F.size(acc) == 0) | (s["start"] >= F.element_at(acc, -1)["end"]), F.concat(acc, F.array(s))).otherwise(acc))
-    out = rows.join(terms, "row", "left").withColumn("clear", clear)
+    out = rows.filter("text is not null").join(terms, "row", "left").withColumn("clear", clear)
     return out.select("doc_id", mask(F.col("text"), F.col("clear")).alias("text"))
 
 
