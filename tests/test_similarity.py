@@ -133,14 +133,21 @@ def test_scores_that_are_known_leave_out_only_lower_ranks():
     assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
 
 
-def test_searches_take_every_hundredth_vector_against_all(spark, qs, tmp_path):
+def test_searches_take_every_vector_against_all(spark, qs, tmp_path):
     rnd = np.random.default_rng(5)
-    rows = [(i, [float(x) for x in rnd.normal(size=4)], i % 3) for i in range(-100, 250)] + [(300, None, 1)]
+    vecs = {i: [float(x) for x in np.float32(rnd.normal(size=4))] for i in range(-100, 250)}
+    rows = [(i, v, i % 3) for i, v in vecs.items()] + [(300, None, 1), (None, vecs[7], 1)]        # no vector, no id
     spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    ids, m = np.array(list(vecs)), np.array(list(vecs.values()))
+    s = np.round((m @ m.T) / np.outer(np.linalg.norm(m, axis=1), np.linalg.norm(m, axis=1)), 9)
+    np.fill_diagonal(s, -np.inf)
+    want = sorted((int(ids[a]), r + 1, int(ids[b])) for a in range(len(ids)) for r, b in enumerate(np.lexsort((ids, -s[a]))[:10]))
+    for k in ("cosine_topk", "cosine_topk_blocked", "cosine_topk_pruned"):
+        assert sorted(tuple(r)[:3] for r in qs[k](spark, str(tmp_path)).collect()) == want, k
+    lists = {r["q_id"]: r["cand_ids"] for r in qs["candidates_array"](spark, str(tmp_path)).collect()}
+    assert lists == {int(i): ",".join(str(t) for q, _, t in want if q == i) for i in ids}
+    best = qs["choose_match"](spark, str(tmp_path)).collect()
+    assert sorted(r["q_id"] for r in best) == ids.tolist()
+    assert {(r["q_id"], r["chosen_id"]) for r in best} <= {(q, t) for q, _, t in want}
     asked = {-100, 0, 100, 200}
-    forms = [sorted(map(tuple, qs[k](spark, str(tmp_path)).collect())) for k in ("cosine_topk", "cosine_topk_blocked", "cosine_topk_pruned")]
-    assert forms[0] == forms[1] == forms[2] and {r[0] for r in forms[0]} == asked and len(forms[0]) == 40
-    assert any(r[2] % 100 for r in forms[0])                                                     # the others are found
-    for k in ("candidates_array", "choose_match"):
-        assert {r[0] for r in qs[k](spark, str(tmp_path)).collect()} == asked, k
     assert {r[0] for r in qs["flag_mismatches"](spark, str(tmp_path)).collect()} == asked | {300}
