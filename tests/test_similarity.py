@@ -149,5 +149,7 @@ def test_searches_take_every_vector_against_all(spark, qs, tmp_path):
     best = qs["choose_match"](spark, str(tmp_path)).collect()
     assert sorted(r["q_id"] for r in best) == ids.tolist()
     assert {(r["q_id"], r["chosen_id"]) for r in best} <= {(q, t) for q, _, t in want}
-    asked = {-100, 0, 100, 200}
-    assert {r[0] for r in qs["flag_mismatches"](spark, str(tmp_path)).collect()} == asked | {300}
+    chosen = {r["q_id"]: r["chosen_id"] for r in best} | {300: None, None: None}
+    flags = qs["flag_mismatches"](spark, str(tmp_path)).collect()
+    assert len(flags) == len(rows) and {r["vec_id"]: r["chosen_id"] for r in flags} == chosen
+    assert all((r["Rating"] is None) == (r["chosen_id"] is None) for r in flags)
